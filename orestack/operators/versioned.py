@@ -64,15 +64,14 @@ def merge_changes(source: DataFrame, current: DataFrame, key: Sequence[str],
     )
 
 
-def overlay(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+def overlay(base: DataFrame, latest: DataFrame, key: Sequence[str], touched: DataFrame | None = None) -> DataFrame:
     """The base rows with changed rows replaced and new rows added.
 
-    ``changes`` may hold several versions of a key and must carry ``_version``. The anti join leaves
-    the base unshuffled when the changed keys are small enough to broadcast.
+    ``latest`` holds one row per changed key. ``touched`` may give the same keys in a cheaper way,
+    repeats included. The anti join leaves the base unshuffled when they are small enough to broadcast.
     """
-    latest = latest_per_key(changes, key, "_version")
-    untouched = base.join(latest.select(*key), list(key), "left_anti")
-    return untouched.unionByName(latest, allowMissingColumns=True)
+    keys = (latest if touched is None else touched).select(*key)
+    return base.join(keys, list(key), "left_anti").unionByName(latest, allowMissingColumns=True)
 
 
 def added_rows(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -93,6 +92,16 @@ def changed_values(before: DataFrame, after: DataFrame, key: Sequence[str], colu
     return pairs.filter(differs)
 
 
+def _nullable(fields: Sequence[T.StructField]) -> T.StructType:
+    return T.StructType([T.StructField(field.name, field.dataType) for field in fields])
+
+
+def _fit(df: DataFrame, known: T.StructType) -> DataFrame:
+    """The frame with the columns of a table first; fails when a column has another type there."""
+    added = [field for field in df.schema.fields if field.name not in known.names]
+    return df.to(_nullable([*known.fields, *added]))
+
+
 class VersionedTable:
     """A versioned table in a folder. Without a ``key`` it takes appends and overwrites only."""
 
@@ -170,7 +179,9 @@ class VersionedTable:
         if not later:
             rows = self._rows([base], schema)
         elif self.key:
-            rows = overlay(self._rows([base], schema), self._rows(later, schema), self.key)
+            touched = self._rows(later, schema)
+            latest = touched if len(later) == 1 else latest_per_key(touched, self.key, "_version")
+            rows = overlay(self._rows([base], schema), latest, self.key, touched)
         else:
             rows = self._rows([base, *later], schema)
         return rows.select(*schema.names)
@@ -212,10 +223,8 @@ class VersionedTable:
         if not committed:
             return self._commit(df, "APPEND", None, committed, committed_at)
         latest = max(committed)
-        known = self.spark.createDataFrame([], self._schema(latest, committed))
-        # Analysed for the resulting column list and the type check only.
-        widened = known.unionByName(df, allowMissingColumns=True).schema
-        return self._commit(df.to(widened), "APPEND", latest, committed, committed_at)
+        fitted = _fit(df, self._schema(latest, committed))
+        return self._commit(fitted, "APPEND", latest, committed, committed_at)
 
     def overwrite(self, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
                   committed_at: str | None = None) -> int:
@@ -244,7 +253,8 @@ class VersionedTable:
         try:
             changes = merge_changes(
                 source, self._contents(latest, committed), self.key, update_columns)
-            return self._commit(changes, "MERGE", latest, committed, committed_at)
+            fitted = _fit(changes, self._schema(latest, committed))
+            return self._commit(fitted, "MERGE", latest, committed, committed_at)
         finally:
             source.unpersist()
 
@@ -259,7 +269,7 @@ class VersionedTable:
         version = max(committed, default=-1) + 1
         if "_op" not in df.columns:
             df = df.withColumn("_op", F.lit(INSERTED))
-        schema = T.StructType([field for field in df.schema.fields if field.name not in _TECHNICAL])
+        schema = _nullable([field for field in df.schema.fields if field.name not in _TECHNICAL])
         counts = Observation()
         observed = df.observe(
             counts,

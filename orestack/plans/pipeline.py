@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orestack import settings
 from orestack.operators.versioned import VersionedTable
 from orestack.plans import bronze, gold, silver
 
@@ -55,6 +56,7 @@ def refresh_agg_revenue_daily(lake: Lake) -> int:
 def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: DataFrame,
                  raw_products: DataFrame, path: str, regions: Sequence[str] = silver.REGIONS) -> Lake:
     """Run every layer once, in order, and return the tables."""
+    settings.apply(spark)
     lake = Lake(spark, path)
     ingest_orders(lake, raw_orders)
     refresh_silver_orders(lake)

@@ -6,12 +6,12 @@ Every sort ends with the group key, so that equal measures have a fixed order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orestack.functions import money
 
 
-def _count(alias: str = "order_count"):
+def _count(alias: str = "order_count") -> Column:
     return F.count(F.lit(1)).alias(alias)
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from orestack import settings
 from orestack.functions import rules
 from orestack.operators import profile, schema, versioned
 from orestack.plans import bronze, checks, gold, pipeline, reports, silver
@@ -197,7 +198,7 @@ def orders_after_merge(spark: SparkSession, folder: str) -> DataFrame:
     """The first two batches merged without a table in between."""
     first, second, _ = (silver.silver_orders(batch) for batch in star.raw_order_batches(spark, folder))
     changes = versioned.merge_changes(second, first, ["order_id"], silver.ORDER_UPDATE_COLUMNS)
-    return versioned.overlay(first, changes.withColumn("_version", F.lit(1)), ["order_id"]).select(*first.columns)
+    return versioned.overlay(first, changes, ["order_id"]).select(*first.columns)
 
 
 def silver_orders_current(spark: SparkSession, folder: str) -> DataFrame:
@@ -347,6 +348,9 @@ def queries() -> dict[str, Query]:
     named: dict[str, Query] = {query.__name__: query for query in _LAYERS_AND_OPERATORS} | _REPORTS
 
     def finished(query: Query) -> Query:
-        return lambda spark, folder: comparable(query(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            settings.apply(spark)
+            return comparable(query(spark, folder))
+        return run
 
     return {name: finished(query) for name, query in named.items()}
