@@ -138,7 +138,7 @@ daily AS (
   GROUP BY order_date, order_year, order_month, region, category
 )"""
 
-# The contents of version n: customer and product of the first version that has the order, the other
+# The contents after batch n: customer and product of the first batch that has the order, the other
 # columns of the last one.
 _AS_OF = """
 v{n} AS (
@@ -150,11 +150,20 @@ v{n} AS (
   FROM batch_silver WHERE batch <= {n} GROUP BY order_id
 )"""
 
+# All of bronze merged into the restored first load.
+_FULL_MERGE = """
+full_merge AS (
+  SELECT order_id, coalesce(v0.customer_id, silver.customer_id) AS customer_id,
+    coalesce(v0.product_id, silver.product_id) AS product_id, silver.quantity, silver.unit_price,
+    silver.status, silver.order_date, silver.total_amount, v0.order_id IS NOT NULL AS known
+  FROM silver LEFT JOIN v0 USING (order_id)
+)"""
+
 _ORDERS = [_RAW_ORDERS, _TYPED, _VALID]
 _SILVER_CHAIN = [*_ORDERS, _SILVER]
 _FACT_CHAIN = [*_SILVER_CHAIN, _CUSTOMERS, _FACT]
 _DAILY_CHAIN = [*_FACT_CHAIN, _DAILY]
-_VERSIONS = [*_ORDERS, _BATCH_SILVER, *(_AS_OF.format(n=n) for n in range(3))]
+_VERSIONS = [*_SILVER_CHAIN, _BATCH_SILVER, *(_AS_OF.format(n=n) for n in range(3)), _FULL_MERGE]
 
 _RAW_COLUMNS = "order_id, customer_id, product_id, quantity, unit_price, status, order_date, ingested_at"
 
@@ -214,13 +223,28 @@ _STATUS_REPORT = f"""SELECT status, count(*) AS order_count,
 _EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 
-def _history_row(version: int) -> str:
-    known = "FALSE" if version == 0 else f"order_id IN (SELECT order_id FROM v{version - 1})"
+def _history_row(version: int, operation: str, inserted: str, updated: str, table: str) -> str:
     return f"""SELECT CAST({version} AS BIGINT) AS version, '{registry.COMMIT_TIMES[version]}' AS committed_at,
-      '{"WRITE" if version == 0 else "MERGE"}' AS operation,
-      count(*) FILTER (WHERE NOT ({known})) AS rows_inserted,
-      count(*) FILTER (WHERE {known}) AS rows_updated
-    FROM batch_silver WHERE batch = {version}"""
+      '{operation}' AS operation, {inserted} AS rows_inserted, {updated} AS rows_updated FROM {table}"""
+
+
+def _merged_batch(version: int) -> str:
+    known = f"order_id IN (SELECT order_id FROM v{version - 1})"
+    return _history_row(
+        version, "MERGE", f"count(*) FILTER (WHERE NOT ({known}))", f"count(*) FILTER (WHERE {known})",
+        f"batch_silver WHERE batch = {version}")
+
+
+_NONE = "count(*) FILTER (WHERE FALSE)"
+_HISTORY = " UNION ALL ".join((
+    _history_row(registry.FIRST_LOAD, "WRITE", "count(*)", _NONE, "v0"),
+    _merged_batch(registry.FIRST_MERGE),
+    _merged_batch(registry.SECOND_MERGE),
+    _history_row(registry.RESTORED, "RESTORE", _NONE, _NONE, "v0"),
+    _history_row(registry.FULL_MERGE, "MERGE", "count(*) FILTER (WHERE NOT known)",
+                 "count(*) FILTER (WHERE known)", "full_merge"),
+    _history_row(registry.FULL_MERGE_AGAIN, "MERGE", _NONE, "count(*)", "full_merge"),
+))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -290,15 +314,14 @@ def oracle_sql() -> dict[str, str]:
             CAST(b.total_amount AS DOUBLE) AS total_amount,
             CASE WHEN v0.customer_id IS NULL THEN 'I' ELSE 'U' END AS _op
           FROM batch_silver b LEFT JOIN v0 USING (order_id) WHERE batch = 1"""),
-        "orders_after_merge": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v1"),
-        "silver_orders_current": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v2"),
+        "orders_after_merge": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v2"),
+        "silver_orders_current": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM full_merge"),
         "orders_as_of_version": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v0"),
         "orders_as_of_timestamp": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v1"),
-        "table_history": _with(_VERSIONS, " UNION ALL ".join(_history_row(n) for n in range(3))),
-        "table_history_sql": _with(_VERSIONS, "SELECT version, operation FROM ("
-            + " UNION ALL ".join(_history_row(n) for n in range(3)) + ")"),
-        "table_history_summary": _with(_VERSIONS, """SELECT count(DISTINCT batch) AS version_count,
-            CAST(max(batch) AS BIGINT) AS latest_version FROM batch_silver"""),
+        "table_history": _with(_VERSIONS, _HISTORY),
+        "table_history_sql": _with(_VERSIONS, f"SELECT version, operation FROM ({_HISTORY})"),
+        "table_history_summary": _with(_VERSIONS, f"""SELECT count(*) AS version_count,
+            max(version) AS latest_version FROM ({_HISTORY})"""),
         "compare_versions": _with(_VERSIONS, """SELECT *, rows_after - rows_before AS row_difference FROM (
             SELECT (SELECT count(*) FROM v0) AS rows_before, (SELECT count(*) FROM v2) AS rows_after)"""),
         "diff_new_rows": _with(_VERSIONS,
@@ -307,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
             v1.status AS status_after FROM v0 JOIN v1 USING (order_id) WHERE v0.status <> v1.status"""),
         "orders_after_restore": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v0"),
         "check_merge_idempotent": _with(_VERSIONS, """SELECT count(*) AS rows_before, count(*) AS rows_after,
-            CAST(0 AS BIGINT) AS changed_rows, TRUE AS passed FROM v1"""),
+            CAST(0 AS BIGINT) AS changed_rows, TRUE AS passed FROM full_merge"""),
         "schema_evolve_append": _with([_RAW_ORDERS], f"""SELECT {_RAW_COLUMNS},
             CASE WHEN batch = 1 THEN lower(trim(status)) END AS channel FROM raw_orders WHERE batch < 2"""),
 

@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values.
 SOURCE_LABEL = "lineitem"
-COMMIT_TIMES = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
+COMMIT_TIMES = tuple(f"2024-01-0{day} 00:00:00" for day in range(1, 7))
 AS_OF_TIME = "2024-01-02 12:00:00"
 SLICE_YEAR, SLICE_MONTH = 1998, 3
 RANGE_FIRST, RANGE_LAST = datetime.date(1997, 11, 15), datetime.date(1998, 2, 10)
@@ -66,17 +66,25 @@ def lake(spark: SparkSession, folder: str) -> pipeline.Lake:
         star.raw_products(spark, folder), path, star.VALID_REGIONS))
 
 
+# Versions of the orders of the merged lake. The first three merge one arrival batch each.
+FIRST_LOAD, FIRST_MERGE, SECOND_MERGE, RESTORED, FULL_MERGE, FULL_MERGE_AGAIN = range(6)
+
+
 def merged_lake(spark: SparkSession, folder: str) -> pipeline.Lake:
-    """A lake whose orders arrived, and were merged, in three batches."""
-    return _once(spark, folder, "merged", lambda path: merge_batches(spark, folder, path, COMMIT_TIMES))
+    """A lake whose orders arrived and were merged in three batches, then were restored to the first
+    load, and then were merged twice from all of bronze."""
+    return _once(spark, folder, "merged", lambda path: _merge_and_restore(spark, folder, path))
 
 
-def merge_batches(spark: SparkSession, folder: str, path: str, commit_times: tuple[str, ...]) -> pipeline.Lake:
-    """Ingest and merge as many arrival batches as there are commit times."""
+def _merge_and_restore(spark: SparkSession, folder: str, path: str) -> pipeline.Lake:
     target = pipeline.Lake(spark, path)
-    for batch, committed_at in zip(star.raw_order_batches(spark, folder), commit_times):
+    for batch, committed_at in zip(star.raw_order_batches(spark, folder), COMMIT_TIMES):
         arrived = pipeline.ingest_orders(target, batch, SOURCE_LABEL, committed_at)
-        pipeline.refresh_silver_orders(target, target.bronze_orders.changes(arrived).drop("_op"), committed_at)
+        new_rows = target.bronze_orders.changes(arrived).drop("_op")
+        pipeline.refresh_silver_orders(target, new_rows, committed_at)
+    target.silver_orders.restore(FIRST_LOAD, COMMIT_TIMES[RESTORED])
+    for version in (FULL_MERGE, FULL_MERGE_AGAIN):
+        pipeline.refresh_silver_orders(target, committed_at=COMMIT_TIMES[version])
     return target
 
 
@@ -191,14 +199,15 @@ def _merged_orders(spark: SparkSession, folder: str) -> versioned.VersionedTable
 
 
 def merge_change_set(spark: SparkSession, folder: str) -> DataFrame:
-    return _merged_orders(spark, folder).changes(1)
+    return _merged_orders(spark, folder).changes(FIRST_MERGE)
 
 
 def orders_after_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """The first two batches merged without a table in between."""
-    first, second, _ = (silver.silver_orders(batch) for batch in star.raw_order_batches(spark, folder))
-    changes = versioned.merge_changes(second, first, ["order_id"], silver.ORDER_UPDATE_COLUMNS)
-    return versioned.overlay(first, changes, ["order_id"]).select(*first.columns)
+    return _merged_orders(spark, folder).as_of_version(SECOND_MERGE)
+
+
+def orders_after_restore(spark: SparkSession, folder: str) -> DataFrame:
+    return _merged_orders(spark, folder).as_of_version(RESTORED)
 
 
 def silver_orders_current(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,7 +215,7 @@ def silver_orders_current(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders_as_of_version(spark: SparkSession, folder: str) -> DataFrame:
-    return _merged_orders(spark, folder).as_of_version(0)
+    return _merged_orders(spark, folder).as_of_version(FIRST_LOAD)
 
 
 def orders_as_of_timestamp(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,31 +238,26 @@ def table_history_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def compare_versions(spark: SparkSession, folder: str) -> DataFrame:
     table = _merged_orders(spark, folder)
-    return checks.compare_versions(table.as_of_version(0), table.current())
+    return checks.compare_versions(table.as_of_version(FIRST_LOAD), table.current())
 
 
 def diff_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     table = _merged_orders(spark, folder)
-    return versioned.added_rows(table.as_of_version(0), table.as_of_version(1), ["order_id"])
+    return versioned.added_rows(
+        table.as_of_version(FIRST_LOAD), table.as_of_version(FIRST_MERGE), ["order_id"])
 
 
 def diff_changed_status(spark: SparkSession, folder: str) -> DataFrame:
     table = _merged_orders(spark, folder)
-    return versioned.changed_values(table.as_of_version(0), table.as_of_version(1), ["order_id"], "status")
-
-
-def orders_after_restore(spark: SparkSession, folder: str) -> DataFrame:
-    table = merge_batches(spark, folder, new_folder(spark, "restored"), COMMIT_TIMES[:2]).silver_orders
-    table.restore(0)
-    return table.current()
+    return versioned.changed_values(
+        table.as_of_version(FIRST_LOAD), table.as_of_version(FIRST_MERGE), ["order_id"], "status")
 
 
 def check_merge_idempotent(spark: SparkSession, folder: str) -> DataFrame:
-    target = merge_batches(spark, folder, new_folder(spark, "rerun"), COMMIT_TIMES[:2])
-    pipeline.refresh_silver_orders(target, target.bronze_orders.changes(1).drop("_op"))
-    table = target.silver_orders
+    """All of bronze merged twice in a row."""
+    table = _merged_orders(spark, folder)
     return checks.rerun_check(
-        table.as_of_version(1), table.as_of_version(2), ["order_id"], BUSINESS_COLUMNS)
+        table.as_of_version(FULL_MERGE), table.as_of_version(FULL_MERGE_AGAIN), ["order_id"], BUSINESS_COLUMNS)
 
 
 def schema_evolve_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -322,10 +326,10 @@ _LAYERS_AND_OPERATORS = (
     fact_orders_month_slice, fact_date_range, fact_preview,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
-    merge_change_set, orders_after_merge, silver_orders_current, orders_as_of_version,
-    orders_as_of_timestamp, table_history, table_history_sql, table_history_summary, compare_versions,
-    diff_new_rows, diff_changed_status, orders_after_restore, check_merge_idempotent,
-    schema_evolve_append, events_stream_ingest, events_stream_restart,
+    merge_change_set, orders_after_merge, orders_after_restore, silver_orders_current,
+    orders_as_of_version, orders_as_of_timestamp, table_history, table_history_sql,
+    table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
+    check_merge_idempotent, schema_evolve_append, events_stream_ingest, events_stream_restart,
 )
 
 _REPORTS: dict[str, Query] = {

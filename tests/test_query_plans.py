@@ -40,7 +40,7 @@ def test_scans_read_only_the_needed_columns(spark):
 
 
 def test_no_plan_needs_python_or_a_nested_loop(spark):
-    for name in ("fact_orders", "agg_revenue_daily", "quality_orders", "orders_after_merge"):
+    for name in ("fact_orders", "agg_revenue_daily", "quality_orders", "orders_after_merge", "check_merge_idempotent"):
         plan = _plan(registry.queries()[name](spark, DATA))
         for slow in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert slow not in plan, (name, slow)
