@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from orestack import schemas
-from orestack.functions import money
+from orestack.functions import dates, money
 from orestack.functions.rules import Rule, keep_valid
 from orestack.operators.dedup import latest_per_key
 from orestack.operators.schema import enforce
@@ -15,7 +15,6 @@ from orestack.operators.schema import enforce
 # Fixed values.
 STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
 REGIONS = ("North", "Central", "South")
-DATE_FORMAT = "yyyy-MM-dd"
 
 # A later copy of an order may change these; customer and product stay as first seen.
 ORDER_UPDATE_COLUMNS = (
@@ -32,7 +31,7 @@ def type_orders(bronze: DataFrame, money_type: T.DecimalType = schemas.MONEY) ->
     quantity = F.col("quantity").try_cast("int")
     unit_price = F.col("unit_price").try_cast(money_type)
     return bronze.withColumns({
-        "order_date": F.try_to_date("order_date", DATE_FORMAT),
+        "order_date": dates.iso_date(F.col("order_date")),
         "quantity": quantity,
         "unit_price": unit_price,
         "total_amount": money.total_amount(quantity, unit_price, money_type),
@@ -72,7 +71,7 @@ def clean_customers(raw: DataFrame) -> DataFrame:
         "phone": F.regexp_replace("phone", r"\s+", ""),
         "city": F.trim(F.col("city")),
         "region": F.trim(F.col("region")),
-        "created_date": F.try_to_date("created_at", DATE_FORMAT),
+        "created_date": dates.iso_date(F.col("created_at")),
     }).drop("created_at")
 
 

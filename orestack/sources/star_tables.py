@@ -53,7 +53,8 @@ def _every(key: str, n: int) -> Column:
 def raw_orders(spark: SparkSession, folder: str, shipped_from: str | None = None,
                shipped_before: str | None = None) -> DataFrame:
     """Order lines as raw orders, optionally those of one arrival batch."""
-    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey")
+    # Spread by more than the order, so that the copies of one order do not share a task.
+    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", "l_shipdate")
     if shipped_from is not None:
         lines = lines.filter(F.col("l_shipdate") >= F.lit(shipped_from).cast("timestamp_ntz"))
     if shipped_before is not None:

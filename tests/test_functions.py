@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+from decimal import Decimal
+from itertools import product
+
+from pyspark.sql import functions as F
+
+from orestack.functions import dates, money
+
+_PIECES = ("2024", "0000", "024", "12024", " 2024", "01", "02", "13", "1", "29", "30", "31", "5", "5 ", " 5", "5T",
+           "05", "T", " ", "\t", "x", "é", "")
+
+
+def test_iso_date_equals_parsing_with_the_pattern(spark):
+    texts = {dash.join(parts) for parts in product(_PIECES, repeat=3) for dash in ("-", "--", "/")}
+    df = spark.createDataFrame([(text,) for text in [*texts, None]], "t string").select(
+        "t", dates.iso_date(F.col("t")).alias("fast"), F.try_to_date("t", "yyyy-MM-dd").alias("parsed"))
+    assert df.filter("fast IS NOT NULL").count() > 10
+    differing = df.filter(~F.col("fast").eqNullSafe(F.col("parsed")))
+    assert differing.selectExpr("t", "CAST(fast AS STRING)", "CAST(parsed AS STRING)").collect() == []
+
+
+def test_rounding(spark):
+    row = spark.range(1).select(
+        money.in_millions(F.lit(Decimal("1005000.00")), 2).alias("millions"),
+        money.whole(F.lit(Decimal("2.50"))).alias("whole"),
+        money.mean(F.lit(Decimal("5.00")), F.lit(2)).alias("mean"),
+        money.in_thousands(F.lit(1250.0)).alias("thousands"),
+        money.percent(F.lit(1), F.lit(3)).alias("percent"),
+        money.percent(F.lit(0), F.lit(0)).alias("of_nothing"),
+    ).first()
+    assert tuple(row) == (Decimal("1.01"), Decimal("3.00"), 3.0, 1.3, 33.3, None)
