@@ -274,6 +274,15 @@ def oracle_sql() -> dict[str, str]:
         "fact_preview": _with(_FACT_CHAIN, """SELECT order_id, order_date, customer_name, region,
             product_name, category, CAST(total_amount AS DOUBLE) AS total_amount, is_high_value, status
           FROM fact ORDER BY order_id LIMIT 5"""),
+        "bronze_preview": _with([_RAW_ORDERS], f"""SELECT {_RAW_COLUMNS} FROM raw_orders
+          ORDER BY {', '.join(f'{name} ASC NULLS FIRST' for name in
+                              ('order_id', 'ingested_at', *registry.BRONZE_PREVIEW_COLUMNS))}
+          LIMIT {registry.PREVIEW_ROWS}"""),
+        "fact_history": _with(_FACT_CHAIN, f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation,
+            count(*) AS rows_inserted, {_NONE} AS rows_updated FROM fact"""),
+        "version_preview": _with(_VERSIONS, f"""SELECT order_id, status,
+            CAST(total_amount AS DOUBLE) AS total_amount, order_date
+          FROM v0 ORDER BY order_id LIMIT {registry.VERSION_PREVIEW_ROWS}"""),
         "profile_nulls": _with([_RAW_ORDERS], " UNION ALL ".join(
             f"SELECT '{name}' AS column_name, count(*) - count({name}) AS null_count FROM raw_orders"
             for name in registry.NULL_PROFILE_COLUMNS)),

@@ -75,11 +75,3 @@ def date_range_filter(first: datetime.date, last: datetime.date) -> Column:
     from_month = (year > first.year) | ((year == first.year) & (month >= first.month))
     to_month = (year < last.year) | ((year == last.year) & (month <= last.month))
     return from_month & to_month & F.col("order_date").between(F.lit(first), F.lit(last))
-
-
-def fact_preview(fact: DataFrame, limit: int = 5) -> DataFrame:
-    """The first orders by id with the columns a reader wants to see."""
-    return fact.select(
-        "order_id", "order_date", "customer_name", "region", "product_name", "category",
-        "total_amount", "is_high_value", "status",
-    ).orderBy("order_id").limit(limit)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orestack import settings
 from orestack.operators.versioned import VersionedTable
 from orestack.plans import bronze, gold, silver
+from orestack.sources import files
 
 
 class Lake:
@@ -64,3 +65,11 @@ def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: Data
     refresh_fact_orders(lake, raw_products)
     refresh_agg_revenue_daily(lake)
     return lake
+
+
+def run_from_csv(spark: SparkSession, orders: str, customers: str, products: str, path: str,
+                 regions: Sequence[str] = silver.REGIONS) -> Lake:
+    """Run every layer over CSV files; bronze keeps the file name of each row."""
+    return run_pipeline(
+        spark, files.read_orders(spark, orders), files.read_customers(spark, customers),
+        files.read_products(spark, products), path, regions)

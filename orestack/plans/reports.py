@@ -6,6 +6,8 @@ Every sort ends with the group key, so that equal measures have a fixed order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orestack.functions import money
@@ -15,6 +17,11 @@ def _count(alias: str = "order_count") -> Column:
     return F.count(F.lit(1)).alias(alias)
 
 
+def preview(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], limit: int) -> DataFrame:
+    """The first rows by ``order_by``, cut to the columns a reader wants to see."""
+    return df.orderBy(*order_by).limit(limit).select(*columns)
+
+
 def customers_by_region(customers: DataFrame) -> DataFrame:
     return customers.groupBy("region").agg(_count("customer_count")).orderBy("region")
 

@@ -30,6 +30,14 @@ RANGE_FIRST, RANGE_LAST = datetime.date(1997, 11, 15), datetime.date(1998, 2, 10
 SECOND_ARRIVAL_FROM = "2024-01-16"
 STREAM_FILES_PER_TRIGGER = 1000
 
+PREVIEW_ROWS = 5
+VERSION_PREVIEW_ROWS = 3
+FACT_PREVIEW_COLUMNS = (
+    "order_id", "order_date", "customer_name", "region", "product_name", "category",
+    "total_amount", "is_high_value", "status")
+VERSION_PREVIEW_COLUMNS = ("order_id", "status", "total_amount", "order_date")
+BRONZE_PREVIEW_COLUMNS = (
+    "order_id", "customer_id", "product_id", "quantity", "unit_price", "status", "order_date", "ingested_at")
 NULL_PROFILE_COLUMNS = (
     "order_id", "customer_id", "product_id", "quantity", "unit_price", "status", "order_date")
 BUSINESS_COLUMNS = (
@@ -144,7 +152,18 @@ def fact_date_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_preview(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.fact_preview(lake(spark, folder).fact_orders.current())
+    return reports.preview(
+        lake(spark, folder).fact_orders.current(), FACT_PREVIEW_COLUMNS, ["order_id"], PREVIEW_ROWS)
+
+
+def bronze_preview(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.preview(
+        lake(spark, folder).bronze_orders.current(), BRONZE_PREVIEW_COLUMNS,
+        ["order_id", "ingested_at", *BRONZE_PREVIEW_COLUMNS], PREVIEW_ROWS)
+
+
+def fact_history(spark: SparkSession, folder: str) -> DataFrame:
+    return lake(spark, folder).fact_orders.history().drop("committed_at")
 
 
 # -- profiles and layer summaries ---------------------------------------------------------------
@@ -218,6 +237,12 @@ def orders_as_of_version(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_orders(spark, folder).as_of_version(FIRST_LOAD)
 
 
+def version_preview(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.preview(
+        _merged_orders(spark, folder).as_of_version(FIRST_LOAD), VERSION_PREVIEW_COLUMNS, ["order_id"],
+        VERSION_PREVIEW_ROWS)
+
+
 def orders_as_of_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_orders(spark, folder).as_of_timestamp(AS_OF_TIME)
 
@@ -323,11 +348,12 @@ def _customers_by_region(spark: SparkSession, folder: str) -> DataFrame:
 _LAYERS_AND_OPERATORS = (
     bronze_orders, orders_typed, orders_valid, orders_rejects, quality_orders, quality_customers,
     silver_orders, silver_customers, fact_orders, agg_revenue_daily,
-    fact_orders_month_slice, fact_date_range, fact_preview,
+    fact_orders_month_slice, fact_date_range, fact_preview, bronze_preview,
+    fact_history,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
     merge_change_set, orders_after_merge, orders_after_restore, silver_orders_current,
-    orders_as_of_version, orders_as_of_timestamp, table_history, table_history_sql,
+    orders_as_of_version, version_preview, orders_as_of_timestamp, table_history, table_history_sql,
     table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
     check_merge_idempotent, schema_evolve_append, events_stream_ingest, events_stream_restart,
 )

@@ -62,7 +62,8 @@ def test_revenue_is_rounded_per_group(spark):
 
 
 def test_preview_is_ordered(spark):
-    assert [row["order_id"] for row in gold.fact_preview(_fact(spark), 2).collect()] == ["A", "B"]
+    first = reports.preview(_fact(spark), ["order_id", "region"], ["order_id"], 2)
+    assert [tuple(row) for row in first.collect()] == [("A", "North"), ("B", "North")]
 
 
 def _daily(spark):

@@ -1,17 +1,20 @@
 from __future__ import annotations
 
+import csv
 import datetime
 
 import pytest
 
 import samples
+from orestack import schemas
 from orestack.operators import profile
 from orestack.plans import checks, gold, pipeline
+from orestack.sources import files
 
 
 @pytest.fixture(scope="module")
-def raw(spark):
-    """500 orders, 50 of them delivered again five minutes later."""
+def raw(tmp_path_factory):
+    """CSV files: 500 orders, 50 of them delivered again five minutes later."""
     first = [(f"ORD-{n:06d}", f"CUST-{n % 200:04d}", f"PROD-{n % 50:04d}", n % 10 + 1, 1000.0 * (n % 7 + 1),
               "pending", str(datetime.date(2024, 1, 1) + datetime.timedelta(days=n % 365)), "2024-12-31T10:00:00")
              for n in range(500)]
@@ -19,14 +22,20 @@ def raw(spark):
     customers = [(f"CUST-{n:04d}", f"Name {n}", f"c{n}@x.vn", "09", "Hue", ("North", "Central", "South")[n % 3],
                   "2022-03-01") for n in range(200)]
     products = [(f"PROD-{n:04d}", f"Product {n}", ("Beauty", "Sports")[n % 2], "1", "1") for n in range(50)]
-    return (spark.createDataFrame(first + again, samples.schemas.RAW_ORDERS),
-            spark.createDataFrame(customers, samples.schemas.RAW_CUSTOMERS),
-            spark.createDataFrame(products, samples.schemas.RAW_PRODUCTS))
+    folder = tmp_path_factory.mktemp("raw")
+    paths = []
+    for name, names, rows in (("orders.csv", schemas.RAW_ORDERS.names, first + again),
+                              ("customers.csv", schemas.RAW_CUSTOMERS.names, customers),
+                              ("products.csv", schemas.RAW_PRODUCTS.names, products)):
+        paths.append(str(folder / name))
+        with open(paths[-1], "w", newline="", encoding="utf-8") as out:
+            csv.writer(out).writerows([names, *rows])
+    return paths
 
 
 @pytest.fixture(scope="module")
 def lake(spark, raw, tmp_path_factory):
-    return pipeline.run_pipeline(spark, *raw, str(tmp_path_factory.mktemp("lake")))
+    return pipeline.run_from_csv(spark, *raw, str(tmp_path_factory.mktemp("lake")))
 
 
 def test_rows_per_layer(lake):
@@ -40,6 +49,10 @@ def test_rows_per_layer(lake):
     assert (summary["orders_removed"], summary["fact_orders"]) == (50, 500)
 
 
+def test_bronze_keeps_the_file_name(lake):
+    assert samples.rows(lake.bronze_orders.current().select("_source_file").distinct()) == [("orders.csv",)]
+
+
 def test_the_later_copy_won(lake):
     assert lake.silver_orders.current().filter("status = 'shipped'").count() == 50
 
@@ -62,7 +75,7 @@ def test_gold_is_partitioned_and_date_ranges_prune(spark, lake):
 
 def test_a_second_run_keeps_the_business_columns(spark, raw, lake):
     before = lake.silver_orders.current()
-    pipeline.ingest_orders(lake, raw[0])
+    pipeline.ingest_orders(lake, files.read_orders(spark, raw[0]))
     assert lake.bronze_orders.current().count() == 1100
     pipeline.refresh_silver_orders(lake)
     columns = [name for name in before.columns if name not in ("order_id", "_silver_updated_at")]
@@ -70,7 +83,7 @@ def test_a_second_run_keeps_the_business_columns(spark, raw, lake):
     assert tuple(verdict) == (500, 500, 0, True)
 
 
-def test_gold_can_be_read_as_of_an_older_version(lake, raw):
+def test_gold_can_be_read_as_of_an_older_version(spark, lake, raw):
     before = samples.rows(lake.fact_orders.current(), "order_id", "total_amount")
-    pipeline.refresh_fact_orders(lake, raw[2])
+    pipeline.refresh_fact_orders(lake, files.read_products(spark, raw[2]))
     assert samples.rows(lake.fact_orders.as_of_version(0), "order_id", "total_amount") == before
