@@ -173,6 +173,29 @@ class VersionedTable:
         committed = self._committed()
         return self._rows([version], self._schema(version, committed)).drop("_version")
 
+    def differing(self, before: int, after: int) -> tuple[DataFrame, DataFrame]:
+        """The rows of two versions that can differ, as a pair to compare.
+
+        When one version builds on the other, only the keys written in between can differ, and only
+        the rows of those keys are returned; otherwise all rows are.
+        """
+        committed = self._committed()
+        schema = self._schema(after, committed)
+        older = self._contents(before, committed)
+        start, chain = self._chain(before, committed), self._chain(after, committed)
+        later = chain[len(start):]
+        if not self.key or chain[:len(start)] != start or not later:
+            return older, self._contents(after, committed)
+        touched = self._rows(later, schema)
+        return (
+            older.join(touched.select(*self.key), self.key, "left_semi"),
+            self._latest(touched, later).select(*schema.names),
+        )
+
+    def _latest(self, touched: DataFrame, versions: Sequence[int]) -> DataFrame:
+        # The rows of a single version are unique already.
+        return touched if len(versions) == 1 else latest_per_key(touched, self.key, "_version")
+
     def _contents(self, version: int, committed: dict[int, Row]) -> DataFrame:
         schema = self._schema(version, committed)
         base, *later = self._chain(version, committed)
@@ -180,8 +203,7 @@ class VersionedTable:
             rows = self._rows([base], schema)
         elif self.key:
             touched = self._rows(later, schema)
-            latest = touched if len(later) == 1 else latest_per_key(touched, self.key, "_version")
-            rows = overlay(self._rows([base], schema), latest, self.key, touched)
+            rows = overlay(self._rows([base], schema), self._latest(touched, later), self.key, touched)
         else:
             rows = self._rows([base, *later], schema)
         return rows.select(*schema.names)

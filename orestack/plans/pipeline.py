@@ -55,9 +55,13 @@ def refresh_agg_revenue_daily(lake: Lake) -> int:
 
 
 def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: DataFrame,
-                 raw_products: DataFrame, path: str, regions: Sequence[str] = silver.REGIONS) -> Lake:
-    """Run every layer once, in order, and return the tables."""
-    settings.apply(spark)
+                 raw_products: DataFrame, path: str, regions: Sequence[str] = silver.REGIONS,
+                 input_bytes: int | None = None) -> Lake:
+    """Run every layer once, in order, and return the tables.
+
+    ``input_bytes``, the size of the raw orders, sizes the shuffles of a large run.
+    """
+    settings.apply(spark, input_bytes)
     lake = Lake(spark, path)
     ingest_orders(lake, raw_orders)
     refresh_silver_orders(lake)
@@ -68,8 +72,8 @@ def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: Data
 
 
 def run_from_csv(spark: SparkSession, orders: str, customers: str, products: str, path: str,
-                 regions: Sequence[str] = silver.REGIONS) -> Lake:
+                 regions: Sequence[str] = silver.REGIONS, input_bytes: int | None = None) -> Lake:
     """Run every layer over CSV files; bronze keeps the file name of each row."""
     return run_pipeline(
         spark, files.read_orders(spark, orders), files.read_customers(spark, customers),
-        files.read_products(spark, products), path, regions)
+        files.read_products(spark, products), path, regions, input_bytes)

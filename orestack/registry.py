@@ -267,15 +267,13 @@ def compare_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def diff_new_rows(spark: SparkSession, folder: str) -> DataFrame:
-    table = _merged_orders(spark, folder)
-    return versioned.added_rows(
-        table.as_of_version(FIRST_LOAD), table.as_of_version(FIRST_MERGE), ["order_id"])
+    before, after = _merged_orders(spark, folder).differing(FIRST_LOAD, FIRST_MERGE)
+    return versioned.added_rows(before, after, ["order_id"])
 
 
 def diff_changed_status(spark: SparkSession, folder: str) -> DataFrame:
-    table = _merged_orders(spark, folder)
-    return versioned.changed_values(
-        table.as_of_version(FIRST_LOAD), table.as_of_version(FIRST_MERGE), ["order_id"], "status")
+    before, after = _merged_orders(spark, folder).differing(FIRST_LOAD, FIRST_MERGE)
+    return versioned.changed_values(before, after, ["order_id"], "status")
 
 
 def check_merge_idempotent(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,8 +14,25 @@ ADAPTIVE = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# A shuffle starts with one partition per this many input bytes, and adaptive execution merges those
+# that turn out small. The bound keeps the number of shuffle blocks (map tasks times partitions) in
+# reach; beyond it partitions grow and sorts spill.
+BYTES_PER_PARTITION = 256 * 1024 ** 2
+MOST_PARTITIONS = 50_000
 
-def apply(spark: SparkSession) -> None:
-    """Set them for the running session."""
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def shuffle_partitions(input_bytes: int, at_least: int) -> int:
+    """Shuffle partitions to start with for an input of a size."""
+    return max(at_least, min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION)))
+
+
+def apply(spark: SparkSession, input_bytes: int | None = None) -> None:
+    """Set them for the running session; with ``input_bytes`` also size its shuffles."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
+    if input_bytes is not None:
+        default = int(spark.conf.get(_SHUFFLE_PARTITIONS))
+        spark.conf.set(_INITIAL_PARTITIONS, str(shuffle_partitions(input_bytes, default)))

@@ -1,0 +1,19 @@
+from __future__ import annotations
+
+from orestack import settings
+
+GIB = 1024 ** 3
+
+
+def test_shuffles_grow_with_the_input():
+    assert settings.shuffle_partitions(1, 200) == 200
+    assert settings.shuffle_partitions(1024 * GIB, 200) == 4096
+    assert settings.shuffle_partitions(100 * 1024 * GIB, 200) == settings.MOST_PARTITIONS
+
+
+def test_apply_sets_the_session(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    settings.apply(spark, 4 * GIB)
+    assert spark.conf.get(name) == "16"
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    spark.conf.unset(name)

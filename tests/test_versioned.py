@@ -97,6 +97,18 @@ def test_difference_between_versions(merged):
     assert samples.rows(changed) == [("A", 1, 5)]
 
 
+def test_differing_rows_are_those_of_the_keys_written_in_between(spark, merged):
+    merged.merge(_orders(spark, ("K", "C3", "P3", 9), ("L", "C4", "P4", 1)), ["quantity"])
+    merged.merge(_orders(spark, ("L", "C4", "P4", 2)), ["quantity"])
+    before, after = merged.differing(1, 3)
+    assert samples.rows(before) == [("K", "C3", "P3", 7)]
+    assert samples.rows(after) == [("K", "C3", "P3", 9), ("L", "C4", "P4", 2)]
+    for old, new in ((3, 1), (1, merged.restore(0)), (2, 2)):
+        before, after = merged.differing(old, new)
+        assert samples.rows(before) == samples.rows(merged.as_of_version(old))
+        assert samples.rows(after) == samples.rows(merged.as_of_version(new))
+
+
 def test_changes_to_null_count_only_when_null_safe(spark):
     before = spark.createDataFrame([("A", "x"), ("B", None)], "k string, v string")
     after = spark.createDataFrame([("A", None), ("B", None)], "k string, v string")
