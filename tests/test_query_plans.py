@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pytest
 
 import samples
@@ -56,6 +58,33 @@ def test_a_large_merge_shuffles_each_side_once(spark, large_tables):
     second.unpersist()
 
 
+@contextmanager
+def _settings(spark, values):
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_a_hot_month_is_written_by_several_tasks(spark, folder):
+    settings.apply(spark)
+    rows = spark.range(0, 200000, 1, 8).selectExpr(
+        "sha2(CAST(id AS STRING), 256) AS order_id", "2024 AS order_year",
+        "IF(id % 3 = 0, 1, CAST(2 + id % 11 AS INT)) AS order_month")
+    table = versioned.VersionedTable(spark, folder)
+    with _settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}):
+        table.overwrite(rows, ["order_year", "order_month"])
+    assert table.current().count() == 200000
+    files = table.current().filter("order_month = 1").inputFiles()
+    hot = [name for name in files if name.split("order_month=")[1].startswith("1/")]
+    cold = [name for name in files if name.split("order_month=")[1].startswith("2/")]
+    assert len(hot) > 1 and len(cold) == 1
+
+
 def test_a_hot_customer_is_split(spark, large_tables):
     """One customer holds a third of the orders; the join must not leave them in one task."""
     settings.apply(spark)
@@ -65,10 +94,7 @@ def test_a_hot_customer_is_split(spark, large_tables):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    before = {name: spark.conf.get(name) for name in tuned}
-    for name, value in tuned.items():
-        spark.conf.set(name, value)
-    try:
+    with _settings(spark, tuned):
         orders = spark.range(0, 60000, 1, 16).selectExpr(
             "concat('O', id) AS order_id", "IF(id % 3 = 0, 'C0', concat('C', id)) AS customer_id",
             "'P1' AS product_id", "1 AS quantity", "CAST(2 AS DECIMAL(18,2)) AS unit_price",
@@ -80,6 +106,3 @@ def test_a_hot_customer_is_split(spark, large_tables):
         counted = daily.selectExpr("sum(order_count) AS n")
         assert counted.collect()[0]["n"] == 60000
         assert "skew=true" in _plan(counted)
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)

@@ -202,5 +202,5 @@ def test_describe(spark):
 
 
 def test_append_evolving(spark):
-    both = schema.append_evolving(spark.range(1), spark.createDataFrame([(5, "x")], "id bigint, c string"))
+    both = schema.append_evolving(spark.range(1).toDF("id"), spark.createDataFrame([(5, "x")], "id bigint, c string"))
     assert samples.rows(both) == [(0, None), (5, "x")]
