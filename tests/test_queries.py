@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle_check
+from orestack import oracle, registry
 
 DATA = "/root/testdata/sf0.001"
 
@@ -16,14 +17,14 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert registry.queries().keys() == oracle.oracle_sql().keys()
 
 
 def test_entry_has_rows(spark):
     assert driver.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_its_sql(spark, database, name):
-    query = driver.queries()[name](spark, DATA)
-    assert oracle_check.differences(query, database, driver.oracle_sql()[name]) == ""
+    query = registry.queries()[name](spark, DATA)
+    assert oracle_check.differences(query, database, oracle.oracle_sql()[name]) == ""
