@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orestack.llm import common
+from orestack.llm import common, decontaminate, line_dedup, mixing, quality, simhash
 
-STAGES = []
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field rates as good; fitted on labelled documents outside the evaluation fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~common.held_out(F.col("doc_id")))
+    rated = docs.withColumn("_score", quality.score(F.col("text"), quality.train(docs, labels)))
+    return rated.filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the runs of lines that repeat earlier ones; ``n_chars`` follows the text."""
+    left = line_dedup.dedup(docs)
+    return left.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(
+        F.col("n_chars"))).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of three-word shingle fingerprints at most three bits apart."""
+    return simhash.one_of_each(docs, shingle=3, distance=3)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a verified overlap with a benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.taken(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", remove_lines),
+    ("SimHash near-dedup", keep_one_of_each),
+    ("benchmark decontamination", remove_benchmark),
+    ("mixing sources to target weights", mix_sources),
+]
+
+# Trained weights, hashes and iterated links are beyond SQL; the stages are tested against plain Python.
 ORACLE_SQL = None
 
 
@@ -16,5 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = common.saved(docs, f"pipeline-{name}")
+            docs = common.saved(docs, f"pipeline-{i}")
     return docs

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orestack.llm import language, quality, simhash, token_counts
+from orestack.llm import (ann_codes, decontaminate, language, line_dedup, mixing, quality, simhash, suffix_dedup,
+                          token_counts, warc)
 from orestack.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ann_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ann_codes.search(table(spark, folder, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, k=20)
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, folder, "documents")).drop("kept")
+
+
 def op4_token_counts(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
@@ -24,6 +37,20 @@ def op4_token_counts(spark: SparkSession, folder: str, vocabulary: str | None =
     return token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = line_dedup.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "lines_in", "lines_removed", F.md5("text").alias("kept_md5"))
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive(table(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     filters = language.train(docs.filter(~held_out(F.col("doc_id"))))
@@ -45,4 +72,6 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_token_counts, op8_language, op9_simhash, op10_quality)}
+    return {f.__name__: f for f in (
+        op1_ann_codes, op2_decontaminate, op3_suffix_dedup, op4_token_counts, op5_line_dedup, op6_warc, op7_mixing,
+        op8_language, op9_simhash, op10_quality)}
