@@ -55,13 +55,14 @@ def repeated(rows: DataFrame, lines: int = 3, words: int = 50) -> DataFrame:
     """
     marks = saved(fingerprints(rows, lines, words), "line-marks")
     place = F.struct("doc", "at")
-    shared = (marks.groupBy("mark").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-              .filter("first != last").select("mark"))
+    # Written, so that a hot mark or run meets a plain shuffle, which adaptive execution can split.
+    shared = saved(marks.groupBy("mark").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                   .filter("first != last").select("mark"), "line-shared")
     runs = saved(marks.join(shared, "mark", "left_semi").select("doc", F.explode("runs").alias("r"))
                  .select("doc", "r.places", "r.run", "r.check"), "line-runs")
     place = F.struct("doc", F.col("places")[0])
-    first = (runs.groupBy("run", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .filter("first != last").select("run", "check", "first"))
+    first = saved(runs.groupBy("run", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                  .filter("first != last").select("run", "check", "first"), "line-firsts")
     later = runs.join(first, ["run", "check"]).filter(place != F.col("first"))
     return later.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("gone"))
 

@@ -31,7 +31,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     fields = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
               f"WARC-Record-ID: <urn:page:{'null' if page_id is None else page_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
-        fields.append("WARC-Target-URI: " + url.replace("%0A", "%250A").replace("%0D", "%250D").replace("\n", "%0A").replace("\r", "%0D"))
+        fields.append("WARC-Target-URI: " + url.replace("\n", "%0A").replace("\r", "%0D"))
     fields += [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(payload)}"]
     if refers_to is not None:
         fields += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
@@ -56,11 +56,8 @@ def parse(raw: bytes) -> tuple:
         found = fields.get(name, "<urn:page:null>")[10:-1]
         return None if found == "null" else int(found)
 
-    url = fields.get("WARC-Target-URI")
-    if url is not None:
-        url = url.replace("%0A", "\n").replace("%0D", "\r").replace("%250A", "%0A").replace("%250D", "%0D")
-    return (page("WARC-Record-ID"), url, kind, page("WARC-Refers-To"), digest, int(fields["X-Payload-Length"]),
-            payload if kind == "response" else None)
+    return (page("WARC-Record-ID"), fields.get("WARC-Target-URI"), kind, page("WARC-Refers-To"), digest,
+            int(fields["X-Payload-Length"]), payload if kind == "response" else None)
 
 
 class Bundle:
@@ -135,13 +132,14 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     ``pages`` has ``page_id``, ``url`` and ``html``; others are not read. Of pages with equal payloads the
     one with the smallest id becomes a response and the others revisit it; a null html is an empty
     payload, and empty payloads are equal too. A null id is never named by a revisit: pages that have
-    only null ids are all responses, and so are rows that repeat the smallest id. An empty table gives an
-    empty index. A task writes files under names of its own, and the index names those of the attempt
+    only null ids are all responses, and so are rows that repeat the smallest id. Line ends in a URL are
+    percent-encoded. An empty table gives an empty index. A task writes files under names of its own, and the index names those of the attempt
     that counted, so a lost executor leaves at most files that no index row points to.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha1", F.sha1("html"))
-    first = (rows.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-             .filter("n > 1").select("sha1", "first"))
+    # Written, so that a hot payload meets a plain shuffle, which adaptive execution can split.
+    first = saved(rows.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+                  .filter("n > 1").select("sha1", "first"), "warc-firsts")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
     known = rows.join(first, "sha1", "left").select("page_id", "url", "html", "sha1", refers.alias("refers_to"))
 
