@@ -26,15 +26,20 @@ def grams_of(token: str) -> list[str]:
     return [run[i: i + n] for run in runs for n in GRAMS for i in range(len(run) - n + 1)]
 
 
-def places(grams: list[str], slots: int) -> np.ndarray:
-    """The slots of each n-gram, one row per n-gram, by double hashing."""
-    from xxhash import xxh64_intdigest
-
-    hashes = np.fromiter((xxh64_intdigest(g.encode("utf-8", "surrogatepass")) for g in grams), np.uint64, len(grams))
-    first, step = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+def places(codes: np.ndarray, slots: int) -> np.ndarray:
+    """The slots of n-grams, one row of code points each, by double hashing."""
+    mixed = np.full(len(codes), codes.shape[1], np.uint64)
+    for column in codes.T:
+        mixed = (mixed ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    first, step = mixed & np.uint64(0xFFFFFFFF), (mixed >> np.uint64(32)) | np.uint64(1)
     return ((first[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]) % np.uint64(slots)).astype(np.int64)
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
 @dataclass
 class Filters:
     """One slot holds a bit per language: a look-up answers for all languages at once.
@@ -56,9 +61,11 @@ class Filters:
         for i in range(len(languages)):
             masks[:, i // 64] |= member[:, i].astype(np.uint64) << np.uint64(i % 64)
         table = np.zeros((slots, words), np.uint64)
-        at = places(grams, slots)
-        for k in range(HASHES):
-            np.bitwise_or.at(table, at[:, k], masks)
+        for n in {len(g) for g in grams}:
+            own = np.array([i for i, g in enumerate(grams) if len(g) == n])
+            at = places(code_points("".join(grams[i] for i in own)).reshape(-1, n), slots)
+            for k in range(HASHES):
+                np.bitwise_or.at(table, at[:, k], masks[own])
         made = cls(languages, default, table, np.zeros(len(languages)))
         made.false_positive = made.bits(table).mean(axis=0) ** HASHES if languages else made.false_positive
         return made
@@ -68,12 +75,32 @@ class Filters:
         i = np.arange(len(self.languages))
         return (masks[:, i // 64] >> (i % 64).astype(np.uint64) & np.uint64(1)).astype(np.float64)
 
-    def contained(self, grams: list[str]) -> np.ndarray:
-        """Which languages may contain each n-gram."""
-        return self.bits(np.bitwise_and.reduce(self.table[places(grams, len(self.table))], axis=1))
+    def contained(self, codes: np.ndarray) -> np.ndarray:
+        """Masks of the languages that may contain each n-gram, given as rows of code points."""
+        return np.bitwise_and.reduce(self.table[places(codes, len(self.table))], axis=1)
+
+    def votes(self, tokens: list[str]) -> np.ndarray:
+        """For each token how many of its n-grams each language contains, and in the last column how many it has."""
+        runs = ["".join(" " + run for run in LETTERS.findall(token)) for token in tokens]
+        codes = code_points("".join(runs) + " ")
+        owner = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, runs), np.int64, len(runs)))
+        out = np.zeros((len(tokens), len(self.languages) + 1))
+        blank = codes == 32
+        for n in GRAMS:
+            rows = np.lib.stride_tricks.sliding_window_view(codes, n) if len(codes) >= n else np.zeros((0, n), np.uint64)
+            # A blank stands at the ends of a run only.
+            fits = ~np.lib.stride_tricks.sliding_window_view(blank, n)[:, 1:-1].any(axis=1) if len(rows) else np.zeros(0, bool)
+            at = np.flatnonzero(fits)
+            masks, own = self.contained(rows[at]), owner[at]
+            for i in range(len(self.languages)):
+                out[:, i] += np.bincount(own, masks[:, i // 64] >> np.uint64(i % 64) & np.uint64(1), len(tokens))
+            out[:, -1] += np.bincount(own, minlength=len(tokens))
+        return out
 
     def decide(self, hits: np.ndarray, total: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and share of the corrected popcounts for rows of per-language popcounts."""
+        if not self.languages:
+            return [self.default] * len(hits), np.zeros(len(hits))
         rate = np.minimum(self.false_positive, 0.999)
         true = np.maximum(0.0, (hits - rate * total[:, None]) / (1 - rate))
         whole = true.sum(axis=1)
@@ -117,17 +144,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     per_gram = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
     rows = (per_gram.filter(F.col("n") >= at_least).orderBy(F.desc("n"), "gram").limit(capacity)
-            .select("gram", "by").toPandas())
+            .select("gram", F.col("by.lang").alias("langs"), F.col("by.n").alias("counts")).toArrow())
     sizes = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     languages = sorted(sizes)
     place = {name: i for i, name in enumerate(languages)}
-    rate = np.zeros((len(rows), len(languages)))
-    for i, by in enumerate(rows["by"]):
-        for item in by:
-            rate[i, place[item["lang"]]] = item["n"] / max(1, sizes[item["lang"]])
+    grams, lists, numbers = (rows.column(c).combine_chunks() for c in ("gram", "langs", "counts"))
+    at = np.repeat(np.arange(len(grams)), np.diff(lists.offsets.to_numpy()))
+    where = np.array([place[name] for name in lists.flatten().to_pylist()], np.int64)
+    rate = np.zeros((len(grams), len(languages)))
+    rate[at, where] = numbers.flatten().to_numpy() / np.maximum(1, [sizes[name] for name in languages])[where]
     member = (rate > 0) & (rate >= near * rate.max(axis=1, keepdims=True, initial=0))
     default = max(languages, key=lambda name: (sizes[name], name))
-    return Filters.build(languages, default, list(rows["gram"]), member, slots)
+    return Filters.build(languages, default, grams.to_pylist(), member, slots)
 
 
 def predict(text: Column, filters: Filters | None) -> Column:
@@ -138,34 +166,21 @@ def predict(text: Column, filters: Filters | None) -> Column:
     """
 
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = filters or Filters([], UNDETERMINED, np.zeros((1, 1), np.uint64), np.zeros(0))
         known: dict[str, int] = {}
-        width = len(filters.languages) + 1 if filters else 1
-        votes = np.zeros((0, width))
+        votes = np.zeros((0, len(model.languages) + 1))
         for batch in batches:
             texts, names, scores = ["" if t is None else t for t in batch], [], []
-            for start, end in slices(texts):
+            for start, end in slices(texts, 1_000_000):
                 tokens = [t.lower().split() for t in texts[start:end]]
                 if len(known) > REMEMBERED:
-                    known, votes = {}, np.zeros((0, width))
+                    known, votes = {}, votes[:0]
                 new = list(set().union(*tokens) - known.keys())
-                grams = [grams_of(token) for token in new]
-                sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-                flat = [g for own in grams for g in own]
-                rows = np.zeros((len(new), width))
-                if flat and filters:
-                    owner = np.repeat(np.arange(len(new)), sizes)
-                    hit = filters.contained(flat)
-                    for i in range(width - 1):
-                        rows[:, i] = np.bincount(owner, hit[:, i], len(new))
-                rows[:, -1] = sizes
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                votes = np.concatenate([votes, rows])
-                sums = np.array([votes[list(map(known.__getitem__, own))].sum(axis=0) for own in tokens]).reshape(-1, width)
+                votes = np.concatenate([votes, model.votes(new)])
+                sums = np.array([votes[list(map(known.__getitem__, own))].sum(axis=0) for own in tokens])
                 lettered = sums[:, -1] > 0
-                if filters:
-                    langs, score = filters.decide(sums[:, :-1], sums[:, -1])
-                else:
-                    langs, score = [UNDETERMINED] * len(tokens), np.zeros(len(tokens))
+                langs, score = model.decide(sums[:, :-1], sums[:, -1])
                 names += [name if ok else UNDETERMINED for name, ok in zip(langs, lettered)]
                 scores += np.where(lettered, score, 0.0).tolist()
             yield pd.DataFrame({"lang_pred": names, "score": scores})

@@ -10,7 +10,7 @@ from orestack.llm.common import WORD_PATTERN, saved
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 # Rows of one bucket of a shuffled source, and slots of one chunk of the schedule: what a window task sorts.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 CHUNK_SLOTS = 16_384
 
 

@@ -175,11 +175,21 @@ def test_languages(spark):
     assert rows(alone) == [("und",)]
 
 
+def test_votes_count_every_gram(spark):
+    tokens = ["abc", "l'eau,", "42", "ab-c" * 5, "a"]
+    grams = [language.grams_of(t) for t in tokens]
+    every = sorted({g for own in grams for g in own})
+    filters = language.Filters.build(["x", "y"], "x", every, language.np.array([[1, i % 2] for i in range(len(every))], bool), 1 << 16)
+    votes = filters.votes(tokens)
+    assert votes[:, 0].tolist() == votes[:, 2].tolist() == [len(own) for own in grams]
+    assert votes[:, 1].tolist() == [sum(every.index(g) % 2 for g in own) for own in grams]
+
+
 def test_filters_answer_for_more_than_64_languages():
     names = ["l%02d" % i for i in range(70)]
-    grams = ["g%d" % i for i in range(70)]
+    grams = ["g%02d" % i for i in range(70)]
     filters = language.Filters.build(names, names[0], grams, language.np.eye(70, dtype=bool), 1 << 14)
-    hit = filters.contained(grams)
+    hit = filters.bits(filters.contained(language.code_points("".join(grams)).reshape(-1, 3)))
     assert all(hit[i, i] for i in range(70)) and hit.mean() < 0.05
 
 
