@@ -26,7 +26,7 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.dedup(table(spark, folder, "documents")).drop("kept")
+    return suffix_dedup.dedup(table(spark, folder, "documents"), with_kept=False).drop("kept")
 
 
 def op4_token_counts(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:

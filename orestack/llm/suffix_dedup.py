@@ -9,13 +9,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orestack.llm.common import saved
+from orestack.llm.common import saved, slices
 from orestack.llm.line_dedup import row_name
 
 SAMPLE = 128  # bytes of the first rank; a repeated string of the threshold has a sampled position with it
 SEGMENT = 1 << 20  # string starts that a task looks at together
 LOW = np.uint64(0xFFFFFFFF)
-ANCHOR = "name string, hash long, mark long, low long, high long, before long, whole long, check long"
+TOGETHER = 20_000  # different surroundings of one mark that a task compares; more are compared row by row
+ANCHOR = "name string, hash long, mark long, low long, starts int, before int, whole long"
+CONTEXT = "mark long, name string, hash long, low long, known boolean, hot boolean, data binary"
 
 
 class Hashes:
@@ -61,7 +63,7 @@ def segments(data: bytes, least: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def samples(hashes: Hashes, data: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """For each sampled position its rank, the string starts that chose it, and two ranks of all their bytes.
+    """For each sampled position its rank, the string starts that chose it, and a rank of all their bytes.
 
     Every string of ``least`` bytes chooses the position in it whose first ``SAMPLE`` bytes rank lowest,
     the last of equals, so equal strings choose alike. Starts that choose one position are neighbours.
@@ -74,7 +76,7 @@ def samples(hashes: Hashes, data: np.ndarray, least: int) -> tuple[np.ndarray, .
     low = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     high = np.r_[low[1:], len(chosen)] - 1
     at = chosen[low]
-    return rank[at], low, high, at - low, hashes.rank(0, low, high + least), hashes.rank(1, low, high + least)
+    return rank[at], low, high - low + 1, at - low, hashes.rank(1, low, high + least)
 
 
 def spans(data: bytes, low: np.ndarray, high: np.ndarray, least: int) -> tuple[int, int, bytes]:
@@ -87,14 +89,62 @@ def spans(data: bytes, low: np.ndarray, high: np.ndarray, least: int) -> tuple[i
     return int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes()
 
 
+def packed(text: Column) -> Column:
+    """The text as Zstandard bytes: documents are shuffled twice, so they travel small."""
+
+    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import zstandard
+
+        compressor = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        for batch in batches:
+            yield batch.map(lambda t: compressor.compress(b"" if t is None else t.encode()))
+
+    return F.pandas_udf(pack, "binary")(text)
+
+
+def all_starts(hashes: Hashes, contexts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two ranks of every string of ``least`` bytes in the contexts, and how many each context has."""
+    counts = np.array([len(c) - least + 1 for c in contexts], np.int64)
+    ranks: tuple[list, list] = ([], [])
+    for a, b in slices(contexts, SEGMENT // 2):
+        for start, data in segments(contexts[a], least) if b == a + 1 else [(0, np.frombuffer(b"".join(contexts[a:b]), np.uint8))]:
+            hashes.of(data)
+            at = np.arange(len(data) - least + 1)
+            if b > a + 1:
+                sizes = counts[a:b] + least - 1
+                at = np.concatenate([s + np.arange(n) for s, n in zip(np.cumsum(sizes) - sizes, counts[a:b])])
+            for which in (0, 1):
+                ranks[which].append(hashes.rank(which, at, at + least))
+    return np.concatenate(ranks[0]), np.concatenate(ranks[1]), counts
+
+
+def meet(group: pd.DataFrame, hashes: Hashes, least: int) -> pd.DataFrame:
+    """Ranges of string starts that stand at more than one place among the contexts of some marks."""
+    rank, check, counts = all_starts(hashes, list(group["data"]), least)
+    owner = np.repeat(np.arange(len(group)), counts)
+    place = group["low"].to_numpy()[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    known = group["known"].to_numpy(bool)[owner]
+    order = np.lexsort((check, rank))
+    new = np.r_[True, (rank[order][1:] != rank[order][:-1]) | (check[order][1:] != check[order][:-1])]
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    twice = np.bincount(kind, 1 + known)[kind] > 1
+    at = np.flatnonzero(twice & ~known)
+    first = np.r_[True, (np.diff(at) > 1) | (owner[at[1:]] != owner[at[:-1]])] if len(at) else np.zeros(0, bool)
+    starts, ends = at[first], at[np.r_[first[1:], True]] if len(at) else at
+    return pd.DataFrame({"name": group["name"].to_numpy()[owner[starts]], "hash": group["hash"].to_numpy()[owner[starts]],
+                         "low": place[starts], "high": place[ends]})
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 400) -> DataFrame:
     """``name``, ``hash`` and ``at``, arrays of first and last starts of strings that start elsewhere too.
 
     Ranks grow in three rounds, and what has become unique leaves. First the 128 bytes at sampled
     positions; then, where those stand twice, all the bytes of the starts that chose the position: equal
     ones are past the threshold, and so are all strings in them. Only where the second round parts
-    positions that the first round held together, single starts are ranked by the pair of their whole
-    string, one position standing for all that are equal. Rows are only counted per rank; no pairs are made.
+    positions that the first round held together, single starts are ranked by their whole string, one
+    position standing for all that are equal. These meet by the mark of their position in one task, or,
+    when a mark has very many different surroundings, row by row. No pairs are made.
     """
     rows = docs.select(row_name(key).alias("name"), F.xxhash64(text).alias("hash"), F.coalesce(text, F.lit("")).alias("text"))
 
@@ -104,10 +154,9 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
             parts, size = [], 0
             for name, digest, value in zip(batch["name"], batch["hash"], batch["text"]):
                 for start, data in segments(value.encode(), least):
-                    mark, low, high, before, whole, check = samples(hashes, data, least)
-                    parts.append(pd.DataFrame({
-                        "name": name, "hash": digest, "mark": mark.view(np.int64), "low": low + start,
-                        "high": high + start, "before": before, "whole": whole.view(np.int64), "check": check.view(np.int64)}))
+                    mark, low, starts, before, whole = samples(hashes, data, least)
+                    parts.append(pd.DataFrame({"name": name, "hash": digest, "mark": mark.view(np.int64), "low": low + start,
+                                               "starts": starts, "before": before, "whole": whole.view(np.int64)}))
                     size += len(low)
                 if size > 50_000:
                     yield pd.concat(parts)
@@ -116,74 +165,99 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
                 yield pd.concat(parts)
 
     long = rows.filter(F.octet_length("text") >= least)
-    anchors = saved(long.mapInPandas(sample, ANCHOR), "suffix-samples")
-    shape = ["mark", "before", F.col("high") - F.col("low"), "whole", "check"]
-    shape[2] = shape[2].alias("starts")
-    wholes = saved(anchors.groupBy(*shape).agg(F.count("*").alias("n"), F.min(F.struct("name", "hash", "low", "high")).alias("one"))
-                   .select("mark", "before", "starts", "whole", "check", "n", "one"), "suffix-wholes")
-    parted = (wholes.groupBy("mark").agg(F.sum("n").alias("n"), F.min("n").alias("least"))
-              .filter("n > 1 AND least = 1").select("mark"))
-    single = wholes.join(parted, "mark", "left_semi").select(
-        "one.name", "one.hash", F.struct("one.low", "one.high", (F.col("n") > 1).alias("known")).alias("range"))
-    asked = single.groupBy("name", "hash").agg(F.collect_list("range").alias("ranges"))
-    same = ["mark", "before", "starts", "whole", "check"]
-    settled = (anchors.withColumn("starts", F.col("high") - F.col("low"))
-               .join(wholes.filter("n > 1").select(*same), same, "left_semi").select("name", "hash", "low", "high"))
-
-    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    samples_ = saved(long.mapInPandas(sample, ANCHOR), "suffix-samples")
+    shared = saved(samples_.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "suffix-shared")
+    anchors = saved(samples_.join(shared, "mark", "left_semi").select(*samples_.columns), "suffix-anchors")
+    same = ["mark", "before", "starts", "whole"]
+    wholes = saved(anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("name", "hash", "low")).alias("one"))
+                   .select(*same, "n", "one.*"), "suffix-wholes")
+    parted = saved(wholes.groupBy("mark").agg(F.count("*").alias("members"), F.min("n").alias("least"))
+                   .filter("members > 1 AND least = 1").select("mark", (F.col("members") > TOGETHER).alias("hot")), "suffix-parted")
+    single = wholes.join(parted, "mark").select(
+        "name", "hash", F.struct("mark", "low", "starts", (F.col("n") > 1).alias("known"), "hot").alias("range"))
+    asked = saved(single.groupBy("name", "hash").agg(F.collect_list("range").alias("ranges")), "suffix-asked")
+    settled = (anchors.join(wholes.filter("n > 1").select(*same), same, "left_semi")
+               .select("name", "hash", "low", (F.col("low") + F.col("starts") - 1).alias("high")))
+
+    def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+        names = [field.split()[0] for field in CONTEXT.split(", ")]
+        for batch in batches:
+            out = []
+            for name, digest, raw, ranges in zip(batch["name"], batch["hash"], batch["data"], batch["ranges"]):
+                data = unpack.decompress(raw)
+                out += [(r["mark"], name, digest, r["low"], r["known"], r["hot"], data[r["low"]: r["low"] + r["starts"] + least - 1])
+                        for r in ranges]
+                if len(out) > 5_000:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    small = long.select("name", "hash", packed(F.col("text")).alias("data"))
+    contexts = saved(small.join(asked, ["name", "hash"]).mapInPandas(cut_out, CONTEXT), "suffix-contexts")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, left = Hashes(SEGMENT + least), None
+        for batch in batches:
+            left = batch if left is None else pd.concat([left, batch])
+            last = left["mark"] == left["mark"].iloc[-1]
+            if not last.all():
+                whole, left = left[~last], left[last]
+                edges = np.flatnonzero(np.diff(whole["mark"].to_numpy())) + 1
+                cuts = [0, *edges[np.flatnonzero(np.diff(edges // 2_000)) + 1], len(whole)] if len(edges) else [0, len(whole)]
+                yield from (meet(whole.iloc[a:b], hashes, least) for a, b in zip(cuts, cuts[1:]) if b > a)
+        if left is not None:
+            yield meet(left, hashes, least)
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes(SEGMENT + least)
         for batch in batches:
-            parts, size = [], 0
-            for name, digest, value, ranges in zip(batch["name"], batch["hash"], batch["text"], batch["ranges"]):
-                low, high = (np.array([r[end] for r in ranges], np.int64) for end in ("low", "high"))
-                known = np.array([r["known"] for r in ranges], bool)
-                for start, data in segments(value.encode(), least):
-                    mine = low // SEGMENT == start // SEGMENT
-                    if not mine.any():
-                        continue
-                    hashes.of(data)
-                    lengths = high[mine] - low[mine] + 1
-                    first = np.cumsum(lengths) - lengths
-                    at = np.repeat(low[mine] - start - first, lengths) + np.arange(lengths.sum())
-                    parts.append(pd.DataFrame({
-                        "name": name, "hash": digest, "at": at + start, "known": np.repeat(known[mine], lengths),
-                        "rank": hashes.rank(0, at, at + least).view(np.int64),
-                        "check": hashes.rank(1, at, at + least).view(np.int64)}))
-                    size += len(at)
-                if size > 50_000:
-                    yield pd.concat(parts)
-                    parts, size = [], 0
-            if parts:
-                yield pd.concat(parts)
+            for a, b in slices(list(batch["data"]), SEGMENT):
+                part = batch.iloc[a:b]
+                rank, check, counts = all_starts(hashes, list(part["data"]), least)
+                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                frame = part[["name", "hash", "low", "known"]].loc[part.index.repeat(counts)]
+                yield frame.assign(low=frame["low"].to_numpy() + inside, rank=rank.view(np.int64), check=check.view(np.int64))
 
-    starts = saved(long.join(asked, ["name", "hash"]).mapInPandas(
-        rank, "name string, hash long, at long, known boolean, rank long, check long"), "suffix-starts")
-    twice = starts.groupBy("rank", "check").agg(F.count("*").alias("n"), F.max("known").alias("known")).filter("n > 1 OR known")
-    found = (starts.filter("NOT known").join(twice.select("rank", "check"), ["rank", "check"], "left_semi")
-             .select("name", "hash", F.col("at").alias("low"), F.col("at").alias("high")))
-    return settled.unionByName(found).groupBy("name", "hash").agg(F.collect_list(F.struct("low", "high")).alias("at"))
+    span = "name string, hash long, low long, high long"
+    few = (contexts.filter("NOT hot").repartition("mark").sortWithinPartitions("mark").mapInPandas(compare, span))
+    starts = saved(contexts.filter("hot").mapInPandas(
+        spread, "name string, hash long, low long, known boolean, rank long, check long"), "suffix-starts")
+    twice = saved(starts.groupBy("rank", "check").agg(F.sum(F.when(F.col("known"), 2).otherwise(1)).alias("n"))
+                  .filter("n > 1").select("rank", "check"), "suffix-twice")
+    many = (starts.filter("NOT known").join(twice, ["rank", "check"], "left_semi")
+            .select("name", "hash", "low", F.col("low").alias("high")))
+    return (settled.unionByName(few).unionByName(many).groupBy("name", "hash")
+            .agg(F.collect_list(F.struct("low", "high")).alias("at")))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 400) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 400, with_kept: bool = True) -> DataFrame:
     """``key``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (the bytes), a row per row.
 
+    ``kept`` is null without ``with_kept``.
+
     Every byte goes that a string of ``least`` bytes covers which also starts anywhere else, in the same
     document or another; the strings are those of the input, copies of a row included, and overlaps
     count. Null counts as empty, shorter texts stay whole, very long ones are looked at in stretches.
     """
     at = repeats(docs, key, text, least).withColumnsRenamed({"name": "_name", "hash": "_hash", "at": "_at"})
-    named = docs.select(F.col(key), F.col(text), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
+    named = docs.select(F.col(key), packed(F.col(text)).alias("_data"), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
 
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        out = []
-        for value, ranges in zip(texts, found):
-            data = b"" if value is None else value.encode()
+        import zstandard
+
+        unpack, out = zstandard.ZstdDecompressor(), []
+        for raw, ranges in zip(texts, found):
+            data = unpack.decompress(raw)
             ranges = [] if ranges is None else ranges
             low, high = (np.array([r[end] for r in ranges], np.int64) for end in ("low", "high"))
             removed, runs, kept = spans(data, low, high, least)
-            out.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
+            out.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     cut_udf = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return (named.join(at, ["_name", "_hash"], "left").select(F.col(key), cut_udf(F.col(text), F.col("_at")).alias("_cut"))
+    return (named.join(at, ["_name", "_hash"], "left").select(F.col(key), cut_udf(F.col("_data"), F.col("_at")).alias("_cut"))
             .select(key, "_cut.*"))
