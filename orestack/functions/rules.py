@@ -38,10 +38,10 @@ def rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def account(df: DataFrame, rules: Sequence[Rule], key: str | None = None) -> DataFrame:
-    """One row of counts from one pass: input, valid, rejected, and failures of every rule.
+    """One row of counts: input, valid, rejected, and failures of every rule.
 
-    With ``key``, also the valid rows left after keeping one row per key. The distinct count is
-    pre-aggregated per key on the map side, so a hot key does not gather in one task.
+    With ``key``, also the valid rows left after keeping one row per key. The distinct count is an
+    aggregate of its own, so that only keys travel for it; it is pre-aggregated on the map side.
     """
     valid = all_met(rules)
     counts = [
@@ -50,9 +50,8 @@ def account(df: DataFrame, rules: Sequence[Rule], key: str | None = None) -> Dat
         F.count_if(~valid).alias("rejected_rows"),
         *(F.count_if(~_met(rule)).alias(f"failed_{rule.name}") for rule in rules),
     ]
-    if key is not None:
-        counts.append(F.count_distinct(F.when(valid, F.col(key))).alias("unique_rows"))
     result = df.agg(*counts)
     if key is not None:
-        result = result.withColumn("duplicate_rows", F.col("valid_rows") - F.col("unique_rows"))
+        unique = df.filter(valid).agg(F.count_distinct(key).alias("unique_rows"))
+        result = result.withColumn("unique_rows", unique.scalar()).withColumn("duplicate_rows", F.col("valid_rows") - F.col("unique_rows"))
     return result

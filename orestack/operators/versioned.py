@@ -3,7 +3,8 @@
 A versioned table is a folder with two parts. ``rows/_version=N`` holds the rows written by version
 N: the whole table for an overwrite, the new rows for an append, the changed rows for a merge.
 ``commits`` holds one row per committed version and is written last, so a failed attempt stays
-invisible and its retry replaces it. One writer at a time is assumed.
+invisible and its retry replaces it. One writer at a time is assumed; a second one fails, since a
+committed version is never written again.
 
 Every commit names the version it builds on, so the contents of a version are the rows of a chain of
 versions. A merge costs no more than the touched keys need, a restore writes no rows at all, and a
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F, types as T
 
 from orestack import schemas
 from orestack.operators.dedup import latest_per_key
@@ -30,6 +31,20 @@ class VersionNotFound(LookupError):
     """No committed version answers the request."""
 
 
+def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows; the job that reads them fails on a NULL key and on a key with several rows.
+
+    The rows are counted over the key, for which a frame that is unique by a window has its shuffle already.
+    """
+    unknown = F.lit(False)
+    for name in key:
+        unknown = unknown | F.col(name).isNull()
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    problem = F.when(unknown, "a row without a key").when(F.col("_copies") > 1, "several rows of one key")
+    fine = F.when(problem.isNotNull(), F.raise_error(F.concat(F.lit("cannot merge: "), problem)).cast("boolean")).otherwise(True)
+    return df.withColumn("_copies", copies).filter(fine).drop("_copies")
+
+
 def merge_changes(source: DataFrame, current: DataFrame, key: Sequence[str],
                   update_columns: Sequence[str] | None = None) -> DataFrame:
     """Rows an upsert writes: every source row, marked ``I`` or ``U`` in ``_op``.
@@ -255,6 +270,8 @@ class VersionedTable:
         With ``partition_by`` the rows are brought together per partition by a rebalance, which
         splits a partition that outgrows a task and merges small ones.
         """
+        if self.key:
+            df = one_row_per_key(df, self.key)
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         if partition_by or sort_by:
@@ -267,6 +284,7 @@ class VersionedTable:
         if not self.key:
             raise ValueError("a merge needs a keyed table")
         committed = self._committed()
+        source = one_row_per_key(source, self.key)
         if not committed:
             return self._commit(source, "WRITE", None, committed, committed_at)
         latest = max(committed)
@@ -289,6 +307,8 @@ class VersionedTable:
     def _commit(self, df: DataFrame, operation: str, parent: int | None, committed: dict[int, Row],
                 committed_at: str | None, partition_by: Sequence[str] = ()) -> int:
         version = max(committed, default=-1) + 1
+        if version in self._committed():
+            raise RuntimeError(f"another writer has committed version {version} of {self.path}")
         if "_op" not in df.columns:
             df = df.withColumn("_op", F.lit(INSERTED))
         schema = _nullable([field for field in df.schema.fields if field.name not in _TECHNICAL])
@@ -313,5 +333,5 @@ class VersionedTable:
             F.lit(inserted).cast("bigint").alias("rows_inserted"),
             F.lit(updated).cast("bigint").alias("rows_updated"),
             F.lit(schema.json()).alias("table_schema"),
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/_version={version}")
+        ).coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={version}")
         return version

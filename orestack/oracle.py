@@ -56,6 +56,7 @@ _ORDER_RULES = (
     ("unit_price_positive", "unit_price > 0"),
     ("status_known", f"status IN ({_list(silver.STATUSES)})"),
     ("order_date_valid", "order_date IS NOT NULL"),
+    ("total_fits", "total_amount IS NOT NULL"),
 )
 
 _CUSTOMER_RULES = (
@@ -213,8 +214,8 @@ _FIRST_FAILED = "CASE " + " ".join(
 
 _SILVER_SCHEMA = (
     ("order_id", "string"), ("customer_id", "string"), ("product_id", "string"), ("quantity", "int"),
-    ("unit_price", "decimal(18,2)"), ("status", "string"), ("order_date", "date"),
-    ("total_amount", "decimal(18,2)"), ("_silver_updated_at", "timestamp"),
+    ("unit_price", "decimal(28,4)"), ("status", "string"), ("order_date", "date"),
+    ("total_amount", "decimal(28,4)"), ("_silver_updated_at", "timestamp"),
 )
 
 _STATUS_REPORT = f"""SELECT status, count(*) AS order_count,
@@ -250,7 +251,7 @@ _HISTORY = " UNION ALL ".join((
 def oracle_sql() -> dict[str, str]:
     slice_filter = f"order_year = {registry.SLICE_YEAR} AND order_month = {registry.SLICE_MONTH}"
     range_filter = f"order_date BETWEEN DATE '{registry.RANGE_FIRST}' AND DATE '{registry.RANGE_LAST}'"
-    return {
+    sql = {
         "bronze_orders": _with([_RAW_ORDERS],
             f"SELECT {_RAW_COLUMNS}, '{registry.SOURCE_LABEL}' AS _source_file FROM raw_orders"),
         "orders_typed": _with(_ORDERS, f"SELECT {_SILVER_COLUMNS}, ingested_at FROM typed"),
@@ -341,11 +342,11 @@ def oracle_sql() -> dict[str, str]:
         "check_merge_idempotent": _with(_VERSIONS, """SELECT count(*) AS rows_before, count(*) AS rows_after,
             CAST(0 AS BIGINT) AS changed_rows, TRUE AS passed FROM full_merge"""),
         "schema_evolve_append": _with([_RAW_ORDERS], f"""SELECT {_RAW_COLUMNS},
-            CASE WHEN batch = 1 THEN lower(trim(status)) END AS channel FROM raw_orders WHERE batch < 2"""),
+            CASE WHEN batch = 1 THEN lower(trim(status)) END AS channel FROM raw_orders"""),
 
         "events_stream_ingest": f"""SELECT CAST(event_id AS VARCHAR) AS event_id,
-            CAST(user_id AS VARCHAR) AS customer_id, event_type, "value" AS amount,
-            {_EVENT_TIME} AS event_time, 'clickstream_stream' AS _source FROM events""",
+            CAST(NULL AS VARCHAR) AS session_id, CAST(user_id AS VARCHAR) AS customer_id, event_type,
+            CAST(NULL AS VARCHAR) AS product_id, "value" AS amount, {_EVENT_TIME} AS event_time, 'clickstream_stream' AS _source FROM events""",
         "events_stream_restart": """SELECT event_type, count(*) AS event_count,
             count(DISTINCT event_id) AS distinct_events FROM events GROUP BY event_type""",
 
@@ -386,3 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "report_total_revenue": _with(_DAILY_CHAIN, f"""SELECT CAST(sum(revenue) AS DOUBLE) AS revenue,
             {_millions('sum(revenue)', 2)} AS revenue_millions FROM daily"""),
     }
+    # What a run stores, and what it makes of CSV files, are the same rows.
+    same = {"run_accounting": "quality_orders", "run_rejects": "orders_rejects",
+            "csv_silver_orders": "silver_orders", "csv_fact_orders": "fact_orders"}
+    return sql | {name: sql[other] for name, other in same.items()}

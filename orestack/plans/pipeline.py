@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from orestack import settings
+from orestack.functions import rules
 from orestack.operators.versioned import VersionedTable
 from orestack.plans import bronze, gold, silver
 from orestack.sources import files
@@ -18,6 +19,8 @@ class Lake:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.bronze_orders = VersionedTable(spark, f"{path}/bronze/orders")
+        self.order_counts = VersionedTable(spark, f"{path}/quality/orders")
+        self.order_rejects = VersionedTable(spark, f"{path}/quality/orders_rejected")
         self.silver_orders = VersionedTable(spark, f"{path}/silver/orders", key=["order_id"])
         self.silver_customers = VersionedTable(spark, f"{path}/silver/customers")
         self.fact_orders = VersionedTable(spark, f"{path}/gold/fact_orders")
@@ -38,6 +41,13 @@ def refresh_silver_orders(lake: Lake, bronze_orders: DataFrame | None = None,
         silver.silver_orders(rows), silver.ORDER_UPDATE_COLUMNS, committed_at)
 
 
+def account_orders(lake: Lake, bronze_orders: DataFrame | None = None) -> None:
+    """Store how many rows each rule rejects, and the rejected rows with the first rule they fail."""
+    typed = silver.type_orders(lake.bronze_orders.current() if bronze_orders is None else bronze_orders)
+    lake.order_counts.overwrite(rules.account(typed, silver.order_rules(), key="order_id"))
+    lake.order_rejects.overwrite(rules.rejects(typed, silver.order_rules()))
+
+
 def refresh_silver_customers(lake: Lake, raw_customers: DataFrame,
                              regions: Sequence[str] = silver.REGIONS) -> int:
     return lake.silver_customers.overwrite(silver.silver_customers(raw_customers, regions))
@@ -59,21 +69,26 @@ def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: Data
                  input_bytes: int | None = None) -> Lake:
     """Run every layer once, in order, and return the tables.
 
-    ``input_bytes``, the size of the raw orders, sizes the shuffles of a large run.
+    ``input_bytes``, the size of the raw orders, sizes the shuffles of the run; the session has its own
+    settings again afterwards.
     """
-    settings.apply(spark, input_bytes)
     lake = Lake(spark, path)
-    ingest_orders(lake, raw_orders)
-    refresh_silver_orders(lake)
-    refresh_silver_customers(lake, raw_customers, regions)
-    refresh_fact_orders(lake, raw_products)
-    refresh_agg_revenue_daily(lake)
+    with settings.applied(spark, input_bytes):
+        ingest_orders(lake, raw_orders)
+        account_orders(lake)
+        refresh_silver_orders(lake)
+        refresh_silver_customers(lake, raw_customers, regions)
+        refresh_fact_orders(lake, raw_products)
+        refresh_agg_revenue_daily(lake)
     return lake
 
 
 def run_from_csv(spark: SparkSession, orders: str, customers: str, products: str, path: str,
                  regions: Sequence[str] = silver.REGIONS, input_bytes: int | None = None) -> Lake:
     """Run every layer over CSV files; bronze keeps the file name of each row."""
+    raw_orders = files.read_orders(spark, orders)
+    if input_bytes is None:
+        input_bytes = settings.scan_bytes(raw_orders)
     return run_pipeline(
-        spark, files.read_orders(spark, orders), files.read_customers(spark, customers),
+        spark, raw_orders, files.read_customers(spark, customers),
         files.read_products(spark, products), path, regions, input_bytes)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orestack.functions import money
 
@@ -93,9 +93,9 @@ def category_units(daily: DataFrame) -> DataFrame:
 
 
 def region_share(daily: DataFrame) -> DataFrame:
-    """Share of the orders per region. The window runs over one row per known region."""
+    """Share of the orders per region."""
     counts = daily.groupBy("region").agg(F.sum("order_count").alias("order_count"))
-    everything = F.sum("order_count").over(Window.partitionBy(F.lit(1)))
+    everything = counts.agg(F.sum("order_count")).scalar()
     return counts.select(
         "region", "order_count",
         money.percent(F.col("order_count"), everything).alias("share_percent"),

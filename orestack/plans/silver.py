@@ -16,7 +16,7 @@ from orestack.operators.schema import enforce
 STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
 REGIONS = ("North", "Central", "South")
 
-# A later copy of an order may change these; customer and product stay as first seen.
+# A later copy of an order may change these; customer and product stay as first seen.
 ORDER_UPDATE_COLUMNS = (
     "quantity", "unit_price", "total_amount", "status", "order_date", "_silver_updated_at")
 
@@ -47,6 +47,7 @@ def order_rules(statuses: Sequence[str] = STATUSES) -> list[Rule]:
         Rule("unit_price_positive", F.col("unit_price") > 0),
         Rule("status_known", F.col("status").isin(*statuses)),
         Rule("order_date_valid", F.col("order_date").isNotNull()),
+        Rule("total_fits", F.col("total_amount").isNotNull()),
     ]
 
 

@@ -71,7 +71,19 @@ def lake(spark: SparkSession, folder: str) -> pipeline.Lake:
     """The lake after one run over all raw rows."""
     return _once(spark, folder, "lake", lambda path: pipeline.run_pipeline(
         spark, star.raw_orders(spark, folder), star.raw_customers(spark, folder),
-        star.raw_products(spark, folder), path, star.VALID_REGIONS))
+        star.raw_products(spark, folder), path, star.VALID_REGIONS, star.order_bytes(spark, folder)))
+
+
+def csv_lake(spark: SparkSession, folder: str) -> pipeline.Lake:
+    """The lake of a run over CSV files with all raw rows."""
+    def write(path: str) -> pipeline.Lake:
+        raw = {"orders": star.raw_orders(spark, folder), "customers": star.raw_customers(spark, folder),
+               "products": star.raw_products(spark, folder)}
+        for name, rows in raw.items():
+            rows.write.option("header", "true").option("escape", '"').csv(f"{path}/{name}.csv")
+        return pipeline.run_from_csv(spark, *(f"{path}/{name}.csv" for name in raw), f"{path}/lake", star.VALID_REGIONS)
+
+    return _once(spark, folder, "csv", write)
 
 
 # Versions of the orders of the merged lake. The first three merge one arrival batch each.
@@ -127,6 +139,25 @@ def silver_orders(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver_orders(star.raw_orders(spark, folder))
 
 
+def run_accounting(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that the run itself stored."""
+    return lake(spark, folder).order_counts.current()
+
+
+def run_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected rows that the run itself stored."""
+    rejected = lake(spark, folder).order_rejects.current()
+    return rejected.drop("_bronze_ingested_at", "_source_file")
+
+
+def csv_silver_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return csv_lake(spark, folder).silver_orders.current()
+
+
+def csv_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return csv_lake(spark, folder).fact_orders.current()
+
+
 def silver_customers(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver_customers(star.raw_customers(spark, folder), star.VALID_REGIONS)
 
@@ -254,7 +285,7 @@ def table_history(spark: SparkSession, folder: str) -> DataFrame:
 
 def table_history_sql(spark: SparkSession, folder: str) -> DataFrame:
     _merged_orders(spark, folder).history().createOrReplaceTempView("silver_orders_history")
-    return spark.sql("SELECT version, operation FROM silver_orders_history ORDER BY version DESC LIMIT 10")
+    return spark.sql("SELECT version, operation FROM silver_orders_history ORDER BY version DESC")
 
 
 def table_history_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,10 +316,11 @@ def check_merge_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 
 def schema_evolve_append(spark: SparkSession, folder: str) -> DataFrame:
     """A later batch brings a column that the table does not have yet."""
-    first, second, _ = star.raw_order_batches(spark, folder)
+    first, second, third = star.raw_order_batches(spark, folder)
     table = versioned.VersionedTable(spark, new_folder(spark, "evolved"))
     table.append(first)
     table.append(second.withColumn("channel", F.lower(F.trim(F.col("status")))))
+    table.append(third)
     return table.current()
 
 
@@ -302,14 +334,14 @@ def events_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     work = new_folder(spark, "events")
     _write_json(star.raw_events(spark, folder), f"{work}/in")
     events.ingest_events(spark, f"{work}/in", f"{work}/out", f"{work}/state", STREAM_FILES_PER_TRIGGER)
-    return spark.read.parquet(f"{work}/out").drop("session_id", "product_id")
+    return spark.read.parquet(f"{work}/out")
 
 
 def events_stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     """Two arrivals and three runs; the run in between finds nothing new."""
     work = new_folder(spark, "events")
     raw = star.raw_events(spark, folder)
-    late = F.col("event_time") >= SECOND_ARRIVAL_FROM
+    late = F.coalesce(F.col("event_time") >= SECOND_ARRIVAL_FROM, F.lit(False))
 
     def run() -> None:
         events.ingest_events(spark, f"{work}/in", f"{work}/out", f"{work}/state", STREAM_FILES_PER_TRIGGER)
@@ -347,7 +379,7 @@ _LAYERS_AND_OPERATORS = (
     bronze_orders, orders_typed, orders_valid, orders_rejects, quality_orders, quality_customers,
     silver_orders, silver_customers, fact_orders, agg_revenue_daily,
     fact_orders_month_slice, fact_date_range, fact_preview, bronze_preview,
-    fact_history,
+    fact_history, run_accounting, run_rejects, csv_silver_orders, csv_fact_orders,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
     merge_change_set, orders_after_merge, orders_after_restore, silver_orders_current,
@@ -377,7 +409,7 @@ def queries() -> dict[str, Query]:
 
     def finished(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            settings.apply(spark)
+            settings.apply(spark, star.order_bytes(spark, folder))
             return comparable(query(spark, folder))
         return run
 

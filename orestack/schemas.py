@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is exact: two decimals, so sums do not depend on the order of the rows.
-MONEY = T.DecimalType(18, 2)
+# Money is exact, so sums do not depend on the order of the rows: four decimals, and 24 digits before them.
+MONEY = T.DecimalType(28, 4)
 
 
 def _struct(*fields: tuple[str, T.DataType] | tuple[str, T.DataType, bool]) -> T.StructType:
@@ -16,6 +16,7 @@ def _strings(*names: str) -> T.StructType:
     return _struct(*((name, T.StringType()) for name in names))
 
 
+# The columns of the raw tables and of the fact.
 RAW_ORDERS = _struct(
     ("order_id", T.StringType()),
     ("customer_id", T.StringType()),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffles, picks broadcasts by measured size and splits hot join keys.
 # The forced form also splits them where the split costs one more shuffle, as it does when an
@@ -15,10 +18,8 @@ ADAPTIVE = {
 }
 
 # A shuffle starts with one partition per this many input bytes, and adaptive execution merges those
-# that turn out small. The bound keeps the number of shuffle blocks (map tasks times partitions) in
-# reach; beyond it partitions grow and sorts spill.
+# that turn out small.
 BYTES_PER_PARTITION = 256 * 1024 ** 2
-MOST_PARTITIONS = 50_000
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -26,7 +27,7 @@ _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 def shuffle_partitions(input_bytes: int, at_least: int) -> int:
     """Shuffle partitions to start with for an input of a size."""
-    return max(at_least, min(MOST_PARTITIONS, -(-input_bytes // BYTES_PER_PARTITION)))
+    return max(at_least, -(-input_bytes // BYTES_PER_PARTITION))
 
 
 def apply(spark: SparkSession, input_bytes: int | None = None) -> None:
@@ -36,3 +37,21 @@ def apply(spark: SparkSession, input_bytes: int | None = None) -> None:
     if input_bytes is not None:
         default = int(spark.conf.get(_SHUFFLE_PARTITIONS))
         spark.conf.set(_INITIAL_PARTITIONS, str(shuffle_partitions(input_bytes, default)))
+
+
+def scan_bytes(scan: DataFrame) -> int:
+    """The bytes of the files that a plain scan reads, from the statistics of its plan."""
+    return int(str(scan._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+
+
+@contextmanager
+def applied(spark: SparkSession, input_bytes: int | None = None) -> Iterator[None]:
+    """The settings for a block of work; afterwards the session has those it had before."""
+    names = [*ADAPTIVE, _INITIAL_PARTITIONS]
+    before = {name: spark.conf.get(name, None) for name in names}
+    apply(spark, input_bytes)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -17,16 +17,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, with_file_nam
     return rows.select("*", F.col("_metadata.file_name").alias("_source_file")) if with_file_name else rows
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread a scan over all cores when its files split into fewer tasks than there are cores.
-
-    A file of one row group or a compressed text file is a single task however many cores wait. A
-    scan that already has enough tasks, which is every large one, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *columns)
-
-
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.RAW_ORDERS, with_file_name=True)
 

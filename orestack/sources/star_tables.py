@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orestack.sources.files import spread
+from orestack import settings
 
 # Every n-th part or customer key gets the named defect.
 PART_WITHOUT_ORDER_ID = 101
@@ -50,15 +50,16 @@ def _every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
-def raw_orders(spark: SparkSession, folder: str, shipped_from: str | None = None,
-               shipped_before: str | None = None) -> DataFrame:
+def order_bytes(spark: SparkSession, folder: str) -> int:
+    """The size of the order lines, which are the raw orders."""
+    return settings.scan_bytes(_table(spark, folder, "lineitem"))
+
+
+def raw_orders(spark: SparkSession, folder: str, batch: Column | None = None) -> DataFrame:
     """Order lines as raw orders, optionally those of one arrival batch."""
-    # Spread by more than the order, so that the copies of one order do not share a task.
-    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", "l_shipdate")
-    if shipped_from is not None:
-        lines = lines.filter(F.col("l_shipdate") >= F.lit(shipped_from).cast("timestamp_ntz"))
-    if shipped_before is not None:
-        lines = lines.filter(F.col("l_shipdate") < F.lit(shipped_before).cast("timestamp_ntz"))
+    lines = _table(spark, folder, "lineitem")
+    if batch is not None:
+        lines = lines.filter(batch)
     status = (
         F.when(_every("l_partkey", PART_WITH_UNKNOWN_STATUS), "unknown")
         .when(F.col("l_returnflag") == "R", " CANCELLED ")
@@ -85,13 +86,9 @@ def raw_orders(spark: SparkSession, folder: str, shipped_from: str | None = None
 
 
 def raw_order_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """All order lines as three arrival batches that share no line."""
-    first, second = BATCH_DATES
-    return [
-        raw_orders(spark, folder, shipped_before=first),
-        raw_orders(spark, folder, shipped_from=first, shipped_before=second),
-        raw_orders(spark, folder, shipped_from=second),
-    ]
+    """All order lines as three arrival batches that share no line; without a ship date they come last."""
+    first, second = (F.coalesce(F.col("l_shipdate") < F.lit(date).cast("timestamp_ntz"), F.lit(False)) for date in BATCH_DATES)
+    return [raw_orders(spark, folder, batch) for batch in (first, second & ~first, ~second)]
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:

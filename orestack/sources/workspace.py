@@ -19,5 +19,5 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="orestack-")
+        base = f"{tempfile.gettempdir()}/orestack-{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/orestack/{purpose}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from orestack import schemas
 
+# Fixed value.
 SOURCE_LABEL = "clickstream_stream"
 
 

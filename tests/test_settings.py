@@ -8,7 +8,7 @@ GIB = 1024 ** 3
 def test_shuffles_grow_with_the_input():
     assert settings.shuffle_partitions(1, 200) == 200
     assert settings.shuffle_partitions(1024 * GIB, 200) == 4096
-    assert settings.shuffle_partitions(100 * 1024 * GIB, 200) == settings.MOST_PARTITIONS
+    assert settings.shuffle_partitions(100 * 1024 * GIB, 200) == 409_600
 
 
 def test_apply_sets_the_session(spark):
@@ -17,3 +17,14 @@ def test_apply_sets_the_session(spark):
     assert spark.conf.get(name) == "16"
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     spark.conf.unset(name)
+
+
+def test_applied_restores_the_session(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with settings.applied(spark, 8 * GIB):
+        assert spark.conf.get(name) == "32"
+    assert spark.conf.get(name, None) is None
+
+
+def test_scans_tell_their_size(spark):
+    assert settings.scan_bytes(spark.read.parquet("/root/testdata/sf0.001/orders.parquet")) > 1000

@@ -102,3 +102,13 @@ def test_the_newest_valid_copy_survives(spark, drawn):
     clean = silver.silver_orders(samples.raw_orders(spark, raw))
     assert samples.rows(clean, "order_id", "quantity") == sorted(
         (key, quantity) for key, (_, quantity) in expected.items())
+
+
+def test_no_price_is_lost(spark):
+    rows = [("A", "C", "P", 100, 0.004, "pending", "2024-01-05", "1"), ("B", "C", "P", 1, 1e16, "pending", "2024-01-05", "1"),
+            ("C", "C", "P", 10, 9e15, "pending", "2024-01-05", "1"), ("D", "C", "P", 10, 9e23, "pending", "2024-01-05", "1")]
+    raw = samples.raw_orders(spark, rows)
+    assert samples.rows(silver.silver_orders(raw), "order_id", "total_amount") == [
+        ("A", Decimal("0.4")), ("B", Decimal(10 ** 16)), ("C", Decimal(9 * 10 ** 16))]
+    rejected = rules.rejects(silver.type_orders(raw), silver.order_rules())
+    assert samples.rows(rejected, "order_id", "rejected_by") == [("D", "total_fits")]

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import samples
 from orestack import schemas
@@ -49,12 +50,6 @@ def test_the_raw_frames_fit_the_declared_schemas(spark):
     assert star_tables.raw_events(spark, DATA).schema.names == schemas.RAW_EVENTS.names
 
 
-def test_spread_only_touches_scans_with_idle_cores(spark):
-    one, many = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 16)
-    assert files.spread(one, "id").rdd.getNumPartitions() == 8
-    assert files.spread(many, "id") is many
-
-
 class _Conf:
     def __init__(self, **settings):
         self.settings = {name.replace("_", "."): value for name, value in settings.items()}
@@ -73,3 +68,14 @@ def test_shared_folder_follows_the_cluster_setting():
     assert folder.startswith("s3://shared/orestack/lake-")
     with pytest.raises(RuntimeError):
         workspace.new_folder(_Session(spark_master="yarn"), "lake")
+
+
+def test_lines_without_a_ship_date_are_in_the_last_batch(spark, folder):
+    for name in ("lineitem", "orders"):
+        table = spark.read.parquet(f"{DATA}/{name}.parquet")
+        if name == "lineitem":
+            table = table.withColumn("l_shipdate", F.when(F.col("l_linenumber") != 2, F.col("l_shipdate")))
+        table.write.parquet(f"{folder}/{name}.parquet")
+    counts = [batch.count() for batch in star_tables.raw_order_batches(spark, folder)]
+    missing = spark.read.parquet(f"{folder}/lineitem.parquet").filter("l_shipdate IS NULL").count()
+    assert sum(counts) == star_tables.raw_orders(spark, folder).count() and counts[2] >= missing > 0

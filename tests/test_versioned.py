@@ -204,3 +204,22 @@ def test_describe(spark):
 def test_append_evolving(spark):
     both = schema.append_evolving(spark.range(1).toDF("id"), spark.createDataFrame([(5, "x")], "id bigint, c string"))
     assert samples.rows(both) == [(0, None), (5, "x")]
+
+
+@pytest.mark.parametrize("rows", [[("A", "C", "P", 2), ("A", "C", "P", 3)], [(None, "C", "P", 2)]])
+def test_a_merge_needs_one_row_per_key(spark, folder, merged, rows):
+    fresh = VersionedTable(spark, f"{folder}/fresh", key=["order_id"])
+    for write in (merged.merge, merged.overwrite, fresh.merge):
+        with pytest.raises(Exception, match="cannot merge"):
+            write(_orders(spark, *rows))
+    assert merged.latest_version() == 1 and fresh.latest_version() is None
+
+
+def test_a_committed_version_is_never_written_again(spark, folder):
+    table = VersionedTable(spark, folder)
+    table.append(_orders(spark, ("A", "C", "P", 1)))
+    snapshot = table._committed()
+    table.append(_orders(spark, ("B", "C", "P", 1)))
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._commit(_orders(spark, ("X", "C", "P", 1)), "APPEND", 0, snapshot, None)
+    assert samples.rows(table.current(), "order_id") == [("A",), ("B",)]
