@@ -2,6 +2,43 @@
 
 from __future__ import annotations
 
+_LINE_DEDUP = r"""
+WITH raw AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts, text IS NULL AS missing FROM documents
+),
+lines AS (SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line FROM raw),
+filled AS (
+  SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM lines
+  WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+),
+sized AS (SELECT *, len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS words FROM filled),
+ahead AS (
+  SELECT *, lead(line) OVER w AS line1, lead(line, 2) OVER w AS line2, lead(words) OVER w AS words1,
+    lead(pos) OVER w AS pos1, lead(pos, 2) OVER w AS pos2
+  FROM sized WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+runs AS (
+  SELECT doc_id, pos, CASE
+    WHEN words >= 50 THEN [line]
+    WHEN words + words1 >= 50 THEN [line, line1]
+    WHEN line2 IS NOT NULL THEN [line, line1, line2] END AS run, [pos, pos1, pos2] AS places
+  FROM ahead
+),
+ranked AS (
+  SELECT doc_id, places[1:len(run)] AS places, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS turn
+  FROM runs WHERE run IS NOT NULL
+),
+gone AS (SELECT DISTINCT doc_id, unnest(places) AS pos FROM ranked WHERE turn > 1),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+  FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts)::INTEGER END AS lines_in,
+  coalesce(n, 0)::INTEGER AS lines_removed, CASE WHEN NOT missing THEN md5(coalesce(text, '')) END AS kept_md5
+FROM raw LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": _LINE_DEDUP}
