@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,13 +14,21 @@ from orestack.llm.common import saved
 CANDIDATES = 4096  # of one block
 QUERIES = 4096
 AT_ONCE = 128  # queries that a task estimates together
+RERANKED = 20_000  # pairs that a task scores together
+BITS = 512  # of a code, at least
 ENTRY = "id long, dim int, vector binary, code binary, norm double, fit double"
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, seed: int) -> np.ndarray:
-    """The same random orthogonal matrix wherever it is made."""
-    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+    """A random rotation, the same wherever it is made, of vectors padded with zeros to the bits of a code.
+
+    The error of an estimate falls with the square root of the bits, so short vectors get more than a bit
+    per component.
+    """
+    width = -(-max(dim, BITS) // 8) * 8
+    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((width, dim)))
+    return (q * np.sign(np.diag(r))).T
 
 
 def usable(vector: Column) -> Column:
@@ -29,7 +38,7 @@ def usable(vector: Column) -> Column:
 
 
 def encode(vectors: DataFrame, key: str, vector: str, seed: int = 7) -> DataFrame:
-    """The index: for each vector a sign bit per rotated component, packed, and two correction scalars.
+    """The index: for each vector a sign bit per component of its rotation, packed, and two correction scalars.
 
     ``norm`` is the length of the vector, ``fit`` the inner product of its direction with the code's. The
     vector travels along for reranking, in the precision that it came in.
@@ -41,58 +50,70 @@ def encode(vectors: DataFrame, key: str, vector: str, seed: int = 7) -> DataFram
             .groupBy("id").agg(F.min("vector").alias("vector")))
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turns: dict[int, np.ndarray] = {}
         for batch in batches:
             ids, sizes = batch["id"].to_numpy(), batch["vector"].map(len).to_numpy()
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
                 x = np.stack(batch["vector"].iloc[at].to_list()).astype(packed)
-                if dim not in turns:
-                    turns[dim] = rotation(int(dim), seed)
                 wide = x.astype(float)
                 norm = np.linalg.norm(wide, axis=1)
-                turned = wide / norm[:, None] @ turns[dim]
+                turned = wide / norm[:, None] @ rotation(int(dim), seed)
                 bits = np.packbits(turned > 0, axis=1)
                 yield pd.DataFrame({"id": ids[at], "dim": np.int32(dim), "vector": [v.tobytes() for v in x],
                                     "code": [b.tobytes() for b in bits], "norm": norm,
-                                    "fit": np.abs(turned).sum(axis=1) / np.sqrt(dim)})
+                                    "fit": np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])})
 
     return rows.mapInPandas(codes, ENTRY)
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, added component by component, so that equal vectors have equal scores wherever they lie."""
+    out = np.empty(len(a))
+    for start in range(0, len(a), RERANKED):
+        part = slice(start, start + RERANKED)
+        out[part] = np.cumsum(a[part] * b[part], axis=1)[:, -1]
+    return out
+
+
 def nearest(block: pd.DataFrame, k: int, seed: int, packed: str, bound: float) -> pd.DataFrame:
     """The best ``k`` candidates of one block for each of its queries, with exact scores.
 
     The code estimates each inner product, and ``bound`` standard errors around it say how far off that
-    may be. A candidate whose upper bound reaches the k-th largest lower bound is scored exactly.
+    may be. The ``k`` best by estimate are scored exactly; so is every candidate whose upper bound reaches
+    the least of these scores.
     """
     asks, base = block[block["asks"]], block[~block["asks"]]
     dim = int(block["dim"].iloc[0])
     none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
     if asks.empty or base.empty:
         return none
-    vectors = {name: np.frombuffer(b"".join(part["vector"]), packed).reshape(-1, dim).astype(float)
-               for name, part in (("asks", asks), ("base", base))}
+    ask, known = (np.frombuffer(b"".join(part["vector"]), packed).reshape(-1, dim).astype(float) for part in (asks, base))
     ids, query_ids = base["id"].to_numpy(), asks["id"].to_numpy()
-    bits = np.unpackbits(np.frombuffer(b"".join(base["code"]), np.uint8).reshape(len(base), -1), axis=1, count=dim)
-    signs = (bits.astype(np.float32) * 2 - 1).T
-    norm, fit = base["norm"].to_numpy(), base["fit"].to_numpy()
-    turned, length = vectors["asks"] @ rotation(dim, seed), asks["norm"].to_numpy()
-    spread = norm * (np.sqrt(np.maximum(0, 1 - fit ** 2)) / fit * bound / np.sqrt(max(1, dim - 1)) + 1e-5)
+    order = np.argsort(ids)
+    place = np.minimum(np.searchsorted(ids, query_ids, sorter=order), len(ids) - 1)
+    own = np.where(ids[order[place]] == query_ids, order[place], -1)
+    bits = np.unpackbits(np.frombuffer(b"".join(base["code"]), np.uint8).reshape(len(base), -1), axis=1)
+    width = bits.shape[1]
+    norm, fit, length = base["norm"].to_numpy(), base["fit"].to_numpy(), asks["norm"].to_numpy()
+    signs = ((bits * 2.0 - 1) * (norm / fit / np.sqrt(width))[:, None]).astype(np.float32).T
+    turned = (ask @ rotation(dim, seed) / length[:, None]).astype(np.float32)
+    error = (norm * (np.sqrt(np.maximum(0, 1 - fit ** 2)) / fit * bound / np.sqrt(width - 1) + 1e-5)).astype(np.float32)
     found = []
     for start in range(0, len(asks), AT_ONCE):
         part = slice(start, start + AT_ONCE)
-        size = length[part, None]
-        estimate = ((turned[part] / size).astype(np.float32) @ signs).astype(float) * (norm / fit / np.sqrt(dim)) * size
-        error = spread * size
-        own = query_ids[part, None] == ids
-        lower = np.where(own, -np.inf, estimate - error)
-        limit = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(lower), -np.inf)
-        q, c = np.nonzero((estimate + error >= limit[:, None]) & ~own)
-        # Component by component, so that equal vectors have equal scores wherever they lie.
-        score = np.zeros(len(q))
-        for j in range(dim):
-            score += vectors["base"][c, j] * vectors["asks"][start + q, j]
+        estimate = turned[part] @ signs
+        mine = np.flatnonzero(own[part] >= 0)
+        estimate[mine, own[part][mine]] = -np.inf
+        limit = np.full(len(estimate), -np.inf, np.float32)
+        if len(ids) > k:
+            top = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k:]
+            row = np.repeat(np.arange(len(top)), k)
+            score = products(known[top.ravel()], ask[start + row]) / length[start + row]
+            score[np.isneginf(estimate[row, top.ravel()])] = -np.inf
+            limit = score.reshape(len(top), k).min(axis=1).astype(np.float32)
+        q, c = np.nonzero((estimate >= limit[:, None] - error) & (estimate > -np.inf))
+        score = np.concatenate([products(known[c[i: i + RERANKED]], ask[start + q[i: i + RERANKED]])
+                                for i in range(0, len(q), RERANKED)] or [np.zeros(0)])
         order = np.lexsort((ids[c], -score, q))
         q, c, score = q[order], c[order], score[order]
         first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
