@@ -61,12 +61,14 @@ def main() -> None:
             first[name] = timed(lambda: run(name))
     warm = {name: min(timed(lambda: run(name)) for _ in range(WARM_RUNS)) for name in HEADLINE}
     times = {name: round(seconds, 3) for name, seconds in warm.items()}
-    for name in ("lake_run", "merge_history"):
-        times[name] = round(first[name], 3)
+    # Both write their tables once per session; a second time they are written to new folders.
+    for name, build in (("lake_run", registry.lake), ("merge_history", registry.merged_lake)):
+        registry.forget()
+        times[name] = round(timed(lambda: build(spark, folder)), 3)
 
     scale = re.search(r"sf([0-9.]+)", folder)
     print(json.dumps({
-        "metric": "headline queries, best of two warm runs; the lake run and the six-version merge history, one run each",
+        "metric": "headline queries, best of two warm runs; the lake run and the six-version merge history, one warm run each",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

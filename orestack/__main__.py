@@ -29,10 +29,12 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _events(spark: SparkSession, args: argparse.Namespace) -> None:
-    query = events.ingest_events(
-        spark, args.folder, f"{args.lake}/bronze/events", f"{args.lake}/checkpoints/bronze_events",
+    out = f"{args.lake}/bronze/events"
+    events.ingest_events(
+        spark, args.folder, out, f"{args.lake}/checkpoints/bronze_events",
         args.files_per_trigger, args.every, args.stop_after)
-    events.progress(spark, query).show()
+    batches = events.progress(spark, out)
+    batches.show(max(1, batches.count()), truncate=False)
 
 
 def main() -> None:

@@ -8,7 +8,8 @@ committed version is never written again.
 
 Every commit names the version it builds on, so the contents of a version are the rows of a chain of
 versions. A merge costs no more than the touched keys need, a restore writes no rows at all, and a
-read lists only the folders of its chain. An overwrite starts a new chain.
+read lists only the folders of its chain. An overwrite starts a new chain, and so does every merge that
+finds ``MOST_CHANGES`` merges in its chain or is asked to: it writes the untouched rows as well.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Windo
 from orestack import schemas
 from orestack.operators.dedup import latest_per_key
 
-INSERTED, UPDATED = "I", "U"
+INSERTED, UPDATED, KEPT = "I", "U", "K"
+MOST_CHANGES = 8  # versions that a read lays over its base
 _TECHNICAL = ("_version", "_op")
 
 
@@ -184,9 +186,21 @@ class VersionedTable:
         return self.as_of_version(self.version_at(timestamp))
 
     def changes(self, version: int) -> DataFrame:
-        """The rows that one version wrote, marked in ``_op``."""
+        """The rows that one version inserted or updated, marked in ``_op``."""
         committed = self._committed()
-        return self._rows([version], self._schema(version, committed)).drop("_version")
+        return self._rows([version], self._schema(version, committed)).drop("_version").filter(F.col("_op") != KEPT)
+
+    def appended_since(self, version: int) -> DataFrame | None:
+        """The rows that were appended after a version; None when there are none."""
+        committed = self._committed()
+        latest = max(committed)
+        later = [step for step in self._chain(latest, committed) if step > version]
+        return self._rows(later, self._schema(latest, committed)).drop("_version", "_op") if later else None
+
+    def source_version(self) -> int | None:
+        """What the latest version says about its source; a restored version says what it said before."""
+        committed = self._committed()
+        return committed[max(committed)]["source_version"] if committed else None
 
     def differing(self, before: int, after: int) -> tuple[DataFrame, DataFrame]:
         """The rows of two versions that can differ, as a pair to compare.
@@ -279,22 +293,29 @@ class VersionedTable:
         return self._commit(df, "WRITE", None, self._committed(), committed_at, partition_by)
 
     def merge(self, source: DataFrame, update_columns: Sequence[str] | None = None,
-              committed_at: str | None = None) -> int:
-        """Upsert one row per key; the first merge creates the table. Returns the new version."""
+              committed_at: str | None = None, new_base: bool = False, source_version: int | None = None) -> int:
+        """Upsert one row per key; the first merge creates the table. Returns the new version.
+
+        With ``new_base`` the version holds the whole table and starts a new chain.
+        """
         if not self.key:
             raise ValueError("a merge needs a keyed table")
         committed = self._committed()
         source = one_row_per_key(source, self.key)
         if not committed:
-            return self._commit(source, "WRITE", None, committed, committed_at)
+            return self._commit(source, "WRITE", None, committed, committed_at, source_version=source_version)
         latest = max(committed)
+        new_base = new_base or len(self._chain(latest, committed)) > MOST_CHANGES
         # Read twice below; lost blocks are computed again from the source.
         source = source.persist(StorageLevel.DISK_ONLY)
         try:
-            changes = merge_changes(
-                source, self._contents(latest, committed), self.key, update_columns)
-            fitted = _fit(changes, self._schema(latest, committed))
-            return self._commit(fitted, "MERGE", latest, committed, committed_at)
+            current = self._contents(latest, committed)
+            rows = merge_changes(source, current, self.key, update_columns)
+            if new_base:
+                rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
+            fitted = _fit(rows, self._schema(latest, committed))
+            parent = None if new_base else latest
+            return self._commit(fitted, "MERGE", parent, committed, committed_at, source_version=source_version)
         finally:
             source.unpersist()
 
@@ -302,10 +323,12 @@ class VersionedTable:
         """Make the contents of an older version current, as a new version without rows."""
         committed = self._committed()
         schema = self._schema(version, committed)
-        return self._record(max(committed) + 1, version, "RESTORE", 0, 0, schema, committed_at)
+        return self._record(max(committed) + 1, version, "RESTORE", 0, 0, schema, committed_at,
+                            committed[version]["source_version"])
 
     def _commit(self, df: DataFrame, operation: str, parent: int | None, committed: dict[int, Row],
-                committed_at: str | None, partition_by: Sequence[str] = ()) -> int:
+                committed_at: str | None, partition_by: Sequence[str] = (),
+                source_version: int | None = None) -> int:
         version = max(committed, default=-1) + 1
         if version in self._committed():
             raise RuntimeError(f"another writer has committed version {version} of {self.path}")
@@ -321,10 +344,10 @@ class VersionedTable:
         observed.write.mode("overwrite").partitionBy(*partition_by).parquet(
             f"{self.path}/rows/_version={version}")
         return self._record(version, parent, operation, counts.get["inserted"], counts.get["updated"],
-                            schema, committed_at)
+                            schema, committed_at, source_version)
 
     def _record(self, version: int, parent: int | None, operation: str, inserted: int, updated: int,
-                schema: T.StructType, committed_at: str | None) -> int:
+                schema: T.StructType, committed_at: str | None, source_version: int | None = None) -> int:
         when = F.current_timestamp() if committed_at is None else F.lit(committed_at).cast("timestamp")
         self.spark.range(1).select(
             F.lit(parent).cast("bigint").alias("_parent"),
@@ -333,5 +356,6 @@ class VersionedTable:
             F.lit(inserted).cast("bigint").alias("rows_inserted"),
             F.lit(updated).cast("bigint").alias("rows_updated"),
             F.lit(schema.json()).alias("table_schema"),
+            F.lit(source_version).cast("bigint").alias("source_version"),
         ).coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={version}")
         return version

@@ -349,6 +349,8 @@ def oracle_sql() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS product_id, "value" AS amount, {_EVENT_TIME} AS event_time, 'clickstream_stream' AS _source FROM events""",
         "events_stream_restart": """SELECT event_type, count(*) AS event_count,
             count(DISTINCT event_id) AS distinct_events FROM events GROUP BY event_type""",
+        "events_stream_progress": f"""SELECT count(*) AS input_rows FROM events
+          GROUP BY coalesce(ts >= TIMESTAMP '{registry.SECOND_ARRIVAL_FROM}', false)""",
 
         "report_status": _with(_FACT_CHAIN, _STATUS_REPORT.format(table="fact")),
         "report_status_silver": _with(_SILVER_CHAIN, _STATUS_REPORT.format(table="silver")),

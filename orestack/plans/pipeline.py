@@ -33,12 +33,31 @@ def ingest_orders(lake: Lake, raw_orders: DataFrame, source: str = "orders.csv",
     return lake.bronze_orders.append(bronze.with_audit(raw_orders, source), committed_at)
 
 
+def unmerged_orders(lake: Lake) -> DataFrame | None:
+    """All bronze rows of the orders that have a row in a bronze version not merged into silver yet."""
+    merged, rows = lake.silver_orders.source_version(), lake.bronze_orders.current()
+    if merged is None:
+        return rows
+    new = lake.bronze_orders.appended_since(merged)
+    return None if new is None else rows.join(new.select("order_id"), "order_id", "left_semi")
+
+
 def refresh_silver_orders(lake: Lake, bronze_orders: DataFrame | None = None,
-                          committed_at: str | None = None) -> int:
-    """Merge the clean orders of bronze, or of a part of it, into silver."""
-    rows = lake.bronze_orders.current() if bronze_orders is None else bronze_orders
+                          committed_at: str | None = None, full: bool = False) -> int:
+    """Merge the clean orders of bronze into silver; returns the version of silver.
+
+    By default these are the orders that have new rows in bronze, with their older rows, so a late copy
+    of an order does not replace a newer one; without new rows nothing is written. With ``full`` all of
+    bronze is merged, and silver gets a new base. A given part of bronze is merged as it is.
+    """
+    rows, merged = bronze_orders, None
+    if rows is None:
+        merged = lake.bronze_orders.latest_version()
+        rows = lake.bronze_orders.current() if full else unmerged_orders(lake)
+    if rows is None:
+        return lake.silver_orders.latest_version()
     return lake.silver_orders.merge(
-        silver.silver_orders(rows), silver.ORDER_UPDATE_COLUMNS, committed_at)
+        silver.silver_orders(rows), silver.ORDER_UPDATE_COLUMNS, committed_at, new_base=full, source_version=merged)
 
 
 def account_orders(lake: Lake, bronze_orders: DataFrame | None = None) -> None:

@@ -67,6 +67,11 @@ def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], pi
     return _written[session]
 
 
+def forget() -> None:
+    """Let the next queries write their tables again."""
+    _written.clear()
+
+
 def lake(spark: SparkSession, folder: str) -> pipeline.Lake:
     """The lake after one run over all raw rows."""
     return _once(spark, folder, "lake", lambda path: pipeline.run_pipeline(
@@ -104,7 +109,7 @@ def _merge_and_restore(spark: SparkSession, folder: str, path: str) -> pipeline.
         pipeline.refresh_silver_orders(target, new_rows, committed_at)
     target.silver_orders.restore(FIRST_LOAD, COMMIT_TIMES[RESTORED])
     for version in (FULL_MERGE, FULL_MERGE_AGAIN):
-        pipeline.refresh_silver_orders(target, committed_at=COMMIT_TIMES[version])
+        pipeline.refresh_silver_orders(target, committed_at=COMMIT_TIMES[version], full=True)
     return target
 
 
@@ -337,8 +342,8 @@ def events_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out")
 
 
-def events_stream_restart(spark: SparkSession, folder: str) -> DataFrame:
-    """Two arrivals and three runs; the run in between finds nothing new."""
+def _two_arrivals(spark: SparkSession, folder: str) -> str:
+    """Two arrivals and three runs; the run in between finds nothing new. Returns the folder of the events."""
     work = new_folder(spark, "events")
     raw = star.raw_events(spark, folder)
     late = F.coalesce(F.col("event_time") >= SECOND_ARRIVAL_FROM, F.lit(False))
@@ -351,12 +356,21 @@ def events_stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     run()
     _write_json(raw.filter(late), f"{work}/in")
     run()
-    return spark.read.parquet(f"{work}/out").groupBy("event_type").agg(
+    return f"{work}/out"
+
+
+def events_stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(_two_arrivals(spark, folder)).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("event_id").alias("distinct_events"),
     )
 
 
+def events_stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Input rows of each micro-batch of the two arrivals."""
+    return events.progress(spark, _two_arrivals(spark, folder)).select("input_rows")
+
+
 # -- reports ------------------------------------------------------------------------------------
 
 def _on_daily(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -386,6 +400,7 @@ _LAYERS_AND_OPERATORS = (
     orders_as_of_version, version_preview, orders_as_of_timestamp, table_history, table_history_sql,
     table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
     check_merge_idempotent, schema_evolve_append, events_stream_ingest, events_stream_restart,
+    events_stream_progress,
 )
 
 _REPORTS: dict[str, Query] = {

@@ -75,7 +75,8 @@ FACT_COLUMNS = (
 )
 
 # One row per committed version of a versioned table. ``_parent`` is the version whose
-# contents this one builds on: NULL for an overwrite, the restored version for a restore.
+# contents this one builds on: NULL for a new base, the restored version for a restore.
+# ``source_version`` is the version of another table up to which its rows are merged here.
 COMMITS = _struct(
     ("_version", T.LongType()),
     ("_parent", T.LongType()),
@@ -84,4 +85,5 @@ COMMITS = _struct(
     ("rows_inserted", T.LongType()),
     ("rows_updated", T.LongType()),
     ("table_schema", T.StringType()),
+    ("source_version", T.LongType()),
 )

@@ -87,3 +87,28 @@ def test_gold_can_be_read_as_of_an_older_version(spark, lake, raw):
     before = samples.rows(lake.fact_orders.current(), "order_id", "total_amount")
     pipeline.refresh_fact_orders(lake, files.read_products(spark, raw[2]))
     assert samples.rows(lake.fact_orders.as_of_version(0), "order_id", "total_amount") == before
+
+
+def test_refreshes_merge_what_is_new_in_bronze(spark, tmp_path):
+    lake = pipeline.Lake(spark, str(tmp_path))
+
+    def arrive(*orders):
+        pipeline.ingest_orders(lake, samples.raw_orders(spark, [
+            (key, "C1", "P1", n, 10.0, "pending", "2024-01-05", at) for key, n, at in orders]))
+        return pipeline.refresh_silver_orders(lake)
+
+    arrive(*((f"O{n}", 1, "2024-01-05T10:00") for n in range(50)))
+    for n in range(1, 5):
+        arrive((f"O{n}", 7, "2024-01-05T11:00"), (f"P{n}", 1, "2024-01-05T11:00"))
+    assert [row["rows_inserted"] + row["rows_updated"] for row in lake.silver_orders.history().collect()] == [2, 2, 2, 2, 50]
+    late = arrive(("O1", 3, "2024-01-05T10:30"))  # older than the copy that silver has
+    assert lake.silver_orders.current().filter("order_id = 'O1'").first()["quantity"] == 7
+    assert pipeline.refresh_silver_orders(lake) == late
+    before = samples.rows(lake.silver_orders.current(), "order_id", "quantity", "total_amount")
+    assert len(before) == 54
+    pipeline.refresh_silver_orders(lake, full=True)
+    assert samples.rows(lake.silver_orders.current(), "order_id", "quantity", "total_amount") == before
+    assert all(f"_version={late + 1}" in name for name in lake.silver_orders.current().inputFiles())
+    lake.silver_orders.restore(0)
+    pipeline.refresh_silver_orders(lake)
+    assert samples.rows(lake.silver_orders.current(), "order_id", "quantity", "total_amount") == before

@@ -149,6 +149,33 @@ def test_merge_after_an_overwrite_starts_from_it(spark, merged):
     assert samples.rows(merged.current()) == [("A", "C7", "P7", 7), ("Q", "C1", "P1", 1)]
 
 
+def test_a_new_base_holds_the_whole_table(spark, merged, folder):
+    merged.merge(_orders(spark, ("A", "C9", "P9", 9), ("M", "C1", "P1", 1)), ["quantity"], new_base=True, source_version=4)
+    whole = [("A", "C1", "P1", 9), ("K", "C3", "P3", 7), ("M", "C1", "P1", 1)]
+    assert samples.rows(merged.current()) == whole
+    assert all("_version=2" in name for name in merged.current().inputFiles())
+    assert samples.rows(merged.changes(2), "order_id", "_op") == [("A", "U"), ("M", "I")]
+    newest = merged.history(1).first()
+    assert (newest["operation"], newest["rows_inserted"], newest["rows_updated"]) == ("MERGE", 1, 1)
+    before, after = merged.differing(1, 2)
+    assert samples.rows(before) == samples.rows(merged.as_of_version(1)) and samples.rows(after) == whole
+    merged.merge(_orders(spark, ("K", "C3", "P3", 8)), ["quantity"])
+    assert samples.rows(merged.current(), "quantity") == [(1,), (8,), (9,)] and merged.source_version() is None
+    merged.restore(2)
+    assert samples.rows(merged.current()) == whole and merged.source_version() == 4
+
+
+def test_a_long_chain_gets_a_new_base(spark, folder, monkeypatch):
+    monkeypatch.setattr(versioned, "MOST_CHANGES", 2)
+    table = VersionedTable(spark, folder, key=["order_id"])
+    for n in range(5):
+        table.merge(_orders(spark, ("A", "C", "P", n), (f"N{n}", "C", "P", n)))
+    used = {name.split("_version=")[1][0] for name in table.current().inputFiles()}
+    assert used == {"3", "4"}
+    assert samples.rows(table.current(), "order_id", "quantity") == [
+        ("A", 4), ("N0", 0), ("N1", 1), ("N2", 2), ("N3", 3), ("N4", 4)]
+
+
 def test_keyed_and_unkeyed_writes_do_not_mix(spark, folder):
     with pytest.raises(ValueError):
         VersionedTable(spark, folder, key=["order_id"]).append(_orders(spark))
