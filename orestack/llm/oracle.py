@@ -39,6 +39,23 @@ SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts)::INTEGER END AS lines_in
 FROM raw LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
 """
 
+# Four digits of base32 are five of the hexadecimal ones.
+_WARC = r"""
+WITH filled AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+),
+known AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first
+  FROM filled
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM known
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _LINE_DEDUP}
+    return {"op5_line_dedup": _LINE_DEDUP, "op6_warc": _WARC}

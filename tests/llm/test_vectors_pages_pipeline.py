@@ -6,6 +6,7 @@ import base64
 import hashlib
 import io
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,16 @@ def test_archive_round_trip(spark):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_archive_equals_its_sql(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame(list(PAGES), "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    with duckdb.connect() as database:
+        database.sql(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+        expected = sorted(database.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to "
+                                       f"FROM ({oracle.oracle_sql()['op6_warc']})").fetchall(), key=repr)
+    assert sorted((tuple(r) for r in queries.op6_warc(spark, folder).collect()), key=repr) == expected
+
+
 def test_bundles_are_plain_zstandard(spark):
     zstandard = pytest.importorskip("zstandard")
     pages = spark.createDataFrame([(i, "u", "page %d" % i * 9000) for i in range(20)], "page_id long, url string, html string").coalesce(1)
