@@ -17,12 +17,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F, types as T
 
 from orestack import schemas
 from orestack.operators.dedup import latest_per_key
+from orestack.sources.workspace import new_folder
 
 INSERTED, UPDATED, KEPT = "I", "U", "K"
 MOST_CHANGES = 8  # versions that a read lays over its base
@@ -306,18 +306,17 @@ class VersionedTable:
             return self._commit(source, "WRITE", None, committed, committed_at, source_version=source_version)
         latest = max(committed)
         new_base = new_base or len(self._chain(latest, committed)) > MOST_CHANGES
-        # Read twice below; lost blocks are computed again from the source.
-        source = source.persist(StorageLevel.DISK_ONLY)
-        try:
-            current = self._contents(latest, committed)
-            rows = merge_changes(source, current, self.key, update_columns)
-            if new_base:
-                rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
-            fitted = _fit(rows, self._schema(latest, committed))
-            parent = None if new_base else latest
-            return self._commit(fitted, "MERGE", parent, committed, committed_at, source_version=source_version)
-        finally:
-            source.unpersist()
+        # Read twice below, so it is written to the shared folder: a lost executor takes none of it along.
+        staged = new_folder(self.spark, "merge-source")
+        source.write.parquet(staged)
+        source = self.spark.read.schema(source.schema).parquet(staged)
+        current = self._contents(latest, committed)
+        rows = merge_changes(source, current, self.key, update_columns)
+        if new_base:
+            rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
+        fitted = _fit(rows, self._schema(latest, committed))
+        parent = None if new_base else latest
+        return self._commit(fitted, "MERGE", parent, committed, committed_at, source_version=source_version)
 
     def restore(self, version: int, committed_at: str | None = None) -> int:
         """Make the contents of an older version current, as a new version without rows."""

@@ -343,6 +343,15 @@ def oracle_sql() -> dict[str, str]:
             CAST(0 AS BIGINT) AS changed_rows, TRUE AS passed FROM full_merge"""),
         "schema_evolve_append": _with([_RAW_ORDERS], f"""SELECT {_RAW_COLUMNS},
             CASE WHEN batch = 1 THEN lower(trim(status)) END AS channel FROM raw_orders"""),
+        "csv_bronze_orders": _with([_RAW_ORDERS], f"SELECT {_RAW_COLUMNS} FROM raw_orders"),
+        "csv_source_files": _with([_RAW_ORDERS], "SELECT count(*) AS input_rows, count(*) AS rows_with_file FROM raw_orders"),
+        "csv_products": """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_type AS category,
+            CAST(p_retailprice AS VARCHAR) AS price, CAST(p_size AS VARCHAR) AS stock FROM part""",
+        "audit_times": _with(_DAILY_CHAIN, " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) AS timed_rows, "
+            f"least(count(*), 1) AS times FROM {table}"
+            for name, table in (("bronze_orders", "raw_orders"), ("silver_orders", "silver"), ("silver_customers", "customers"),
+                                ("fact_orders", "fact"), ("agg_revenue_daily", "daily")))),
 
         "events_stream_ingest": f"""SELECT CAST(event_id AS VARCHAR) AS event_id,
             CAST(NULL AS VARCHAR) AS session_id, CAST(user_id AS VARCHAR) AS customer_id, event_type,
@@ -391,5 +400,6 @@ def oracle_sql() -> dict[str, str]:
     }
     # What a run stores, and what it makes of CSV files, are the same rows.
     same = {"run_accounting": "quality_orders", "run_rejects": "orders_rejects",
-            "csv_silver_orders": "silver_orders", "csv_fact_orders": "fact_orders"}
+            "csv_silver_orders": "silver_orders", "csv_fact_orders": "fact_orders",
+            "csv_silver_customers": "silver_customers", "schema_overwrite": "orders_valid"}
     return sql | {name: sql[other] for name, other in same.items()}

@@ -7,6 +7,7 @@ read the tables of a lake, as their users do; the lake of a folder is written on
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,7 +16,7 @@ from orestack import settings
 from orestack.functions import rules
 from orestack.operators import profile, schema, versioned
 from orestack.plans import bronze, checks, gold, pipeline, reports, silver
-from orestack.sources import star_tables as star
+from orestack.sources import files, star_tables as star
 from orestack.sources.workspace import new_folder
 from orestack.streaming import events
 
@@ -79,13 +80,18 @@ def lake(spark: SparkSession, folder: str) -> pipeline.Lake:
         star.raw_products(spark, folder), path, star.VALID_REGIONS, star.order_bytes(spark, folder)))
 
 
+def _write_csv(rows: DataFrame, path: str) -> None:
+    """CSV files with a header, with white space around cells as it is."""
+    rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def csv_lake(spark: SparkSession, folder: str) -> pipeline.Lake:
     """The lake of a run over CSV files with all raw rows."""
     def write(path: str) -> pipeline.Lake:
         raw = {"orders": star.raw_orders(spark, folder), "customers": star.raw_customers(spark, folder),
                "products": star.raw_products(spark, folder)}
         for name, rows in raw.items():
-            rows.write.option("header", "true").option("escape", '"').csv(f"{path}/{name}.csv")
+            _write_csv(rows, f"{path}/{name}.csv")
         return pipeline.run_from_csv(spark, *(f"{path}/{name}.csv" for name in raw), f"{path}/lake", star.VALID_REGIONS)
 
     return _once(spark, folder, "csv", write)
@@ -163,6 +169,27 @@ def csv_fact_orders(spark: SparkSession, folder: str) -> DataFrame:
     return csv_lake(spark, folder).fact_orders.current()
 
 
+def csv_bronze_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return csv_lake(spark, folder).bronze_orders.current().drop("_source_file")
+
+
+def csv_source_files(spark: SparkSession, folder: str) -> DataFrame:
+    """How many bronze rows name the file that they came from."""
+    return csv_lake(spark, folder).bronze_orders.current().agg(
+        F.count(F.lit(1)).alias("input_rows"),
+        F.count_if(F.col("_source_file").rlike(r"^part-.+\.csv$")).alias("rows_with_file"))
+
+
+def csv_silver_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return csv_lake(spark, folder).silver_customers.current()
+
+
+def csv_products(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{new_folder(spark, 'products')}/products.csv"
+    _write_csv(star.raw_products(spark, folder), path)
+    return files.read_products(spark, path)
+
+
 def silver_customers(spark: SparkSession, folder: str) -> DataFrame:
     return silver.silver_customers(star.raw_customers(spark, folder), star.VALID_REGIONS)
 
@@ -247,6 +274,22 @@ def layer_summary(spark: SparkSession, folder: str) -> DataFrame:
         tables.fact_orders.current(), tables.agg_revenue_daily.current())
 
 
+def audit_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Per table of a run its rows, those with an audit time, and the number of different times."""
+    tables = lake(spark, folder)
+    layers = {
+        "bronze_orders": (tables.bronze_orders, "_bronze_ingested_at"),
+        "silver_orders": (tables.silver_orders, "_silver_updated_at"),
+        "silver_customers": (tables.silver_customers, "_silver_updated_at"),
+        "fact_orders": (tables.fact_orders, "_gold_created_at"),
+        "agg_revenue_daily": (tables.agg_revenue_daily, "_gold_created_at"),
+    }
+    return functools.reduce(DataFrame.unionByName, (
+        table.current().agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                            F.count(time).alias("timed_rows"), F.count_distinct(time).alias("times"))
+        for name, (table, time) in layers.items()))
+
+
 # -- versions -----------------------------------------------------------------------------------
 
 def _merged_orders(spark: SparkSession, folder: str) -> versioned.VersionedTable:
@@ -329,6 +372,14 @@ def schema_evolve_append(spark: SparkSession, folder: str) -> DataFrame:
     return table.current()
 
 
+def schema_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw orders, replaced by typed ones: other columns, and other types of the same columns."""
+    table = versioned.VersionedTable(spark, new_folder(spark, "replaced"))
+    table.overwrite(star.raw_orders(spark, folder))
+    table.overwrite(orders_valid(spark, folder))
+    return table.current()
+
+
 # -- streaming ----------------------------------------------------------------------------------
 
 def _write_json(arrival: DataFrame, folder: str) -> None:
@@ -394,12 +445,13 @@ _LAYERS_AND_OPERATORS = (
     silver_orders, silver_customers, fact_orders, agg_revenue_daily,
     fact_orders_month_slice, fact_date_range, fact_preview, bronze_preview,
     fact_history, run_accounting, run_rejects, csv_silver_orders, csv_fact_orders,
+    csv_bronze_orders, csv_source_files, csv_silver_customers, csv_products, audit_times,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
     merge_change_set, orders_after_merge, orders_after_restore, silver_orders_current,
     orders_as_of_version, version_preview, orders_as_of_timestamp, table_history, table_history_sql,
     table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
-    check_merge_idempotent, schema_evolve_append, events_stream_ingest, events_stream_restart,
+    check_merge_idempotent, schema_evolve_append, schema_overwrite, events_stream_ingest, events_stream_restart,
     events_stream_progress,
 )
 
