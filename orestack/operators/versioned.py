@@ -6,9 +6,9 @@ N: the whole table for an overwrite, the new rows for an append, the changed row
 invisible and its retry replaces it. One writer at a time is assumed; a second one fails, since a
 committed version is never written again.
 
-Every commit names the version it builds on, so the contents of a version are the rows of a chain of
-versions. A merge costs no more than the touched keys need, a restore writes no rows at all, and a
-read lists only the folders of its chain. An overwrite starts a new chain, and so does every merge that
+Every commit names the chain of versions whose rows make up its contents, so a read needs one commit and
+lists only the folders of its chain. A merge costs no more than the touched keys need, and a restore
+writes no rows at all. An overwrite starts a new chain, and so does every merge that
 finds ``MOST_CHANGES`` merges in its chain or is asked to: it writes the untouched rows as well.
 """
 
@@ -154,7 +154,8 @@ class VersionedTable:
 
     def latest_version(self) -> int | None:
         """The latest committed version, or None when there is none."""
-        return max(self._committed(), default=None)
+        newest = self._newest()
+        return None if newest is None else newest["_version"]
 
     def version_at(self, timestamp: str) -> int:
         """The latest version committed at or before a timestamp."""
@@ -164,22 +165,27 @@ class VersionedTable:
             raise VersionNotFound(f"no version of {self.path} was committed by {timestamp}")
         return found
 
-    def _committed(self) -> dict[int, Row]:
-        # Metadata only: one small row per version.
-        return {row["_version"]: row for row in self.commits().collect()}
+    def _newest(self) -> Row | None:
+        return self.commits().orderBy(F.col("_version").desc()).first()
+
+    def _commit_of(self, version: int) -> Row:
+        found = self.commits().filter(F.col("_version") == version).first()
+        if found is None:
+            raise VersionNotFound(f"{self.path} has no version {version}")
+        return found
 
     # -- reads ------------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
         """The latest contents."""
-        committed = self._committed()
-        if not committed:
+        newest = self._newest()
+        if newest is None:
             raise VersionNotFound(f"{self.path} has no committed version")
-        return self._contents(max(committed), committed)
+        return self._contents(newest)
 
     def as_of_version(self, version: int) -> DataFrame:
         """The contents as of a version."""
-        return self._contents(version, self._committed())
+        return self._contents(self._commit_of(version))
 
     def as_of_timestamp(self, timestamp: str) -> DataFrame:
         """The contents as of the latest version committed at or before a timestamp."""
@@ -187,20 +193,19 @@ class VersionedTable:
 
     def changes(self, version: int) -> DataFrame:
         """The rows that one version inserted or updated, marked in ``_op``."""
-        committed = self._committed()
-        return self._rows([version], self._schema(version, committed)).drop("_version").filter(F.col("_op") != KEPT)
+        schema = self._schema(self._commit_of(version))
+        return self._rows([version], schema).drop("_version").filter(F.col("_op") != KEPT)
 
     def appended_since(self, version: int) -> DataFrame | None:
         """The rows that were appended after a version; None when there are none."""
-        committed = self._committed()
-        latest = max(committed)
-        later = [step for step in self._chain(latest, committed) if step > version]
-        return self._rows(later, self._schema(latest, committed)).drop("_version", "_op") if later else None
+        newest = self._newest()
+        later = [step for step in newest["chain"] if step > version] if newest else []
+        return self._rows(later, self._schema(newest)).drop("_version", "_op") if later else None
 
     def source_version(self) -> int | None:
         """What the latest version says about its source; a restored version says what it said before."""
-        committed = self._committed()
-        return committed[max(committed)]["source_version"] if committed else None
+        newest = self._newest()
+        return None if newest is None else newest["source_version"]
 
     def differing(self, before: int, after: int) -> tuple[DataFrame, DataFrame]:
         """The rows of two versions that can differ, as a pair to compare.
@@ -208,13 +213,12 @@ class VersionedTable:
         When one version builds on the other, only the keys written in between can differ, and only
         the rows of those keys are returned; otherwise all rows are.
         """
-        committed = self._committed()
-        schema = self._schema(after, committed)
-        older = self._contents(before, committed)
-        start, chain = self._chain(before, committed), self._chain(after, committed)
+        first, last = self._commit_of(before), self._commit_of(after)
+        schema, older = self._schema(last), self._contents(first)
+        start, chain = first["chain"], last["chain"]
         later = chain[len(start):]
         if not self.key or chain[:len(start)] != start or not later:
-            return older, self._contents(after, committed)
+            return older, self._contents(last)
         touched = self._rows(later, schema)
         return (
             older.join(touched.select(*self.key), self.key, "left_semi"),
@@ -225,9 +229,9 @@ class VersionedTable:
         # The rows of a single version are unique already.
         return touched if len(versions) == 1 else latest_per_key(touched, self.key, "_version")
 
-    def _contents(self, version: int, committed: dict[int, Row]) -> DataFrame:
-        schema = self._schema(version, committed)
-        base, *later = self._chain(version, committed)
+    def _contents(self, commit: Row) -> DataFrame:
+        schema = self._schema(commit)
+        base, *later = commit["chain"]
         if not later:
             rows = self._rows([base], schema)
         elif self.key:
@@ -237,21 +241,8 @@ class VersionedTable:
             rows = self._rows([base, *later], schema)
         return rows.select(*schema.names)
 
-    def _chain(self, version: int, committed: dict[int, Row]) -> list[int]:
-        """Versions whose rows make up a version, oldest first."""
-        chain: list[int] = []
-        step: int | None = version
-        while step is not None:
-            commit = committed[step]
-            if commit["operation"] != "RESTORE":
-                chain.append(step)
-            step = commit["_parent"]
-        return chain[::-1]
-
-    def _schema(self, version: int, committed: dict[int, Row]) -> T.StructType:
-        if version not in committed:
-            raise VersionNotFound(f"{self.path} has no version {version}")
-        return T.StructType.fromJson(json.loads(committed[version]["table_schema"]))
+    def _schema(self, commit: Row) -> T.StructType:
+        return T.StructType.fromJson(json.loads(commit["table_schema"]))
 
     def _rows(self, versions: Sequence[int], schema: T.StructType) -> DataFrame:
         # The declared schema saves reading file footers and fills columns that older files lack.
@@ -270,12 +261,10 @@ class VersionedTable:
         """Add rows; new columns are added to the table. Returns the new version."""
         if self.key:
             raise ValueError("a keyed table takes merges and overwrites, not appends")
-        committed = self._committed()
-        if not committed:
-            return self._commit(df, "APPEND", None, committed, committed_at)
-        latest = max(committed)
-        fitted = _fit(df, self._schema(latest, committed))
-        return self._commit(fitted, "APPEND", latest, committed, committed_at)
+        newest = self._newest()
+        if newest is None:
+            return self._commit(df, "APPEND", newest, [], committed_at)
+        return self._commit(_fit(df, self._schema(newest)), "APPEND", newest, newest["chain"], committed_at)
 
     def overwrite(self, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
                   committed_at: str | None = None) -> int:
@@ -290,7 +279,7 @@ class VersionedTable:
             df = df.hint("rebalance", *partition_by)
         if partition_by or sort_by:
             df = df.sortWithinPartitions(*partition_by, *sort_by)
-        return self._commit(df, "WRITE", None, self._committed(), committed_at, partition_by)
+        return self._commit(df, "WRITE", self._newest(), [], committed_at, partition_by)
 
     def merge(self, source: DataFrame, update_columns: Sequence[str] | None = None,
               committed_at: str | None = None, new_base: bool = False, source_version: int | None = None) -> int:
@@ -300,36 +289,34 @@ class VersionedTable:
         """
         if not self.key:
             raise ValueError("a merge needs a keyed table")
-        committed = self._committed()
+        newest = self._newest()
         source = one_row_per_key(source, self.key)
-        if not committed:
-            return self._commit(source, "WRITE", None, committed, committed_at, source_version=source_version)
-        latest = max(committed)
-        new_base = new_base or len(self._chain(latest, committed)) > MOST_CHANGES
+        if newest is None:
+            return self._commit(source, "WRITE", newest, [], committed_at, source_version=source_version)
+        new_base = new_base or len(newest["chain"]) > MOST_CHANGES
         # Read twice below, so it is written to the shared folder: a lost executor takes none of it along.
         staged = new_folder(self.spark, "merge-source")
         source.write.parquet(staged)
         source = self.spark.read.schema(source.schema).parquet(staged)
-        current = self._contents(latest, committed)
+        current = self._contents(newest)
         rows = merge_changes(source, current, self.key, update_columns)
         if new_base:
             rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
-        fitted = _fit(rows, self._schema(latest, committed))
-        parent = None if new_base else latest
-        return self._commit(fitted, "MERGE", parent, committed, committed_at, source_version=source_version)
+        fitted, below = _fit(rows, self._schema(newest)), [] if new_base else newest["chain"]
+        return self._commit(fitted, "MERGE", newest, below, committed_at, source_version=source_version)
 
     def restore(self, version: int, committed_at: str | None = None) -> int:
         """Make the contents of an older version current, as a new version without rows."""
-        committed = self._committed()
-        schema = self._schema(version, committed)
-        return self._record(max(committed) + 1, version, "RESTORE", 0, 0, schema, committed_at,
-                            committed[version]["source_version"])
+        restored = self._commit_of(version)
+        return self._record(self.latest_version() + 1, restored["chain"], "RESTORE", 0, 0, self._schema(restored),
+                            committed_at, restored["source_version"])
 
-    def _commit(self, df: DataFrame, operation: str, parent: int | None, committed: dict[int, Row],
+    def _commit(self, df: DataFrame, operation: str, newest: Row | None, below: list[int],
                 committed_at: str | None, partition_by: Sequence[str] = (),
                 source_version: int | None = None) -> int:
-        version = max(committed, default=-1) + 1
-        if version in self._committed():
+        # ``newest`` is the last commit that the caller saw, ``below`` the chain that the rows are laid over.
+        version = 0 if newest is None else newest["_version"] + 1
+        if self.latest_version() != (None if newest is None else newest["_version"]):
             raise RuntimeError(f"another writer has committed version {version} of {self.path}")
         if "_op" not in df.columns:
             df = df.withColumn("_op", F.lit(INSERTED))
@@ -342,14 +329,14 @@ class VersionedTable:
         )
         observed.write.mode("overwrite").partitionBy(*partition_by).parquet(
             f"{self.path}/rows/_version={version}")
-        return self._record(version, parent, operation, counts.get["inserted"], counts.get["updated"],
+        return self._record(version, [*below, version], operation, counts.get["inserted"], counts.get["updated"],
                             schema, committed_at, source_version)
 
-    def _record(self, version: int, parent: int | None, operation: str, inserted: int, updated: int,
+    def _record(self, version: int, chain: list[int], operation: str, inserted: int, updated: int,
                 schema: T.StructType, committed_at: str | None, source_version: int | None = None) -> int:
         when = F.current_timestamp() if committed_at is None else F.lit(committed_at).cast("timestamp")
         self.spark.range(1).select(
-            F.lit(parent).cast("bigint").alias("_parent"),
+            F.array(*map(F.lit, chain)).cast("array<bigint>").alias("chain"),
             when.alias("committed_at"),
             F.lit(operation).alias("operation"),
             F.lit(inserted).cast("bigint").alias("rows_inserted"),

@@ -74,12 +74,11 @@ FACT_COLUMNS = (
     "status", "_gold_created_at",
 )
 
-# One row per committed version of a versioned table. ``_parent`` is the version whose
-# contents this one builds on: NULL for a new base, the restored version for a restore.
-# ``source_version`` is the version of another table up to which its rows are merged here.
+# One row per committed version of a versioned table. ``chain`` names the versions whose rows make up
+# its contents, oldest first. ``source_version`` is the version of another table up to which its rows are merged here.
 COMMITS = _struct(
     ("_version", T.LongType()),
-    ("_parent", T.LongType()),
+    ("chain", T.ArrayType(T.LongType())),
     ("committed_at", T.TimestampType()),
     ("operation", T.StringType()),
     ("rows_inserted", T.LongType()),

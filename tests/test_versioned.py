@@ -245,8 +245,14 @@ def test_a_merge_needs_one_row_per_key(spark, folder, merged, rows):
 def test_a_committed_version_is_never_written_again(spark, folder):
     table = VersionedTable(spark, folder)
     table.append(_orders(spark, ("A", "C", "P", 1)))
-    snapshot = table._committed()
+    snapshot = table._newest()
     table.append(_orders(spark, ("B", "C", "P", 1)))
     with pytest.raises(RuntimeError, match="another writer"):
-        table._commit(_orders(spark, ("X", "C", "P", 1)), "APPEND", 0, snapshot, None)
+        table._commit(_orders(spark, ("X", "C", "P", 1)), "APPEND", snapshot, snapshot["chain"], None)
     assert samples.rows(table.current(), "order_id") == [("A",), ("B",)]
+
+
+def test_a_commit_names_the_chain_of_its_contents(merged):
+    merged.restore(0)
+    chains = {row["_version"]: row["chain"] for row in merged.commits().collect()}
+    assert chains == {0: [0], 1: [0, 1], 2: [0]}
