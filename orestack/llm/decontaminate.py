@@ -26,26 +26,34 @@ def seeds(rows: DataFrame, *columns: str) -> DataFrame:
     return at.select(*columns, "at", F.explode(F.array(*hashes)).alias("seed")).filter(F.col("seed").isNotNull())
 
 
-def stretch(side: str) -> str:
-    """The longest good extension over the aligned token pairs of one side, as (length, matches).
+def stretches(least: int, similarity: float) -> str:
+    """The covered runs (s, e, matches) of a diagonal, from ``lo``, ``hi``, ``need`` and the unequal places ``bad``.
 
-    A match scores 1 and a mismatch -4, so a stretch that does not lose has at least 80 % matches.
+    A run is a union of stretches of at least ``need`` tokens that are equal to ``similarity``. A longer such stretch
+    splits into pieces of less than twice ``need`` of which one is such a stretch, so few unequal tokens need be asked;
+    with the same unequal tokens the stretch between the next ones to both sides is the best.
     """
-    return (f"aggregate({side}, named_struct('score', 0, 'n', 0, 'm', 0, 'best', 0, 'length', 0, 'matches', 0), "
-            "(a, same) -> named_struct('score', a.score + if(same, 1, -4), 'n', a.n + 1, 'm', a.m + int(same), "
-            "'best', greatest(a.best, a.score + if(same, 1, -4)), "
-            "'length', if(a.score + if(same, 1, -4) >= a.best, a.n + 1, a.length), "
-            "'matches', if(a.score + if(same, 1, -4) >= a.best, a.m + int(same), a.matches)))")
+    most = int((2 * least - 1) * (1 - similarity) + 1e-9)
+    every = ("flatten(transform(sequence(0, size(edges) - 2), a -> transform(sequence(1, least("
+             f"{most + 1}, size(edges) - 1 - a)), n -> struct(edges[a] + 1 AS s, edges[a + n] AS e, n - 1 AS wrong))))")
+    good = f"filter({every}, x -> x.e - x.s >= need AND x.e - x.s - x.wrong >= (x.e - x.s) * {similarity}D)"
+    last = "get(acc, size(acc) - 1)"
+    runs = (f"aggregate({good}, cast(array() AS array<struct<s: int, e: int>>), (acc, x) -> if({last}.e >= x.s, "
+            f"concat(slice(acc, 1, size(acc) - 1), array(struct({last}.s AS s, greatest({last}.e, x.e) AS e))), "
+            "concat(acc, array(struct(x.s AS s, x.e AS e)))))")
+    return f"transform({runs}, r -> struct(r.s, r.e, r.e - r.s - size(filter(bad, j -> j >= r.s AND j < r.e)) AS matches))"
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
              item_text: str = "text", least: int = 15, similarity: float = 0.8) -> DataFrame:
     """The verified overlaps: ``_name`` and ``_hash`` of the document, ``item_id``, ``at``, ``length``, ``matches``.
 
-    Windows of documents and items meet when a mask sees the same tokens in both. Around each such hit
-    the aligned tokens are compared to both sides for as long as that does not lose; the overlap counts
-    when it has ``least`` tokens (or the whole item, if shorter) and ``similarity`` of them match.
-    Insertions end a stretch. An item without an id, and one with fewer tokens than every mask has no window and is never found.
+    Windows of documents and items meet when a mask sees the same tokens in both. All aligned tokens of such a
+    pair and shift are compared then: it overlaps where a stretch of ``least`` tokens or more (or the whole item,
+    if shorter) has ``similarity`` of them equal. A row is the union of such stretches that touch, so up to a
+    fifth of unequal tokens at its ends counts in ``length``. With the values given the masks see every stretch of an
+    item of 15 tokens or more (tests go through the cases). Insertions end a stretch. An item without an id, and one
+    with fewer tokens than every mask has no window and is never found.
     """
     items = saved(benchmark.select(F.col(item).cast("long").alias("item_id"), tokens(item_text).alias("tokens"))
                   .filter((F.size("tokens") > 0) & F.col("item_id").isNotNull()).distinct()
@@ -56,26 +64,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     # Only ids, places and hashes meet the benchmark; the tokens of documents that were hit are fetched after.
     hits = saved(seeds(rows.select("_name", "_hash", tokens("_text").alias("tokens")), "_name", "_hash")
                  .join(known, "seed", "left_semi").distinct(), "seed-hits")
-    # One start in eight places of a diagonal is enough: a stretch goes to both sides of it.
     met = (hits.join(item_seeds.select("seed", "item_id", "item", F.col("at").alias("item_at")), "seed")
-           .withColumn("shift", F.col("at") - F.col("item_at"))
-           .groupBy("_name", "_hash", "item_id", "item", "shift", F.expr("item_at div 8").alias("_near"))
-           .agg(F.min("item_at").alias("item_at")))
+           .select("_name", "_hash", "item_id", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     asked = met.join(items.withColumnRenamed("tokens", "item_tokens"), ["item_id", "item"])
     texts = (rows.join(hits.select("_name", "_hash").distinct(), ["_name", "_hash"], "left_semi")
              .dropDuplicates(["_name", "_hash"]).select("_name", "_hash", tokens("_text").alias("tokens")))
-    pair = "coalesce(get(tokens, shift + j) = item_tokens[j], false)"
-    sides = asked.join(texts, ["_name", "_hash"]).withColumns({
-        "right": F.expr("transform(sequence(item_at, least(size(item_tokens), size(tokens) - shift) - 1), "
-                        f"j -> {pair})"),
-        "left": F.expr("CASE WHEN item_at > greatest(0, -shift) THEN transform("
-                       f"sequence(item_at - 1, greatest(0, -shift), -1), j -> {pair}) ELSE array() END")})
-    found = sides.withColumns({"r": F.expr(stretch("right")), "l": F.expr(stretch("left"))}).select(
-        "_name", "_hash", "item_id", (F.col("shift") + F.col("item_at") - F.col("l.length")).alias("at"),
-        (F.col("l.length") + F.col("r.length")).alias("length"), (F.col("l.matches") + F.col("r.matches")).alias("matches"),
-        F.size("item_tokens").alias("whole"))
-    return found.filter((F.col("length") >= F.least(F.lit(least), "whole"))
-                        & (F.col("matches") >= F.col("length") * similarity)).drop("whole")
+    diagonals = asked.join(texts, ["_name", "_hash"]).withColumns({
+        "need": F.least(F.lit(least), F.size("item_tokens")), "lo": F.expr("greatest(0, -shift)"),
+        "hi": F.expr("least(size(item_tokens), size(tokens) - shift)")}).filter("hi - lo >= need")
+    compared = diagonals.withColumn("bad", F.expr(
+        "filter(sequence(lo, hi - 1), j -> NOT coalesce(get(tokens, shift + j) = get(item_tokens, j), false))")).drop(
+        "tokens", "item_tokens").filter(F.expr("hi - lo - size(bad)") >= F.col("need") * similarity)
+    runs = compared.withColumn("edges", F.expr("concat(array(lo - 1), bad, array(hi))")).select(
+        "_name", "_hash", "item_id", "shift", F.explode(F.expr(stretches(least, similarity))).alias("run"))
+    return runs.select("_name", "_hash", "item_id", (F.col("shift") + F.col("run.s")).alias("at"),
+                       (F.col("run.e") - F.col("run.s")).alias("length"), F.col("run.matches").alias("matches"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

@@ -124,6 +124,50 @@ def test_decontamination(spark):
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == len(texts)
 
 
+def covered(document, item, least=15):
+    """Runs (at, length, matches) of stretches of ``least`` tokens or more that are equal to 80 %, tried one by one."""
+    out, least = set(), min(least, len(item))
+    for shift in range(-len(item), len(document)):
+        lo, hi = max(0, -shift), min(len(item), len(document) - shift)
+        same = {j: document[shift + j] == item[j] for j in range(lo, hi)}
+        inside = sorted({j for s in range(lo, hi) for e in range(s + least, min(hi, s + 2 * least - 1) + 1)
+                         if 5 * sum(same[i] for i in range(s, e)) >= 4 * (e - s) for j in range(s, e)})
+        for _, run in itertools.groupby(enumerate(inside), lambda p: p[1] - p[0]):
+            run = [j for _, j in run]
+            out.add((shift + run[0], len(run), sum(same[j] for j in run)))
+    return out
+
+
+def substituted(words, places):
+    return " ".join("zz%d" % i if i in places else w for i, w in enumerate(words))
+
+
+def test_substitutions_anywhere_keep_an_overlap(spark):
+    words = ["w%d" % i for i in range(15)]
+    cases = [c for n in (1, 2, 3, 4) for c in itertools.combinations(range(15), n)]
+    docs = brute.documents(spark, [substituted(words, c) for c in cases])
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    found = {r.doc_id: r.longest for r in decontaminate.report(docs, benchmark).filter("contaminated").collect()}
+    assert found == {i: 15 for i, c in enumerate(cases) if len(c) <= 3}
+
+
+def test_overlaps_are_those_of_brute_force(spark):
+    item = ["w%d" % i for i in range(60)]
+    texts = [substituted(["x"] * rng.randint(0, 9) + item[rng.randint(0, 30):rng.randint(31, 60)] + ["y"] * rng.randint(0, 9),
+                         {rng.randrange(70) for _ in range(rng.randint(0, 14))}) for _ in range(150)]
+    # Four in 20 and five in 25 unequal, with no 15 tokens of which 12 are equal.
+    texts += [substituted(item[:20], {5, 8, 11, 14}), substituted(item[5:30], {5, 6, 10, 14, 19})]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = brute.documents(spark, texts)
+    wanted = [covered(t.split(), item) for t in texts]
+    out = [{} for _ in texts]
+    found = decontaminate.overlaps(docs, benchmark)
+    names = docs.select("doc_id", decontaminate.row_name("doc_id").alias("_name"), F.xxhash64("text").alias("_hash"))
+    for r in found.join(names, ["_name", "_hash"]).collect():
+        out[r.doc_id][r.at, r.length, r.matches] = r.item_id
+    assert [set(o) for o in out] == wanted and sum(map(bool, wanted)) > 50
+
+
 def test_mix(spark):
     texts = [prose(rng.randint(1, 400)) for _ in range(120)] + [None, "", prose(5000)]
     docs = brute.documents(spark, texts, sources=("b", "a", None, "é", "c"))
