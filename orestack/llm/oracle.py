@@ -56,6 +56,66 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM known
 """
 
+_FILL_MIDDLE = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, text, units, len(units) AS n, ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2,
+    ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4
+  FROM cut
+),
+planned AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+),
+parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+    array_to_string(units[high + 1:], '') AS suffix
+  FROM planned
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_NGRAM_JOIN = r"""
+WITH RECURSIVE
+split AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+grams AS (
+  SELECT DISTINCT row, array_to_string(words[i:i + 4], ' ') AS gram
+  FROM (SELECT row, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS i FROM split)
+),
+sizes AS (SELECT row, count(*) AS n FROM grams GROUP BY row),
+counted AS (
+  SELECT a.row, b.row AS other, count(*) AS same FROM grams a JOIN grams b USING (gram) WHERE a.row <> b.row GROUP BY a.row, b.row
+),
+links AS (
+  SELECT o.row, o.other FROM counted o JOIN sizes s ON s.row = o.row JOIN sizes t ON t.row = o.other
+  WHERE 100 * same >= 80 * (s.n + t.n - same)
+),
+reach AS (
+  SELECT row, row AS other FROM split
+  UNION SELECT reach.row, links.other FROM reach JOIN links ON links.row = reach.other
+),
+lowest AS (SELECT reach.row, min(split.doc_id) AS component_id FROM reach JOIN split ON split.row = reach.other GROUP BY reach.row),
+linked AS (SELECT row, count(*) AS n_links FROM links GROUP BY row)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM split LEFT JOIN sizes USING (row) LEFT JOIN lowest USING (row) LEFT JOIN linked USING (row)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _LINE_DEDUP, "op6_warc": _WARC}
+    return {"op5_line_dedup": _LINE_DEDUP, "op6_warc": _WARC, "op12_fill_middle": _FILL_MIDDLE, "op13_ngram_join": _NGRAM_JOIN}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orestack.llm import (ann_codes, decontaminate, language, line_dedup, mixing, quality, simhash, suffix_dedup,
-                          token_counts, warc)
+from orestack.llm import (ann_codes, decontaminate, fill_middle, language, line_dedup, mixing, ngram_join, quality, simhash,
+                          suffix_dedup, token_counts, warc, whitening)
 from orestack.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +71,20 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"), count=16)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(table(spark, folder, "documents"))
+
+
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"), width=5, percent=80)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_ann_codes, op2_decontaminate, op3_suffix_dedup, op4_token_counts, op5_line_dedup, op6_warc, op7_mixing,
-        op8_language, op9_simhash, op10_quality)}
+        op8_language, op9_simhash, op10_quality, op11_whitening, op12_fill_middle, op13_ngram_join)}
