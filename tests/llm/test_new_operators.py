@@ -225,7 +225,7 @@ def copies():
 
 
 @pytest.mark.parametrize("limits", [{}, {"BLOCK": 3, "BLOCK_GRAMS": 400, "POSTINGS": 50, "AT_ONCE": 300, "COLUMNS": 7, "FRAGMENTS": 3},
-                                    {"AT_ONCE": 1, "KNOWN_WORDS": 5, "BLOCK": 1}])
+                                    {"AT_ONCE": 1, "STRETCH": 9, "BLOCK": 1}])
 def test_join_equals_all_pairs(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(ngram_join, name, value)
@@ -254,7 +254,7 @@ def test_join_of_a_hot_row_and_of_nothing(spark):
 
 def test_very_long_texts(spark):
     long = " ".join(rng.choice(WORDS) for _ in range(150_000))
-    rows = [(1, long), (2, long + " more"), (3, "x" * 300_000), (4, None)]
+    rows = [(1, long), (2, long + " more"), (3, "x" * 300_000), (4, None), (5, "x" * 299_999 + "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.join(docs).collect()} == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0)}
+    assert {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.join(docs).collect()} == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0), 5: (5, 0)}
     assert all(r.restored_sha256 == sha(rows[r.doc_id - 1][1] or "") for r in fill_middle.digests(docs).collect())
