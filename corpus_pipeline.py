@@ -10,15 +10,17 @@ from orestack.llm import common, decontaminate, line_dedup, mixing, quality, sim
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field rates as good; fitted on labelled documents outside the evaluation fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~common.held_out(F.col("doc_id")))
-    rated = docs.withColumn("_score", quality.score(F.col("text"), quality.train(docs, labels)))
-    return rated.filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    score = common.unused(docs, "score")
+    rated = docs.withColumn(score, quality.score(F.col("text"), quality.train(docs, labels)))
+    return rated.filter(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the runs of lines that repeat earlier ones; ``n_chars`` follows the text."""
-    left = line_dedup.dedup(docs)
-    return left.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(
-        F.col("n_chars"))).select(*docs.columns)
+    lines, removed = (common.unused(docs, name) for name in ("lines_in", "lines_removed"))
+    left = line_dedup.dedup(docs, counts=(lines, removed))
+    return left.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(
+        F.col("n_chars"))).drop(lines, removed)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
