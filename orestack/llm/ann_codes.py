@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,16 +18,21 @@ BITS = 512  # of a code, at least
 ENTRY = "id long, dim int, vector binary, code binary, norm double, fit double"
 
 
-@lru_cache(maxsize=4)
+# A plain dictionary travels with the functions; tasks fill their own.
+_rotations: dict[tuple[int, int], np.ndarray] = {}
+
+
 def rotation(dim: int, seed: int) -> np.ndarray:
     """A random rotation, the same wherever it is made, of vectors padded with zeros to the bits of a code.
 
     The error of an estimate falls with the square root of the bits, so short vectors get more than a bit
     per component.
     """
-    width = -(-max(dim, BITS) // 8) * 8
-    q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((width, dim)))
-    return (q * np.sign(np.diag(r))).T
+    if (dim, seed) not in _rotations:
+        width = -(-max(dim, BITS) // 8) * 8
+        q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((width, dim)))
+        _rotations[dim, seed] = (q * np.sign(np.diag(r))).T
+    return _rotations[dim, seed]
 
 
 def usable(vector: Column) -> Column:
@@ -46,8 +50,7 @@ def encode(vectors: DataFrame, key: str, vector: str, seed: int = 7) -> DataFram
     kind = vectors.schema[vector].dataType.elementType.simpleString()
     packed = "<f4" if kind == "float" else "<f8"
     rows = (vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"))
-            .filter(F.col("id").isNotNull() & usable(F.col("vector")))
-            .groupBy("id").agg(F.min("vector").alias("vector")))
+            .filter(F.col("id").isNotNull() & usable(F.col("vector"))))
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -84,14 +87,15 @@ def nearest(block: pd.DataFrame, k: int, seed: int, packed: str, bound: float) -
     """
     asks, base = block[block["asks"]], block[~block["asks"]]
     dim = int(block["dim"].iloc[0])
-    none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+    none = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("ask", "row", "query_id", "vec_id")} | {"score": np.zeros(0)})
     if asks.empty or base.empty:
         return none
     ask, known = (np.frombuffer(b"".join(part["vector"]), packed).reshape(-1, dim).astype(float) for part in (asks, base))
     ids, query_ids = base["id"].to_numpy(), asks["id"].to_numpy()
-    order = np.argsort(ids)
-    place = np.minimum(np.searchsorted(ids, query_ids, sorter=order), len(ids) - 1)
-    own = np.where(ids[order[place]] == query_ids, order[place], -1)
+    rows, query_rows = base["row"].to_numpy(), asks["row"].to_numpy()
+    order = np.argsort(rows)
+    place = np.minimum(np.searchsorted(rows, query_rows, sorter=order), len(rows) - 1)
+    own = np.where(rows[order[place]] == query_rows, order[place], -1)
     bits = np.unpackbits(np.frombuffer(b"".join(base["code"]), np.uint8).reshape(len(base), -1), axis=1)
     width = bits.shape[1]
     norm, fit, length = base["norm"].to_numpy(), base["fit"].to_numpy(), asks["norm"].to_numpy()
@@ -114,12 +118,13 @@ def nearest(block: pd.DataFrame, k: int, seed: int, packed: str, bound: float) -
         q, c = np.nonzero((estimate >= limit[:, None] - error) & (estimate > -np.inf))
         score = np.concatenate([products(known[c[i: i + RERANKED]], ask[start + q[i: i + RERANKED]])
                                 for i in range(0, len(q), RERANKED)] or [np.zeros(0)])
-        order = np.lexsort((ids[c], -score, q))
+        order = np.lexsort((rows[c], ids[c], -score, q))
         q, c, score = q[order], c[order], score[order]
         first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
         rank = np.arange(len(q)) - np.maximum.accumulate(np.where(first, np.arange(len(q)), 0))
         best = rank < k
-        found.append(pd.DataFrame({"query_id": query_ids[start + q[best]], "vec_id": ids[c[best]], "score": score[best]}))
+        found.append(pd.DataFrame({"ask": query_rows[start + q[best]], "row": rows[c[best]], "query_id": query_ids[start + q[best]],
+                                   "vec_id": ids[c[best]], "score": score[best]}))
     return pd.concat(found) if found else none
 
 
@@ -131,14 +136,16 @@ def search(vectors: DataFrame, key: str, vector: str, asks: Column, k: int = 20,
     others of the same number of components, nearest first, ties to the smaller id. Every block of
     queries meets every block of candidates in a task of its own: the codes of a block are scanned, and
     at most ``k`` rows per query leave it. Vectors that are null, zero, empty or hold a null or a
-    non-finite component, and those without an id, take no part; of rows that repeat an id the smallest
-    vector counts. Other columns are ignored; an empty table gives no rows.
+    non-finite component, and those without an id, take no part. Rows that repeat an id are candidates and
+    queries of their own: only the query's own row is left out, and each such query has its own ranks. Other
+    columns are ignored; an empty table gives no rows.
     """
     packed = "<f4" if vectors.schema[vector].dataType.elementType.simpleString() == "float" else "<f8"
-    base = saved(encode(vectors, key, vector, seed), "codes")
+    # Numbers that are written stay as they are, whatever runs again.
+    base = saved(encode(vectors, key, vector, seed).withColumn("row", F.monotonically_increasing_id()), "codes")
     total, asking = base.agg(F.count("*"), F.count_if(asks)).first()
     base_blocks, ask_blocks = max(1, -(-total // CANDIDATES)), max(1, -(-asking // QUERIES))
-    place = F.xxhash64("id")
+    place = F.xxhash64("row")
 
     def over(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -152,7 +159,7 @@ def search(vectors: DataFrame, key: str, vector: str, asks: Column, k: int = 20,
         return nearest(block, k, seed, packed, bound)
 
     best = (candidates.unionByName(queries).groupBy("dim", "ask_block", "base_block")
-            .applyInPandas(task, "query_id long, vec_id long, score double"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .applyInPandas(task, "ask long, row long, query_id long, vec_id long, score double"))
+    order = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id", "row")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -22,6 +22,14 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; empty for a null or blank text."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(f"({WORD_PATTERN})"), F.lit(1)), F.array().cast("array<string>"))

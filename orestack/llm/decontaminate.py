@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orestack.llm.common import saved
@@ -17,12 +19,28 @@ def tokens(text: str) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
-def seeds(rows: DataFrame, *columns: str) -> DataFrame:
-    """``columns``, ``at`` and ``seed``: for every window of ``tokens`` and every mask the hash of the tokens that count."""
-    at = rows.select(*columns, "tokens", F.posexplode("tokens").alias("at", "_token"))
-    hashes = [F.when(F.col("at") <= F.size("tokens") - len(mask), F.xxhash64(
+def whole_part(size: Column, least: int, similarity: float) -> Column:
+    """For an item of fewer than ``least`` tokens, how many neighbouring tokens of it every overlap leaves whole; else 0.
+
+    An overlap has to cover such an item, with at most so many substitutions as ``similarity`` allows. These
+    split the item in one piece more than there are of them, and the longest piece is at least this long.
+    """
+    allowed = F.floor(size * F.lit(1 - similarity) + F.lit(1e-9))
+    return F.when(size < least, F.floor(size / (allowed + 1))).otherwise(0).cast("int")
+
+
+def seeds(rows: DataFrame, *columns: str, parts: Sequence[int] = (), part: Column | None = None) -> DataFrame:
+    """``columns``, ``at`` and ``seed``: for every window of ``tokens`` and every mask the hash of the tokens that count.
+
+    ``parts`` are lengths of windows that count whole. With ``part`` a row has only the windows of that
+    length, or those of the masks where it is 0.
+    """
+    at = rows.select(*columns, "tokens", (F.lit(None) if part is None else part).alias("_part"),
+                     F.posexplode("tokens").alias("at", "_token"))
+    masks = [(n, mask, 0) for n, mask in enumerate(MASKS)] + [(len(MASKS) + size, "1" * size, size) for size in parts]
+    hashes = [F.when((F.col("at") <= F.size("tokens") - len(mask)) & (F.lit(True) if part is None else F.col("_part") == kind), F.xxhash64(
         F.lit(n), *(F.get("tokens", F.col("at") + i) for i, used in enumerate(mask) if used == "1")))
-        for n, mask in enumerate(MASKS)]
+        for n, mask, kind in masks]
     return at.select(*columns, "at", F.explode(F.array(*hashes)).alias("seed")).filter(F.col("seed").isNotNull())
 
 
@@ -52,17 +70,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: s
     pair and shift are compared then: it overlaps where a stretch of ``least`` tokens or more (or the whole item,
     if shorter) has ``similarity`` of them equal. A row is the union of such stretches that touch, so up to a
     fifth of unequal tokens at its ends counts in ``length``. With the values given the masks see every stretch of an
-    item of 15 tokens or more (tests go through the cases). Insertions end a stretch. An item without an id, and one
-    with fewer tokens than every mask has no window and is never found.
+    item of 15 tokens or more (tests go through the cases). A shorter item has windows without ignored places, so
+    short that an overlap always leaves one of them whole. Insertions end a stretch. An item without an id or a
+    token is never found.
     """
     items = saved(benchmark.select(F.col(item).cast("long").alias("item_id"), tokens(item_text).alias("tokens"))
                   .filter((F.size("tokens") > 0) & F.col("item_id").isNotNull()).distinct()
                   .withColumn("item", F.xxhash64("tokens")), "benchmark")
-    item_seeds = saved(seeds(items, "item_id", "item"), "item-seeds")
+    part = whole_part(F.size("tokens"), least, similarity)
+    # At most as many lengths as a short item has tokens.
+    parts = sorted(r["part"] for r in items.select(part.alias("part")).distinct().filter("part > 0").collect())
+    item_seeds = saved(seeds(items, "item_id", "item", parts=parts, part=part), "item-seeds")
     known = saved(item_seeds.select("seed").distinct(), "known-seeds")
     rows = docs.select(row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     # Only ids, places and hashes meet the benchmark; the tokens of documents that were hit are fetched after.
-    hits = saved(seeds(rows.select("_name", "_hash", tokens("_text").alias("tokens")), "_name", "_hash")
+    hits = saved(seeds(rows.select("_name", "_hash", tokens("_text").alias("tokens")), "_name", "_hash", parts=parts)
                  .join(known, "seed", "left_semi").distinct(), "seed-hits")
     met = (hits.join(item_seeds.select("seed", "item_id", "item", F.col("at").alias("item_at")), "seed")
            .select("_name", "_hash", "item_id", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
@@ -86,9 +108,9 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options
     text = options.get("text", "text")
     per = overlaps(docs, benchmark, key, **options).groupBy("_name", "_hash").agg(
         F.count_distinct("item_id").alias("n_items"), F.min("item_id").alias("first_item"), F.max("length").alias("longest"))
-    rows = docs.select(key, row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
+    rows = docs.select(F.col(key).alias("_key"), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
     return rows.join(per, ["_name", "_hash"], "left").select(
-        key, F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        F.col("_key").alias(key), F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         "first_item", F.coalesce("longest", F.lit(0)).cast("long").alias("longest"))
 
 
@@ -100,5 +122,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options)
     """
     text = options.get("text", "text")
     bad = overlaps(docs, benchmark, key, **options).select("_name", "_hash").distinct()
-    named = docs.withColumns({"_name": row_name(key), "_hash": F.xxhash64(text)})
-    return named.join(bad, ["_name", "_hash"], "left_anti").select(*docs.columns)
+    named = docs.select(F.struct("*").alias("row"), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
+    return named.join(bad, ["_name", "_hash"], "left_anti").select("row.*")

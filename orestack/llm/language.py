@@ -9,9 +9,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orestack.llm.common import hash_fraction, slices
+from orestack.llm.common import saved, slices
 
 GRAMS = (2, 3, 4)
 HASHES = 4
@@ -20,9 +20,14 @@ UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def runs_of(token: str) -> list[str]:
+    """The letter runs of a token. A run without a letter, only of signs that stand for numbers, is none."""
+    return [run for run in LETTERS.findall(token) if run.isalpha() or any(map(str.isalpha, run))]
+
+
 def grams_of(token: str) -> list[str]:
     """The n-grams of the letter runs in a token, with a blank at both ends of a run."""
-    runs = [f" {run} " for run in LETTERS.findall(token)]
+    runs = [f" {run} " for run in runs_of(token)]
     return [run[i: i + n] for run in runs for n in GRAMS for i in range(len(run) - n + 1)]
 
 
@@ -81,7 +86,7 @@ class Filters:
 
     def votes(self, tokens: list[str]) -> np.ndarray:
         """For each token how many of its n-grams each language contains, and in the last column how many it has."""
-        runs = ["".join(" " + run for run in LETTERS.findall(token)) for token in tokens]
+        runs = ["".join(" " + run for run in runs_of(token)) for token in tokens]
         codes = code_points("".join(runs) + " ")
         owner = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, runs), np.int64, len(runs)))
         out = np.zeros((len(tokens), len(self.languages) + 1))
@@ -109,21 +114,26 @@ class Filters:
         return [self.languages[b] if w > 0 else self.default for b, w in zip(best, whole)], score
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = 20_000,
-          capacity: int = 200_000, slots: int = 1 << 21, at_least: int = 3, near: float = 0.5) -> Filters | None:
-    """Filters learnt from about ``sample`` labelled documents; None without any labelled text.
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = 5_000,
+          capacity: int = 50_000, slots: int = 1 << 21, at_least: int = 3, near: float = 0.5) -> Filters | None:
+    """Filters learnt from about ``sample`` labelled documents of every language; None without any labelled text.
 
-    The sample is chosen by a hash of the key. Spark counts the n-grams of whole texts per language; an
-    n-gram belongs to each language where it is at least ``near`` times as frequent, per n-gram, as
-    where it is most frequent. The ``capacity`` most frequent n-grams seen ``at_least`` times go into the
-    filters, so the model is bounded by its parameters.
+    The sample is chosen by a hash of key and text, so neither a frequent language nor a repeated key takes
+    the place of others; rows that repeat count as often as they stand. Spark counts the n-grams of whole
+    texts per language; an n-gram belongs to each language where it is at least ``near`` times as frequent, per
+    n-gram, as where it is most frequent. Of every language the ``capacity`` most frequent n-grams, ties in their own
+    order, that are seen ``at_least`` times in all, go into the filters. Only the
+    three columns are read; rows without a text or a language are not learnt from.
     """
     labelled = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).dropna(
         subset=["text", "lang"])
-    total = labelled.count()
-    if not total:
+    totals = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    if totals.isEmpty():
         return None
-    chosen = labelled.filter(hash_fraction(F.col("key"), sample / total)) if total > sample else labelled
+    steps = 1 << 20
+    share = (F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n")) * steps).cast("long")
+    drawn = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), F.xxhash64("text"), F.lit("sample")), F.lit(steps))
+    chosen = labelled.join(totals, "lang").filter(drawn < share).select("key", "text", "lang")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, Counter] = {}
@@ -142,8 +152,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
     counts = (chosen.select("lang", "text").mapInPandas(count, "lang string, gram string, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    per_gram = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    rows = (per_gram.filter(F.col("n") >= at_least).orderBy(F.desc("n"), "gram").limit(capacity)
+    counts = saved(counts, "gram-counts")
+    per_gram = counts.groupBy("gram").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by")).filter(
+        F.col("n") >= at_least)
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    frequent = (counts.join(per_gram.select("gram"), "gram", "left_semi").withColumn("place", F.row_number().over(best))
+                .filter(F.col("place") <= capacity).select("gram").distinct())
+    rows = (per_gram.join(frequent, "gram", "left_semi").orderBy("gram")
             .select("gram", F.col("by.lang").alias("langs"), F.col("by.n").alias("counts")).toArrow())
     sizes = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     languages = sorted(sizes)
@@ -162,7 +177,8 @@ def predict(text: Column, filters: Filters | None) -> Column:
     """Struct of ``lang_pred`` and ``score`` (0 to 1) for a whole text of any length.
 
     ``und`` with score 0 for null, for a text without a letter, and where nothing was learnt. A text
-    whose n-grams are all unknown gets the largest learnt language, with score 0.
+    whose n-grams are all unknown gets the largest learnt language, with score 0. Equal texts get equal
+    answers, and of languages with equal counts the first by name wins.
     """
 
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -64,11 +64,15 @@ def repeated(rows: DataFrame, lines: int = 3, words: int = 50) -> DataFrame:
     first = saved(runs.groupBy("run", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                   .filter("first != last").select("run", "check", "first"), "line-firsts")
     later = runs.join(first, ["run", "check"]).filter(place != F.col("first"))
-    return later.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("gone"))
+    # A set, so that the copies of a row, which are one document, do not gather theirs.
+    return later.select("doc", F.explode("places").alias("place")).groupBy("doc").agg(F.collect_set("place").alias("gone"))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lines: int = 3, words: int = 50) -> DataFrame:
-    """The documents with their repeated runs of lines deleted; ``lines_in`` and ``lines_removed`` are added.
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lines: int = 3, words: int = 50,
+          counts: tuple[str, str] = ("lines_in", "lines_removed")) -> DataFrame:
+    """The documents with their repeated runs of lines deleted, and two ``counts``: lines in, lines removed.
+
+    Columns of the documents that have the names of the counts give way to them; all others stay as they are.
 
     A run of ``lines`` or more lines, or of ``words`` or more words, that stands earlier in this or another
     document is deleted where it comes again. Earlier means a smaller key (null last), then the hash of
@@ -79,11 +83,17 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lines: int =
                    F.xxhash64(text).alias("hash"))
     rows = docs.select(doc.alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
     gone = repeated(rows, lines, words).select(F.col("doc.name").alias("_name"), F.col("doc.hash").alias("_hash"), "gone")
-    named = docs.withColumns({"_name": row_name(key), "_hash": F.xxhash64(text)})
-    joined = named.join(gone, ["_name", "_hash"], "left").withColumn("_lines", F.split(text, "\n", -1))
-    keep = F.expr("transform(array_except(sequence(0, size(_lines) - 1), gone), i -> _lines[i])")
+    # The row travels as one value, so no column of it can clash.
+    named = docs.select(F.struct("*").alias("row"), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"),
+                        F.split(text, "\n", -1).alias("lines"))
+    joined = named.join(gone, ["_name", "_hash"], "left")
+    keep = F.expr("transform(array_except(sequence(0, size(lines) - 1), gone), i -> lines[i])")
+
+    def column(name: str) -> Column:
+        own = F.col("row")[name]
+        return (F.when(F.col("gone").isNull(), own).otherwise(F.array_join(keep, "\n")) if name == text else own).alias(name)
+
     return joined.select(
-        *(F.when(F.col("gone").isNull(), F.col(c)).otherwise(F.array_join(keep, "\n")).alias(c) if c == text
-          else F.col(c) for c in docs.columns),
-        F.coalesce(F.size("_lines"), F.lit(0)).alias("lines_in"),
-        F.coalesce(F.size("gone"), F.lit(0)).alias("lines_removed"))
+        *(column(c) for c in docs.columns if c not in counts),
+        F.coalesce(F.size("lines"), F.lit(0)).alias(counts[0]),
+        F.coalesce(F.size("gone"), F.lit(0)).alias(counts[1]))

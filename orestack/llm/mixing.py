@@ -100,23 +100,46 @@ def schedule(sources: DataFrame) -> DataFrame:
 
 
 def shuffled(sizes: DataFrame, seed: int = 42) -> DataFrame:
-    """``sizes(key, source_no, size)`` with ``start``, the words before a document in its shuffled source.
+    """``sizes(key, digest, copy, source_no, size)`` with ``start``, the words before a document in its shuffled source.
 
-    The order is that of a hash of the key. Sums run inside buckets of the hash and then over the totals
-    of the buckets, so a source with a third of all rows is spread over many tasks.
+    The order is that of a hash of key, text and number of the copy, so neither a source nor a key with a third
+    of all rows gathers in one task. Sums run inside buckets of the hash, then over the totals of the buckets
+    of a stretch, and then over the totals of the stretches.
     """
     buckets = max(1, -(-sizes.count() // BUCKET_ROWS))
-    hashed = sizes.withColumn("_hash", F.xxhash64("key", F.lit(seed))).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    hashed = (sizes.withColumn("_hash", F.xxhash64("key", "digest", "copy", F.lit(seed)))
+              .withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).drop("digest", "copy"))
     before = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy("source_no", "_bucket").orderBy("_hash", "key", "size").rowsBetween(*before)
-    over = Window.partitionBy("source_no").orderBy("_bucket").rowsBetween(*before)
-    offsets = (hashed.groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum"))
-               .select("source_no", "_bucket", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_offset")))
+    stretch = F.floor(F.col("_bucket") / BUCKET_ROWS)
+    totals = hashed.groupBy("source_no", "_bucket").agg(F.sum("size").alias("_sum")).withColumn("_stretch", stretch)
+    over = Window.partitionBy("source_no", "_stretch").orderBy("_bucket").rowsBetween(*before)
+    above = Window.partitionBy("source_no").orderBy("_stretch").rowsBetween(*before)
+    stretches = totals.groupBy("source_no", "_stretch").agg(F.sum("_sum").alias("_sum")).select(
+        "source_no", "_stretch", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
+    offsets = totals.join(stretches, ["source_no", "_stretch"]).select(
+        "source_no", "_bucket", (F.col("_above") + F.coalesce(F.sum("_sum").over(over), F.lit(0))).alias("_offset"))
     return (hashed.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .join(offsets, ["source_no", "_bucket"])
             .withColumn("start", F.col("_offset") + F.col("_inside")).drop("_hash", "_bucket", "_inside", "_offset"))
 
 
+def numbered(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``copy``, the numbers from 0 on among the rows that repeat key, text and source, instead of ``chunk``.
+
+    These rows are alike, so it does not matter which gets which number. They are counted inside chunks, and
+    then over the chunks.
+    """
+    same = ["key", "digest", "source"]
+    inside = Window.partitionBy(*same, "chunk").orderBy("size")
+    before = Window.partitionBy(*same).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sizes.groupBy(*same, "chunk").agg(F.count("*").alias("_n"))
+    earlier = counts.select(*same, "chunk", F.sum("_n").over(before).alias("_earlier")).filter("_earlier > 0")
+    joined = sizes.withColumn("_inside", F.row_number().over(inside) - 1).alias("s").join(
+        earlier.alias("e"), F.expr("s.key <=> e.key AND s.source <=> e.source AND s.digest = e.digest AND s.chunk = e.chunk"), "left")
+    return joined.select("s.*", (F.col("_inside") + F.coalesce("_earlier", F.lit(0))).alias("copy")).drop("chunk", "_inside")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
         block: int = 1024) -> tuple[DataFrame, DataFrame]:
@@ -134,10 +157,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     source and text columns are read.
     """
     words = F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    sizes = saved(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size")), "sizes")
+    sizes = saved(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"),
+                              F.xxhash64(text).alias("digest"), F.spark_partition_id().alias("chunk")), "sizes")
     sources = saved(targets(sizes, weights, share, most).withColumn("quota", F.round("target").cast("long")), "targets")
-    named = sizes.join(sources.select("source", "source_no"), sizes["source"].eqNullSafe(sources["source"])).select(
-        "key", "source_no", "size")
+    copies = numbered(sizes)
+    named = copies.join(sources.select("source", "source_no"), copies["source"].eqNullSafe(sources["source"])).select(
+        "key", "digest", "copy", "source_no", "size")
     placed = shuffled(named).join(sources.drop("source"), "source_no")
     placed = saved(placed, "placed")
     passes = math.ceil(most)

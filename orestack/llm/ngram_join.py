@@ -21,6 +21,7 @@ FRAGMENTS = 8  # of the global order
 COLUMNS = 4096  # grams that are multiplied together
 STRETCH = 1 << 22  # bytes of a text that are looked at together
 MARK_BITS = 28  # of a gram's hash below its bucket
+FILTER_BITS = 1 << 25  # of the filter that spares other texts the shuffle
 MANY = 0xFFFF  # the owner of a gram that several sets of a batch have
 
 
@@ -224,6 +225,27 @@ def shared_grams(docs: DataFrame, text: str, width: int, total: int) -> DataFram
     return met.groupBy("short").agg(F.max("shared").alias("shared"))
 
 
+def maybe_in(hash_: Column, asked: DataFrame, column: str) -> Column:
+    """False only where a hash is not in the column of ``asked``.
+
+    The filter has a fixed size, so it may be sent to every task; with very many hashes it only lets more rows through.
+    """
+    place = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1
+    parts = (asked.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("at"))
+             .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for part in parts:
+        data = np.frombuffer(part["bits"], np.uint8)
+        bits[(part["bucket"] - 1) * len(data): part["bucket"] * len(data)] = data
+
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            at = batch.to_numpy() % FILTER_BITS
+            yield pd.Series(bits[at >> 3] >> (at & 7) & 1 == 1)
+
+    return F.pandas_udf(known, "boolean")(hash_)
+
+
 def in_global_order(batches_: DataFrame, percent: int, total: int) -> DataFrame:
     """``id``, ``n``, ``weight``, ``grams`` and ``codes`` of the sets of which enough grams stand in another set too.
 
@@ -452,7 +474,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     asked = saved(classes.join(hopeful, "short").filter(F.col("shared") * 100 >= F.col("n") * percent).select(
         F.monotonically_increasing_id().alias("id"), "cls", "n", "weight", "row.*"), "hopeful-classes")
     texts = (docs.select(row_name(key).alias("name"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-             .join(asked.drop("cls"), ["name", "hash"]).dropDuplicates(["id"]))
+             .filter(maybe_in(F.col("hash"), asked, "hash")).join(asked.drop("cls"), ["name", "hash"]).dropDuplicates(["id"]))
 
     def collected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext

@@ -170,7 +170,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """A field fitted on about ``sample`` labelled documents of at most ``most_lines`` lines.
 
     The sample is chosen by a hash of the key, and only its features reach the driver. A document with
-    contradicting labels is not used. Without any usable label every line is good with probability 1/2.
+    contradicting labels is not used; of rows that repeat a key one text counts, chosen by its hash, so the
+    features that the driver gets are bounded by ``sample`` and ``most_lines``. Documents without a key or a
+    text are not learnt from, and other columns are ignored. Without any usable label every line is good
+    with probability 1/2.
     """
     known = (labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter(F.col("label").isin(0, 1))
              .dropna().groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("other"))
@@ -178,7 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     total = known.count()
     chosen = known.filter(hash_fraction(F.col("key"), sample / total)) if total > sample else known
     rows = (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).dropna()
-            .filter(F.size(F.split("text", "\n")) <= most_lines).join(chosen, "key").select("key", "label", "text"))
+            .filter(F.size(F.split("text", "\n")) <= most_lines).join(chosen, "key")
+            .groupBy("key").agg(F.min("label").alias("label"), F.min(F.struct(F.xxhash64("text"), "text")).alias("one"))
+            .select("key", "label", "one.text"))
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = classes()

@@ -26,7 +26,9 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.dedup(table(spark, folder, "documents"), with_kept=False).drop("kept")
+    found = suffix_dedup.dedup(table(spark, folder, "documents"))
+    # A cut may part the bytes of a code point.
+    return found.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op4_token_counts(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:

@@ -117,5 +117,5 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     row = F.struct(F.col("key").isNull(), "key", "_hash", "_name")
     kept = (prints.groupBy("fp").agg(F.min(row).alias("row")).join(_classes(prints, distance), "fp")
             .groupBy("root").agg(F.min("row").alias("row")).select("row._name", "row._hash"))
-    return (docs.withColumns(named).join(kept, ["_name", "_hash"], "left_semi")
-            .dropDuplicates(["_name", "_hash"]).select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), *(c.alias(n) for n, c in named.items()))
+    return rows.join(kept, ["_name", "_hash"], "left_semi").dropDuplicates(["_name", "_hash"]).select("row.*")

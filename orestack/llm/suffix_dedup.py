@@ -230,7 +230,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int
                   .filter("n > 1").select("rank", "check"), "suffix-twice")
     many = (starts.filter("NOT known").join(twice, ["rank", "check"], "left_semi")
             .select("name", "hash", "low", F.col("low").alias("high")))
-    return (settled.unionByName(few).unionByName(many).groupBy("name", "hash")
+    # Copies of a row find the same ranges, each of which counts once.
+    return (settled.unionByName(few).unionByName(many).distinct().groupBy("name", "hash")
             .agg(F.collect_list(F.struct("low", "high")).alias("at")))
 
 
@@ -244,7 +245,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     count. Null counts as empty, shorter texts stay whole, very long ones are looked at in stretches.
     """
     at = repeats(docs, key, text, least).withColumnsRenamed({"name": "_name", "hash": "_hash", "at": "_at"})
-    named = docs.select(F.col(key), packed(F.col(text)).alias("_data"), row_name(key).alias("_name"), F.xxhash64(text).alias("_hash"))
+    named = docs.select(F.col(key).alias("_key"), packed(F.col(text)).alias("_data"), row_name(key).alias("_name"),
+                        F.xxhash64(text).alias("_hash"))
 
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         import zstandard
@@ -259,5 +261,5 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     cut_udf = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return (named.join(at, ["_name", "_hash"], "left").select(F.col(key), cut_udf(F.col("_data"), F.col("_at")).alias("_cut"))
-            .select(key, "_cut.*"))
+    return (named.join(at, ["_name", "_hash"], "left").select(F.col("_key").alias(key), cut_udf(F.col("_data"), F.col("_at")).alias("_cut"))
+            .select(F.col(f"`{key}`"), "_cut.*"))

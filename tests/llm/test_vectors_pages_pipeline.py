@@ -26,13 +26,14 @@ def product(a, b):
     return total
 
 
-def best(vectors, k, every):
+def best(rows, k, every):
+    """The neighbours of every row whose id is asked for among all other rows."""
     out = []
-    for q, asked in vectors.items():
+    for at, (q, asked) in enumerate(rows):
         if q % every == 0:
-            near = sorted((-product(asked, v), i) for i, v in vectors.items() if i != q)[:k]
+            near = sorted((-product(asked, v), i) for other, (i, v) in enumerate(rows) if other != at)[:k]
             out += [(q, rank, i, -score) for rank, (score, i) in enumerate(near, 1)]
-    return out
+    return sorted(out)
 
 
 @pytest.mark.parametrize("dim", [1, 5, 64])
@@ -43,10 +44,12 @@ def test_neighbours_equal_brute_force(spark, dim, monkeypatch):
     for i in range(100, 160):  # equal vectors: ties go to the smaller id
         vectors[i] = vectors[100]
     rows = [(i, v, "x", 1) for i, v in vectors.items()]
+    repeated = [(1, vectors[1]), (20, vectors[30]), (20, vectors[20])]  # ids again, with another vector and with the same
+    rows += [(i, v, "x", 1) for i, v in repeated]
     unusable = [(1000, None), (1010, [0.0] * dim), (1020, [float("nan")] * dim), (1030, [None] * dim), (1040, []), (None, [1.0] * dim)]
-    table = spark.createDataFrame(rows + [(i, v, "x", 1) for i, v in unusable] + rows[:5], "vec_id long, v array<float>, code string, id int")
+    table = spark.createDataFrame(rows + [(i, v, "x", 1) for i, v in unusable], "vec_id long, v array<float>, code string, id int")
     got = ann_codes.search(table, "vec_id", "v", F.col("id") % 10 == 0, k=7, bound=4.0)
-    expected = best(vectors, 7, 10)
+    expected = best([(i, v) for i, v, _, _ in rows], 7, 10)
     assert sorted(tuple(r) for r in got.collect()) == expected
     assert ann_codes.search(table.limit(0), "vec_id", "v", F.col("id") % 10 == 0).count() == 0
 
