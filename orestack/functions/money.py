@@ -15,7 +15,7 @@ _WIDE = T.DecimalType(28, 2)
 
 
 def total_amount(quantity: Column, unit_price: Column, money: T.DecimalType) -> Column:
-    """Quantity times unit price as exact money; NULL, which a rule rejects, when it does not fit the type."""
+    """Quantity times unit price, rounded to exact money; NULL, which a rule rejects, when it does not fit the type."""
     return (quantity * unit_price).try_cast(money)
 
 

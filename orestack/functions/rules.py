@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 class Rule(NamedTuple):
@@ -37,21 +37,45 @@ def rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn("rejected_by", first).filter(F.col("rejected_by").isNotNull())
 
 
-def account(df: DataFrame, rules: Sequence[Rule], key: str | None = None) -> DataFrame:
-    """One row of counts: input, valid, rejected, and failures of every rule.
-
-    With ``key``, also the valid rows left after keeping one row per key. The distinct count is an
-    aggregate of its own, so that only keys travel for it; it is pre-aggregated on the map side.
-    """
+def counts(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates: input, valid and rejected rows, and failures of every rule."""
     valid = all_met(rules)
-    counts = [
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(valid).alias("valid_rows"),
         F.count_if(~valid).alias("rejected_rows"),
         *(F.count_if(~_met(rule)).alias(f"failed_{rule.name}") for rule in rules),
     ]
-    result = df.agg(*counts)
-    if key is not None:
-        unique = df.filter(valid).agg(F.count_distinct(key).alias("unique_rows"))
-        result = result.withColumn("unique_rows", unique.scalar()).withColumn("duplicate_rows", F.col("valid_rows") - F.col("unique_rows"))
-    return result
+
+
+def account(df: DataFrame, rules: Sequence[Rule], key: str | None = None) -> DataFrame:
+    """One row of counts: input, valid, rejected, and failures of every rule.
+
+    With ``key``, also the valid rows left after keeping one row per key. Everything is counted in one pass: rows
+    are first aggregated per valid key, and those of a hot key, or without one, before the shuffle.
+    """
+    if key is None:
+        return df.agg(*counts(rules))
+    result = df.agg(*counts(rules), F.count_distinct(F.when(all_met(rules), F.col(key))).alias("unique_rows"))
+    return result.withColumn("duplicate_rows", F.col("valid_rows") - F.col("unique_rows"))
+
+
+class Split(NamedTuple):
+    valid: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def split(df: DataFrame, rules: Sequence[Rule], path: str) -> Split:
+    """The rows, written once to ``path``, as valid ones and rejected ones with ``rejected_by``, and all counts.
+
+    The counts are observed on the write, so the input is read and typed a single time whatever is done
+    with the parts.
+    """
+    first = F.coalesce(*(F.when(~_met(rule), F.lit(rule.name)) for rule in rules))
+    observed = Observation()
+    marked = df.observe(observed, *counts(rules)).withColumns({"rejected_by": first, "_rejected": first.isNotNull()})
+    marked.write.partitionBy("_rejected").parquet(path)
+    rows = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return Split(rows.filter(~F.col("_rejected")).drop("_rejected", "rejected_by"), rows.filter("_rejected").drop("_rejected"),
+                 observed.get)

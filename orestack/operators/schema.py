@@ -42,7 +42,7 @@ def enforce(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
         raise SchemaMismatch(f"columns not in the declared schema: {unknown}")
     required = {field.name: field for field in schema.fields if not field.nullable}
     checked = df.select(*(
-        _not_null(T.StructField(field.name, field.dataType)) if field.name in required else field.name
+        _not_null(T.StructField(field.name, field.dataType)) if field.name in required else F.col(field.name)
         for field in df.schema.fields
     ))
     return checked.to(schema)

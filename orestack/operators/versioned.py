@@ -120,12 +120,16 @@ def _fit(df: DataFrame, known: T.StructType) -> DataFrame:
 
 
 class VersionedTable:
-    """A versioned table in a folder. Without a ``key`` it takes appends and overwrites only."""
+    """A versioned table in a folder. Without a ``key`` it takes appends and overwrites only.
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str] = ()):
+    ``hidden`` columns are stored with the rows, and read only by ``current(hidden=True)``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str] = (), hidden: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = list(key)
+        self.hidden = list(hidden)
 
     # -- metadata ---------------------------------------------------------------------------
 
@@ -176,12 +180,12 @@ class VersionedTable:
 
     # -- reads ------------------------------------------------------------------------------
 
-    def current(self) -> DataFrame:
+    def current(self, hidden: bool = False) -> DataFrame:
         """The latest contents."""
         newest = self._newest()
         if newest is None:
             raise VersionNotFound(f"{self.path} has no committed version")
-        return self._contents(newest)
+        return self._contents(newest, hidden)
 
     def as_of_version(self, version: int) -> DataFrame:
         """The contents as of a version."""
@@ -194,7 +198,7 @@ class VersionedTable:
     def changes(self, version: int) -> DataFrame:
         """The rows that one version inserted or updated, marked in ``_op``."""
         schema = self._schema(self._commit_of(version))
-        return self._rows([version], schema).drop("_version").filter(F.col("_op") != KEPT)
+        return self._rows([version], schema).drop("_version", *self.hidden).filter(F.col("_op") != KEPT)
 
     def appended_since(self, version: int) -> DataFrame | None:
         """The rows that were appended after a version; None when there are none."""
@@ -222,14 +226,14 @@ class VersionedTable:
         touched = self._rows(later, schema)
         return (
             older.join(touched.select(*self.key), self.key, "left_semi"),
-            self._latest(touched, later).select(*schema.names),
+            self._latest(touched, later).select(*older.columns),
         )
 
     def _latest(self, touched: DataFrame, versions: Sequence[int]) -> DataFrame:
         # The rows of a single version are unique already.
         return touched if len(versions) == 1 else latest_per_key(touched, self.key, "_version")
 
-    def _contents(self, commit: Row) -> DataFrame:
+    def _contents(self, commit: Row, hidden: bool = False) -> DataFrame:
         schema = self._schema(commit)
         base, *later = commit["chain"]
         if not later:
@@ -239,7 +243,7 @@ class VersionedTable:
             rows = overlay(self._rows([base], schema), self._latest(touched, later), self.key, touched)
         else:
             rows = self._rows([base, *later], schema)
-        return rows.select(*schema.names)
+        return rows.select(*(name for name in schema.names if hidden or name not in self.hidden))
 
     def _schema(self, commit: Row) -> T.StructType:
         return T.StructType.fromJson(json.loads(commit["table_schema"]))
@@ -298,8 +302,9 @@ class VersionedTable:
         staged = new_folder(self.spark, "merge-source")
         source.write.parquet(staged)
         source = self.spark.read.schema(source.schema).parquet(staged)
-        current = self._contents(newest)
-        rows = merge_changes(source, current, self.key, update_columns)
+        current = self._contents(newest, hidden=True)
+        updated = None if update_columns is None else [*update_columns, *self.hidden]
+        rows = merge_changes(source, current, self.key, updated)
         if new_base:
             rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
         fitted, below = _fit(rows, self._schema(newest)), [] if new_base else newest["chain"]

@@ -40,11 +40,11 @@ raw_orders AS (
 _TYPED = """
 typed AS (
   SELECT order_id, customer_id, product_id, quantity,
-    CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
+    unit_price,
     lower(trim(status)) AS status,
     CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date,
     ingested_at,
-    CAST(quantity * CAST(unit_price AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS total_amount,
+    TRY_CAST(quantity * unit_price AS DECIMAL(28,6)) AS total_amount,
     batch
   FROM raw_orders
 )"""
@@ -160,12 +160,23 @@ full_merge AS (
   FROM silver LEFT JOIN v0 USING (order_id)
 )"""
 
+# Batches refreshed one after the other: the newest copy of all, with customer and product of the first batch.
+_REFRESHED = """
+refreshed AS (
+  SELECT order_id, v2.customer_id, v2.product_id, silver.quantity, silver.unit_price, silver.status, silver.order_date,
+    silver.total_amount
+  FROM silver JOIN v2 USING (order_id)
+)"""
+_REFRESHED_FACT = _FACT.replace("fact AS", "refreshed_fact AS").replace("silver", "refreshed")
+
 _ORDERS = [_RAW_ORDERS, _TYPED, _VALID]
 _SILVER_CHAIN = [*_ORDERS, _SILVER]
 _FACT_CHAIN = [*_SILVER_CHAIN, _CUSTOMERS, _FACT]
 _DAILY_CHAIN = [*_FACT_CHAIN, _DAILY]
 _VERSIONS = [*_SILVER_CHAIN, _BATCH_SILVER, *(_AS_OF.format(n=n) for n in range(3)), _FULL_MERGE]
 
+_REFRESHES = [*_VERSIONS, _REFRESHED, _CUSTOMERS, _REFRESHED_FACT]
+
 _RAW_COLUMNS = "order_id, customer_id, product_id, quantity, unit_price, status, order_date, ingested_at"
 
 
@@ -209,13 +220,16 @@ def _rows(name: str, table: str) -> str:
     return f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {table}"
 
 
-_FIRST_FAILED = "CASE " + " ".join(
-    f"WHEN NOT coalesce({condition}, FALSE) THEN '{name}'" for name, condition in _ORDER_RULES) + " END"
+def _first_failed(rules: tuple[tuple[str, str], ...]) -> str:
+    return "CASE " + " ".join(f"WHEN NOT coalesce({condition}, FALSE) THEN '{name}'" for name, condition in rules) + " END"
+
+
+_FIRST_FAILED = _first_failed(_ORDER_RULES)
 
 _SILVER_SCHEMA = (
     ("order_id", "string"), ("customer_id", "string"), ("product_id", "string"), ("quantity", "int"),
-    ("unit_price", "decimal(28,4)"), ("status", "string"), ("order_date", "date"),
-    ("total_amount", "decimal(28,4)"), ("_silver_updated_at", "timestamp"),
+    ("unit_price", "double"), ("status", "string"), ("order_date", "date"),
+    ("total_amount", "decimal(28,6)"), ("_silver_updated_at", "timestamp"),
 )
 
 _STATUS_REPORT = f"""SELECT status, count(*) AS order_count,
@@ -248,6 +262,20 @@ _HISTORY = " UNION ALL ".join((
 ))
 
 
+_AMOUNT = 'CAST(sum(CAST("value" AS DECIMAL(18,4))) AS DOUBLE)'
+
+
+def _moment(time: str) -> str:
+    return f"strftime({time}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def _windows(start: str, size: str, join: str = "") -> str:
+    return f"""SELECT {_moment('starts')} AS window_start, {_moment(f'starts + {size}')} AS window_end, event_type,
+        count(*) AS event_count, {_AMOUNT} AS amount
+      FROM (SELECT {start} AS starts, event_type, "value" FROM events {join} WHERE ts IS NOT NULL)
+      GROUP BY starts, event_type"""
+
+
 def oracle_sql() -> dict[str, str]:
     slice_filter = f"order_year = {registry.SLICE_YEAR} AND order_month = {registry.SLICE_MONTH}"
     range_filter = f"order_date BETWEEN DATE '{registry.RANGE_FIRST}' AND DATE '{registry.RANGE_LAST}'"
@@ -264,6 +292,12 @@ def oracle_sql() -> dict[str, str]:
               count(DISTINCT order_id) FILTER (WHERE {_all(_ORDER_RULES)}) AS unique_rows
             FROM typed)"""),
         "quality_customers": _with([_CUSTOMERS], f"SELECT {_accounting(_CUSTOMER_RULES)} FROM cleaned"),
+        "run_rejects_customers": _with([_CUSTOMERS], f"""SELECT * FROM (
+            SELECT *, {_first_failed(_CUSTOMER_RULES)} AS rejected_by FROM cleaned) WHERE rejected_by IS NOT NULL"""),
+        "orders_after_refreshes": _with(_REFRESHES, f"SELECT {_SILVER_COLUMNS} FROM refreshed"),
+        "fact_after_refresh": _with(_REFRESHES, f"SELECT {_FACT_COLUMNS} FROM refreshed_fact"),
+        "rejects_after_refreshes": _with(_ORDERS, f"""SELECT rejected_by, count(*) AS rejected_rows
+          FROM (SELECT {_FIRST_FAILED} AS rejected_by FROM typed) WHERE rejected_by IS NOT NULL GROUP BY rejected_by"""),
         "silver_orders": _with(_SILVER_CHAIN, f"SELECT {_SILVER_COLUMNS} FROM silver"),
         "silver_customers": _with([_CUSTOMERS], "SELECT * FROM customers"),
         "fact_orders": _with(_FACT_CHAIN, f"SELECT {_FACT_COLUMNS} FROM fact"),
@@ -360,6 +394,38 @@ def oracle_sql() -> dict[str, str]:
             count(DISTINCT event_id) AS distinct_events FROM events GROUP BY event_type""",
         "events_stream_progress": f"""SELECT count(*) AS input_rows FROM events
           GROUP BY coalesce(ts >= TIMESTAMP '{registry.SECOND_ARRIVAL_FROM}', false)""",
+        "events_stream_dedup": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id,
+            event_type, "value" AS amount, {_EVENT_TIME} AS event_time FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL""",
+        "events_tumbling": _windows("time_bucket(INTERVAL '6 hours', ts)", "INTERVAL '6 hours'"),
+        "events_sliding": _windows("time_bucket(INTERVAL '12 hours', ts) - s.back", "INTERVAL '1 day'",
+                                   "CROSS JOIN (VALUES (INTERVAL '0 hours'), (INTERVAL '12 hours')) s(back)"),
+        "events_sessions": f"""WITH ahead AS (
+            SELECT *, coalesce(ts > lag(ts) OVER w + INTERVAL '8 hours', TRUE)::INTEGER AS starts FROM events
+            WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+          ), numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM ahead)
+          SELECT {_moment('min(ts)')} AS window_start, {_moment("max(ts) + INTERVAL '8 hours'")} AS window_end,
+            CAST(user_id AS VARCHAR) AS customer_id, count(*) AS event_count, {_AMOUNT} AS amount
+          FROM numbered GROUP BY user_id, session""",
+        "events_asof": f"""SELECT CAST(p.event_id AS VARCHAR) AS event_id, CAST(p.user_id AS VARCHAR) AS customer_id,
+            p."value" AS amount, CAST(v.event_id AS VARCHAR) AS view_id, v.event_time AS viewed_at
+          FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+          ASOF LEFT JOIN (SELECT *, {_EVENT_TIME} AS event_time FROM events WHERE event_type = 'view') v
+            ON p.user_id = v.user_id AND p.ts >= v.ts""",
+        "report_subtotals": _with(_DAILY_CHAIN, """SELECT "month", region, category,
+            CAST(grouping_id("month", region, category) AS INTEGER) AS level, CAST(sum(order_count) AS BIGINT) AS order_count,
+            CAST(sum(revenue) AS DOUBLE) AS revenue
+          FROM (SELECT *, strftime(order_date, '%Y-%m') AS "month" FROM daily) GROUP BY CUBE ("month", region, category)"""),
+        "report_moving_revenue": _with(_DAILY_CHAIN, """SELECT region, order_date, CAST(revenue AS DOUBLE) AS revenue,
+            CAST(sum(revenue) OVER w AS DOUBLE) AS moving_revenue, count(*) OVER w AS days_with_orders,
+            CAST(revenue - lag(revenue) OVER d AS DOUBLE) AS change,
+            CAST(order_date - lag(order_date) OVER d AS INTEGER) AS days_since
+          FROM (SELECT region, order_date, sum(revenue) AS revenue FROM daily GROUP BY region, order_date)
+          WINDOW d AS (PARTITION BY region ORDER BY order_date),
+            w AS (PARTITION BY region ORDER BY order_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)"""),
+        "report_customers_by_month": _with(_FACT_CHAIN, """SELECT strftime(order_date, '%Y-%m') AS "month",
+            count(DISTINCT customer_id) AS customer_count, TRUE AS close,
+            count(DISTINCT (order_date, coalesce(region, ''), customer_id)) AS summed_counts
+          FROM fact WHERE status <> 'cancelled' GROUP BY 1"""),
 
         "report_status": _with(_FACT_CHAIN, _STATUS_REPORT.format(table="fact")),
         "report_status_silver": _with(_SILVER_CHAIN, _STATUS_REPORT.format(table="silver")),
@@ -399,7 +465,7 @@ def oracle_sql() -> dict[str, str]:
             {_millions('sum(revenue)', 2)} AS revenue_millions FROM daily"""),
     }
     # What a run stores, and what it makes of CSV files, are the same rows.
-    same = {"run_accounting": "quality_orders", "run_rejects": "orders_rejects",
+    same = {"run_accounting": "quality_orders", "run_accounting_customers": "quality_customers", "run_rejects": "orders_rejects",
             "csv_silver_orders": "silver_orders", "csv_fact_orders": "fact_orders",
             "csv_silver_customers": "silver_customers", "schema_overwrite": "orders_valid"}
     return sql | {name: sql[other] for name, other in same.items()}

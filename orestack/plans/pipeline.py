@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from orestack import settings
 from orestack.functions import rules
+from orestack.operators.partitioned import PartitionedTable
 from orestack.operators.versioned import VersionedTable
 from orestack.plans import bronze, gold, silver
 from orestack.sources import files
+from orestack.sources.workspace import new_folder
 
 
 class Lake:
@@ -21,9 +24,12 @@ class Lake:
         self.bronze_orders = VersionedTable(spark, f"{path}/bronze/orders")
         self.order_counts = VersionedTable(spark, f"{path}/quality/orders")
         self.order_rejects = VersionedTable(spark, f"{path}/quality/orders_rejected")
-        self.silver_orders = VersionedTable(spark, f"{path}/silver/orders", key=["order_id"])
+        self.customer_counts = VersionedTable(spark, f"{path}/quality/customers")
+        self.customer_rejects = VersionedTable(spark, f"{path}/quality/customers_rejected")
+        self.silver_orders = VersionedTable(spark, f"{path}/silver/orders", key=["order_id"], hidden=[silver.ARRIVAL])
         self.silver_customers = VersionedTable(spark, f"{path}/silver/customers")
         self.fact_orders = VersionedTable(spark, f"{path}/gold/fact_orders")
+        self.fact_months = PartitionedTable(spark, f"{path}/gold/fact_orders_by_month", gold.PARTITION_COLUMNS)
         self.agg_revenue_daily = VersionedTable(spark, f"{path}/gold/agg_revenue_daily")
 
 
@@ -34,42 +40,57 @@ def ingest_orders(lake: Lake, raw_orders: DataFrame, source: str = "orders.csv",
 
 
 def unmerged_orders(lake: Lake) -> DataFrame | None:
-    """All bronze rows of the orders that have a row in a bronze version not merged into silver yet."""
-    merged, rows = lake.silver_orders.source_version(), lake.bronze_orders.current()
-    if merged is None:
-        return rows
-    new = lake.bronze_orders.appended_since(merged)
-    return None if new is None else rows.join(new.select("order_id"), "order_id", "left_semi")
+    """The bronze rows that are not merged into silver yet; None when there are none."""
+    merged = lake.silver_orders.source_version()
+    return lake.bronze_orders.current() if merged is None else lake.bronze_orders.appended_since(merged)
+
+
+def _as_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.range(1).select(*(F.lit(value).cast("bigint").alias(name) for name, value in counts.items()))
 
 
 def refresh_silver_orders(lake: Lake, bronze_orders: DataFrame | None = None,
                           committed_at: str | None = None, full: bool = False) -> int:
     """Merge the clean orders of bronze into silver; returns the version of silver.
 
-    By default these are the orders that have new rows in bronze, with their older rows, so a late copy
-    of an order does not replace a newer one; without new rows nothing is written. With ``full`` all of
-    bronze is merged, and silver gets a new base. A given part of bronze is merged as it is.
+    By default these are the rows of bronze that are not merged yet. They are read once: that pass types them, parts
+    valid from rejected ones and counts the failures of every rule, and the counts and the rejected rows of the
+    batch are added to the quality tables. An order of which silver has a newer copy stays as it is. Without new rows
+    nothing is written. With ``full`` all of bronze is merged, and silver gets a new base. A given part of bronze is
+    merged as it is. Neither of these is added to the quality tables.
     """
-    rows, merged = bronze_orders, None
-    if rows is None:
-        merged = lake.bronze_orders.latest_version()
-        rows = lake.bronze_orders.current() if full else unmerged_orders(lake)
-    if rows is None:
+    if full or bronze_orders is not None:
+        rows = lake.bronze_orders.current() if full else bronze_orders
+        valid = rules.keep_valid(silver.type_orders(rows), silver.order_rules())
+        return lake.silver_orders.merge(silver.arrived_orders(valid), silver.ORDER_UPDATE_COLUMNS, committed_at, new_base=full,
+                                        source_version=lake.bronze_orders.latest_version() if full else None)
+    version, batch = lake.bronze_orders.latest_version(), unmerged_orders(lake)
+    if batch is None:
         return lake.silver_orders.latest_version()
-    return lake.silver_orders.merge(
-        silver.silver_orders(rows), silver.ORDER_UPDATE_COLUMNS, committed_at, new_base=full, source_version=merged)
-
-
-def account_orders(lake: Lake, bronze_orders: DataFrame | None = None) -> None:
-    """Store how many rows each rule rejects, and the rejected rows with the first rule they fail."""
-    typed = silver.type_orders(lake.bronze_orders.current() if bronze_orders is None else bronze_orders)
-    lake.order_counts.overwrite(rules.account(typed, silver.order_rules(), key="order_id"))
-    lake.order_rejects.overwrite(rules.rejects(typed, silver.order_rules()))
+    parts = rules.split(silver.type_orders(batch), silver.order_rules(), new_folder(lake.spark, "orders"))
+    unique = Observation()
+    newest = silver.arrived_orders(parts.valid).observe(unique, F.count(F.lit(1)).alias("unique_rows"))
+    staged = new_folder(lake.spark, "newest-orders")
+    newest.write.parquet(staged)
+    arrived = lake.spark.read.schema(newest.schema).parquet(staged)
+    if lake.silver_orders.latest_version() is not None:
+        arrived = silver.not_older(arrived, lake.silver_orders.current(hidden=True))
+    merged = lake.silver_orders.merge(arrived, silver.ORDER_UPDATE_COLUMNS, committed_at, source_version=version)
+    counts = parts.counts | unique.get
+    counts["duplicate_rows"] = counts["valid_rows"] - counts["unique_rows"]
+    lake.order_counts.append(_as_row(lake.spark, counts))
+    lake.order_rejects.append(parts.rejected)
+    return merged
 
 
 def refresh_silver_customers(lake: Lake, raw_customers: DataFrame,
                              regions: Sequence[str] = silver.REGIONS) -> int:
-    return lake.silver_customers.overwrite(silver.silver_customers(raw_customers, regions))
+    """Replace the customers, and their counts and rejected rows, from one pass over the raw rows."""
+    cleaned = silver.clean_customers(raw_customers)
+    parts = rules.split(cleaned, silver.customer_rules(regions), new_folder(lake.spark, "customers"))
+    lake.customer_counts.overwrite(_as_row(lake.spark, parts.counts))
+    lake.customer_rejects.overwrite(parts.rejected)
+    return lake.silver_customers.overwrite(silver.valid_customers(parts.valid))
 
 
 def refresh_fact_orders(lake: Lake, raw_products: DataFrame) -> int:
@@ -77,6 +98,36 @@ def refresh_fact_orders(lake: Lake, raw_products: DataFrame) -> int:
     return lake.fact_orders.overwrite(fact, gold.PARTITION_COLUMNS, sort_by=["order_date"])
 
 
+def refresh_fact_months(lake: Lake, raw_products: DataFrame, since: int | None = None) -> list[tuple[int, int]]:
+    """Rebuild the months of the fact that silver orders were written in, or left, after the version ``since``.
+
+    Returns the months. Their orders alone are joined and written, with dynamic partition overwrite; the files of other
+    months stay. Without ``since`` all months are built. A change of customers or products reaches only the months that
+    are rebuilt, so build all of them after one.
+    """
+    orders = lake.silver_orders.current()
+    months = [F.year("order_date").alias("order_year"), F.month("order_date").alias("order_month")]
+    touched = None
+    if since is not None:
+        latest = lake.silver_orders.latest_version()
+        if since == latest:
+            return []
+        before, after = lake.silver_orders.differing(since, latest)
+        # There are as many rows as months, however large the batch is.
+        touched = sorted(tuple(row) for row in before.select(*months).union(after.select(*months)).distinct().collect())
+        if not touched:
+            return []
+        month = F.trunc("order_date", "month")
+        orders = orders.filter(month.isin([datetime.date(y, m, 1) for y, m in touched]) & F.col("order_date").between(
+            datetime.date(*touched[0], 1), F.last_day(F.lit(datetime.date(*touched[-1], 1)))))
+    fact = gold.fact_orders(orders, lake.silver_customers.current(), raw_products)
+    if touched is None:
+        lake.fact_months.replace(fact, sort_by=["order_date"])
+        return [tuple(r) for r in lake.fact_months.current().select(*gold.PARTITION_COLUMNS).distinct().sort(*gold.PARTITION_COLUMNS).collect()]
+    lake.fact_months.replace_partitions(fact, touched, sort_by=["order_date"])
+    return touched
+
+
 def refresh_agg_revenue_daily(lake: Lake) -> int:
     daily = gold.agg_revenue_daily(lake.fact_orders.current())
     return lake.agg_revenue_daily.overwrite(
@@ -94,7 +145,6 @@ def run_pipeline(spark: SparkSession, raw_orders: DataFrame, raw_customers: Data
     lake = Lake(spark, path)
     with settings.applied(spark, input_bytes):
         ingest_orders(lake, raw_orders)
-        account_orders(lake)
         refresh_silver_orders(lake)
         refresh_silver_customers(lake, raw_customers, regions)
         refresh_fact_orders(lake, raw_products)

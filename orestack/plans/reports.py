@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orestack.functions import money
 
@@ -102,6 +102,51 @@ def region_share(daily: DataFrame) -> DataFrame:
     ).orderBy("region")
 
 
+def subtotals(daily: DataFrame) -> DataFrame:
+    """Orders and revenue per month, region and category, with the subtotals of every combination of them.
+
+    ``level`` tells which of the three are summed over (4 for the month, 2 for the region, 1 for the category), so a
+    subtotal is told from the rows of orders without a region or a category.
+    """
+    months = daily.withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    return months.cube("month", "region", "category").agg(
+        F.grouping_id().cast("int").alias("level"), F.sum("order_count").alias("order_count"),
+        F.sum("revenue").cast("decimal(28,2)").alias("revenue"),
+    ).orderBy("level", "month", "region", "category")
+
+
+def moving_revenue(daily: DataFrame, days: int = 7) -> DataFrame:
+    """Per region and day with orders: revenue, that of the last ``days`` days, and the change to the day before with orders.
+
+    Days without orders have no row, and count as such in the frame, which is one over dates and not over rows. The
+    rows are summed per region and day first, so a window holds a row per day.
+    """
+    by_day = daily.groupBy("region", "order_date").agg(F.sum("revenue").cast("decimal(28,2)").alias("revenue"))
+    by_date = Window.partitionBy("region").orderBy(F.unix_date("order_date"))
+    before = F.lag("revenue").over(by_date)
+    return by_day.select(
+        "region", "order_date", "revenue",
+        F.sum("revenue").over(by_date.rangeBetween(1 - days, 0)).cast("decimal(28,2)").alias("moving_revenue"),
+        F.count(F.lit(1)).over(by_date.rangeBetween(1 - days, 0)).alias("days_with_orders"),
+        (F.col("revenue") - before).cast("decimal(28,2)").alias("change"),
+        F.datediff("order_date", F.lag("order_date").over(by_date)).alias("days_since"),
+    ).orderBy("region", "order_date")
+
+
+def customer_sketches(fact: DataFrame, precision: int = 16) -> DataFrame:
+    """Per day and region the customers with an order that is not cancelled: their exact count, and a sketch that adds up."""
+    return fact.filter(F.col("status") != "cancelled").groupBy("order_date", "region").agg(
+        F.count_distinct("customer_id").alias("customer_count"),
+        F.hll_sketch_agg("customer_id", F.lit(precision)).alias("customers"))
+
+
+def monthly_customers(sketches: DataFrame) -> DataFrame:
+    """Customers per month, estimated from the sketches of its days: counts of days do not add up, their sketches do."""
+    return sketches.groupBy(F.date_format("order_date", "yyyy-MM").alias("month")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("customers"),
+        F.sum("customer_count").alias("summed_counts")).orderBy("month")
+
+
 def total_revenue(daily: DataFrame) -> DataFrame:
     total = F.sum("revenue")
     return daily.agg(

@@ -20,16 +20,17 @@ REGIONS = ("North", "Central", "South")
 ORDER_UPDATE_COLUMNS = (
     "quantity", "unit_price", "total_amount", "status", "order_date", "_silver_updated_at")
 
+ARRIVAL = "_arrival"
 _AUDIT_COLUMNS = ("ingested_at", "_bronze_ingested_at", "_source_file")
 
 # Copies with the same arrival time are told apart by their contents.
-_ORDER_TIEBREAK = ("product_id", "customer_id", "quantity", "unit_price", "status", "order_date")
+_ORDER_TIEBREAK = schemas.ARRIVAL.names[1:]
 
 
 def type_orders(bronze: DataFrame, money_type: T.DecimalType = schemas.MONEY) -> DataFrame:
-    """Typed orders with their total. A cell that does not parse becomes NULL."""
+    """Typed orders with their total, the price as it was delivered. A cell that does not parse becomes NULL."""
     quantity = F.col("quantity").try_cast("int")
-    unit_price = F.col("unit_price").try_cast(money_type)
+    unit_price = F.col("unit_price").try_cast("double")
     return bronze.withColumns({
         "order_date": dates.iso_date(F.col("order_date")),
         "quantity": quantity,
@@ -51,10 +52,31 @@ def order_rules(statuses: Sequence[str] = STATUSES) -> list[Rule]:
     ]
 
 
+def newest_orders(valid: DataFrame) -> DataFrame:
+    """The newest valid copy of every order."""
+    return latest_per_key(valid, ["order_id"], "ingested_at", _ORDER_TIEBREAK)
+
+
 def unique_orders(valid: DataFrame) -> DataFrame:
     """The newest valid copy of every order, without the audit columns of bronze."""
-    newest = latest_per_key(valid, ["order_id"], "ingested_at", _ORDER_TIEBREAK)
-    return newest.drop(*_AUDIT_COLUMNS)
+    return newest_orders(valid).drop(*_AUDIT_COLUMNS)
+
+
+def arrived_orders(valid: DataFrame) -> DataFrame:
+    """The silver orders of valid rows with ``_arrival``, what tells the newer of two copies of an order."""
+    stamped = newest_orders(valid).withColumns({
+        "_silver_updated_at": F.current_timestamp(), ARRIVAL: F.struct(*schemas.ARRIVAL.names)}).drop(*_AUDIT_COLUMNS)
+    return enforce(stamped, T.StructType([*schemas.SILVER_ORDERS.fields, T.StructField(ARRIVAL, schemas.ARRIVAL)]))
+
+
+def not_older(arrived: DataFrame, known: DataFrame) -> DataFrame:
+    """The arrived orders without those of which a newer copy is known; ``known`` holds a row per order.
+
+    Only keys and arrivals of the known orders are read, cut to the keys that arrived.
+    """
+    before = known.join(arrived.select("order_id"), "order_id", "left_semi").select("order_id", F.col(ARRIVAL).alias("_known"))
+    joined = arrived.join(before, "order_id", "left")
+    return joined.filter(F.col("_known").isNull() | (F.col(ARRIVAL) >= F.col("_known"))).drop("_known")
 
 
 def silver_orders(bronze: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
@@ -86,6 +108,9 @@ def customer_rules(regions: Sequence[str] = REGIONS) -> list[Rule]:
 
 def silver_customers(raw: DataFrame, regions: Sequence[str] = REGIONS) -> DataFrame:
     """Clean and valid customers. Copies of a customer are kept, and the creation date may be NULL."""
-    valid = keep_valid(clean_customers(raw), customer_rules(regions))
+    return valid_customers(keep_valid(clean_customers(raw), customer_rules(regions)))
+
+
+def valid_customers(valid: DataFrame) -> DataFrame:
     return enforce(
         valid.withColumn("_silver_updated_at", F.current_timestamp()), schemas.SILVER_CUSTOMERS)

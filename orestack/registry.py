@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orestack import settings
 from orestack.functions import rules
-from orestack.operators import profile, schema, versioned
+from orestack.operators import asof, profile, schema, versioned
 from orestack.plans import bronze, checks, gold, pipeline, reports, silver
 from orestack.sources import files, star_tables as star
 from orestack.sources.workspace import new_folder
@@ -29,6 +29,8 @@ AS_OF_TIME = "2024-01-02 12:00:00"
 SLICE_YEAR, SLICE_MONTH = 1998, 3
 RANGE_FIRST, RANGE_LAST = datetime.date(1997, 11, 15), datetime.date(1998, 2, 10)
 SECOND_ARRIVAL_FROM = "2024-01-16"
+REPEATED_FROM = "2024-01-15T12"
+STREAM_END = "2124-01-01T00:00:00"
 STREAM_FILES_PER_TRIGGER = 1000
 
 PREVIEW_ROWS = 5
@@ -119,6 +121,26 @@ def _merge_and_restore(spark: SparkSession, folder: str, path: str) -> pipeline.
     return target
 
 
+def refreshed_lake(spark: SparkSession, folder: str) -> pipeline.Lake:
+    """A lake whose orders arrive in three batches and are refreshed after each; the fact is built by month after the
+    second and brought up to date after the third. Counts and rejects of the batches add up."""
+    return _once(spark, folder, "refreshed", lambda path: _refresh_by_batch(spark, folder, path))
+
+
+def _refresh_by_batch(spark: SparkSession, folder: str, path: str) -> pipeline.Lake:
+    target, built = pipeline.Lake(spark, path), None
+    products = star.raw_products(spark, folder)
+    pipeline.refresh_silver_customers(target, star.raw_customers(spark, folder), star.VALID_REGIONS)
+    for number, batch in enumerate(star.raw_order_batches(spark, folder)):
+        pipeline.ingest_orders(target, batch, SOURCE_LABEL)
+        version = pipeline.refresh_silver_orders(target)
+        if number == 1:
+            pipeline.refresh_fact_months(target, products)
+            built = version
+    pipeline.refresh_fact_months(target, products, since=built)
+    return target
+
+
 # -- layers -----------------------------------------------------------------------------------
 
 def bronze_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,6 +177,16 @@ def run_accounting(spark: SparkSession, folder: str) -> DataFrame:
     return lake(spark, folder).order_counts.current()
 
 
+def run_accounting_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of customers that the run itself stored."""
+    return lake(spark, folder).customer_counts.current()
+
+
+def run_rejects_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected customers that the run itself stored."""
+    return lake(spark, folder).customer_rejects.current()
+
+
 def run_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """The rejected rows that the run itself stored."""
     rejected = lake(spark, folder).order_rejects.current()
@@ -203,6 +235,20 @@ def agg_revenue_daily(spark: SparkSession, folder: str) -> DataFrame:
     return gold.agg_revenue_daily(fact_orders(spark, folder))
 
 
+def orders_after_refreshes(spark: SparkSession, folder: str) -> DataFrame:
+    return refreshed_lake(spark, folder).silver_orders.current()
+
+
+def fact_after_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of which only the months of the last batch were written again."""
+    return refreshed_lake(spark, folder).fact_months.current()
+
+
+def rejects_after_refreshes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows per rule, over the batches."""
+    return refreshed_lake(spark, folder).order_rejects.current().groupBy("rejected_by").agg(F.count(F.lit(1)).alias("rejected_rows"))
+
+
 # -- slices of the partitioned fact -------------------------------------------------------------
 
 def fact_orders_month_slice(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,7 +465,51 @@ def events_stream_restart(spark: SparkSession, folder: str) -> DataFrame:
 
 def events_stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     """Input rows of each micro-batch of the two arrivals."""
-    return events.progress(spark, _two_arrivals(spark, folder)).select("input_rows")
+    return events.progress(spark, _two_arrivals(spark, folder)).filter("input_rows > 0").select("input_rows")
+
+
+def _streamed(spark: SparkSession, folder: str, transform: Callable[[DataFrame], DataFrame], repeats: bool = False) -> DataFrame:
+    """The output of a transformed stream: two arrivals, with ``repeats`` some events of the first again, and
+    one last event that ends all windows."""
+    work, raw = new_folder(spark, "events"), star.raw_events(spark, folder)
+    late = F.coalesce(F.col("event_time") >= SECOND_ARRIVAL_FROM, F.lit(False))
+    again = raw.filter(~late & (F.col("event_time") >= REPEATED_FROM)) if repeats else raw.limit(0)
+    end = raw.limit(1).withColumns({"event_id": F.lit("end"), "event_time": F.lit(STREAM_END), "customer_id": F.lit("end"),
+                                    "event_type": F.lit("end")})
+    for arrival in (raw.filter(~late), raw.filter(late).union(again), end):
+        _write_json(arrival, f"{work}/in")
+        events.ingest_events(spark, f"{work}/in", f"{work}/out", f"{work}/state", STREAM_FILES_PER_TRIGGER, transform=transform)
+    return spark.read.parquet(f"{work}/out")
+
+
+def events_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The events of which some arrive again after a restart, each once."""
+    return _streamed(spark, folder, events.deduplicated, repeats=True).filter("event_id != 'end'").select(
+        "event_id", "customer_id", "event_type", "amount", "event_time")
+
+
+def events_tumbling(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_streamed(spark, folder, lambda rows: events.windowed(rows, "6 hours")))
+
+
+def events_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_streamed(spark, folder, lambda rows: events.windowed(rows, "1 day", "12 hours")))
+
+
+def events_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_streamed(spark, folder, lambda rows: events.sessions(rows, "8 hours")))
+
+
+def _shown(windows: DataFrame) -> DataFrame:
+    return windows.withColumns({name: F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS") for name in ("window_start", "window_end")})
+
+
+def events_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """For every purchase the latest view of its customer up to then."""
+    raw = star.raw_events(spark, folder).withColumn("event_at", F.col("event_time").cast("timestamp"))
+    views = raw.filter(F.col("event_type") == "view").withColumnsRenamed({"event_id": "view_id", "event_time": "viewed_at"})
+    bought = raw.filter(F.col("event_type") == "purchase").select("event_id", "customer_id", "event_at", "amount")
+    return asof.asof_join(bought, views, "customer_id", "event_at", ["view_id", "viewed_at"]).drop("event_at")
 
 
 # -- reports ------------------------------------------------------------------------------------
@@ -440,11 +530,22 @@ def _customers_by_region(spark: SparkSession, folder: str) -> DataFrame:
     return reports.customers_by_region(lake(spark, folder).silver_customers.current())
 
 
+def report_customers_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact customers per month, and whether the estimate from daily sketches is within two percent."""
+    fact = lake(spark, folder).fact_orders.current()
+    estimates = reports.monthly_customers(reports.customer_sketches(fact))
+    exact = fact.filter(F.col("status") != "cancelled").groupBy(F.date_format("order_date", "yyyy-MM").alias("month")).agg(
+        F.count_distinct("customer_id").alias("customer_count"))
+    close = F.abs(F.col("customers") - F.col("customer_count")) <= F.col("customer_count") * 0.02
+    return exact.join(estimates, "month").select("month", "customer_count", close.alias("close"), "summed_counts")
+
+
 _LAYERS_AND_OPERATORS = (
     bronze_orders, orders_typed, orders_valid, orders_rejects, quality_orders, quality_customers,
     silver_orders, silver_customers, fact_orders, agg_revenue_daily,
     fact_orders_month_slice, fact_date_range, fact_preview, bronze_preview,
-    fact_history, run_accounting, run_rejects, csv_silver_orders, csv_fact_orders,
+    fact_history, run_accounting, run_rejects, run_accounting_customers, run_rejects_customers,
+    orders_after_refreshes, fact_after_refresh, rejects_after_refreshes, csv_silver_orders, csv_fact_orders,
     csv_bronze_orders, csv_source_files, csv_silver_customers, csv_products, audit_times,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
@@ -452,7 +553,7 @@ _LAYERS_AND_OPERATORS = (
     orders_as_of_version, version_preview, orders_as_of_timestamp, table_history, table_history_sql,
     table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
     check_merge_idempotent, schema_evolve_append, schema_overwrite, events_stream_ingest, events_stream_restart,
-    events_stream_progress,
+    events_stream_progress, events_stream_dedup, events_tumbling, events_sliding, events_sessions, events_asof, report_customers_by_month,
 )
 
 _REPORTS: dict[str, Query] = {
@@ -468,6 +569,8 @@ _REPORTS: dict[str, Query] = {
     "report_category_units": _on_daily(reports.category_units),
     "report_region_share": _on_daily(reports.region_share),
     "report_total_revenue": _on_daily(reports.total_revenue),
+    "report_subtotals": _on_daily(reports.subtotals),
+    "report_moving_revenue": _on_daily(reports.moving_revenue),
 }
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is exact, so sums do not depend on the order of the rows: four decimals, and 24 digits before them.
-MONEY = T.DecimalType(28, 4)
+# Totals are exact, so sums do not depend on the order of the rows: six decimals, and 22 digits before them.
+# A price stays the double that was delivered.
+MONEY = T.DecimalType(28, 6)
 
 
 def _struct(*fields: tuple[str, T.DataType] | tuple[str, T.DataType, bool]) -> T.StructType:
@@ -16,7 +17,7 @@ def _strings(*names: str) -> T.StructType:
     return _struct(*((name, T.StringType()) for name in names))
 
 
-# The columns of the raw tables and of the fact.
+# The columns of the raw tables.
 RAW_ORDERS = _struct(
     ("order_id", T.StringType()),
     ("customer_id", T.StringType()),
@@ -48,13 +49,24 @@ SILVER_ORDERS = _struct(
     ("customer_id", T.StringType(), False),
     ("product_id", T.StringType()),
     ("quantity", T.IntegerType(), False),
-    ("unit_price", MONEY, False),
+    ("unit_price", T.DoubleType(), False),
     ("status", T.StringType(), False),
     ("order_date", T.DateType(), False),
     ("total_amount", MONEY),
     ("_silver_updated_at", T.TimestampType(), False),
 )
 
+# What tells the newer of two copies of an order, in this order.
+ARRIVAL = _struct(
+    ("ingested_at", T.StringType()),
+    ("product_id", T.StringType()),
+    ("customer_id", T.StringType()),
+    ("quantity", T.IntegerType()),
+    ("unit_price", T.DoubleType()),
+    ("status", T.StringType()),
+    ("order_date", T.DateType()),
+)
+
 SILVER_CUSTOMERS = _struct(
     ("customer_id", T.StringType(), False),
     ("name", T.StringType()),
@@ -66,6 +78,7 @@ SILVER_CUSTOMERS = _struct(
     ("_silver_updated_at", T.TimestampType(), False),
 )
 
+# The columns of the fact.
 FACT_COLUMNS = (
     "order_id", "order_date", "order_year", "order_month", "order_quarter",
     "customer_id", "customer_name", "region",
@@ -74,6 +87,15 @@ FACT_COLUMNS = (
     "status", "_gold_created_at",
 )
 
+# One row per report of a streaming query.
+PROGRESS = _struct(
+    ("run_id", T.StringType()),
+    ("batch_id", T.LongType()),
+    ("started_at", T.StringType()),
+    ("input_rows", T.LongType()),
+    ("milliseconds", T.LongType()),
+)
+
 # One row per committed version of a versioned table. ``chain`` names the versions whose rows make up
 # its contents, oldest first. ``source_version`` is the version of another table up to which its rows are merged here.
 COMMITS = _struct(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import time
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from orestack import schemas
@@ -10,6 +14,11 @@ from orestack import schemas
 # Fixed value.
 SOURCE_LABEL = "clickstream_stream"
 
+KEEP_KEYS = "2 days"  # of event time, for which copies of an event are known
+LATE = "1 hour"  # that an event may be behind the newest one
+POLL = 1  # seconds between two looks at a running query
+_PROGRESS = "_progress"  # hidden from readers of the output
+
 
 def event_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
     """New JSON-lines files of a folder. A broken line becomes a row of NULLs.
@@ -48,24 +57,81 @@ def start_ingest(events: DataFrame, out: str, checkpoint: str, every: str | None
     )
 
 
+def deduplicated(events: DataFrame, keep_for: str = KEEP_KEYS) -> DataFrame:
+    """The first event of every id, also over restarts; a copy later than ``keep_for`` may come through again.
+
+    State holds the ids of the last ``keep_for`` of event time only. An event without a time or an id is left
+    out here, since neither a watermark nor a copy can be told by it; bronze keeps it.
+    """
+    timed = events.filter(F.col("event_id").isNotNull()).withColumn("event_at", F.col("event_time").try_cast("timestamp"))
+    return timed.filter(F.col("event_at").isNotNull()).withWatermark("event_at", keep_for).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def windowed(events: DataFrame, size: str, slide: str | None = None, late: str = LATE) -> DataFrame:
+    """Events and their amount per window of event time and type: tumbling, or sliding with ``slide``.
+
+    A window is written once, when the watermark has passed its end by ``late``. Counts are aggregated per task
+    before the shuffle, so a hot type sends a row per task and window.
+    """
+    return _counted(events, F.window("event_at", size, slide), late, "event_type")
+
+
+def sessions(events: DataFrame, gap: str, late: str = LATE) -> DataFrame:
+    """Events and their amount per session of a customer: events with less than ``gap`` between them."""
+    return _counted(events.filter(F.col("customer_id").isNotNull()), F.session_window("event_at", gap), late, "customer_id")
+
+
+def _counted(events: DataFrame, window: Column, late: str, key: str) -> DataFrame:
+    timed = events.withColumn("event_at", F.col("event_time").try_cast("timestamp")).filter(F.col("event_at").isNotNull())
+    return timed.withWatermark("event_at", late).groupBy(window.alias("window"), key).agg(
+        F.count(F.lit(1)).alias("event_count"), F.sum(F.col("amount").cast("decimal(18,4)")).alias("amount"),
+    ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), key, "event_count", "amount")
+
+
 def ingest_events(spark: SparkSession, folder: str, out: str, checkpoint: str,
                   max_files_per_trigger: int = 1, every: str | None = None,
-                  stop_after: float | None = None) -> StreamingQuery:
-    """Run the ingest to its end, or on an interval for ``stop_after`` seconds."""
-    events = with_audit(event_stream(spark, folder, max_files_per_trigger))
-    query = start_ingest(events, out, checkpoint, every)
+                  stop_after: float | None = None,
+                  transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Run the ingest to its end, or on an interval for ``stop_after`` seconds.
+
+    ``transform`` may replace the audit columns by other work on the stream.
+    """
+    events = event_stream(spark, folder, max_files_per_trigger)
+    query = start_ingest(with_audit(events) if transform is None else transform(events), out, checkpoint, every)
+    seen: dict[tuple, tuple] = {}
+    until = None if stop_after is None else time.monotonic() + stop_after
     try:
-        query.awaitTermination(stop_after)
+        while query.isActive and (until is None or time.monotonic() < until):
+            query.awaitTermination(POLL if until is None else min(POLL, max(0.0, until - time.monotonic())))
+            _remember(query, seen)
     finally:
         query.stop()
+        _remember(query, seen)
+        if seen:
+            spark.createDataFrame(sorted(seen.values()), schemas.PROGRESS).coalesce(1).write.mode("append").parquet(
+                f"{out}/{_PROGRESS}")
+    if query.exception() is not None:
+        raise query.exception()
     return query
 
 
+def _remember(query: StreamingQuery, seen: dict[tuple, tuple]) -> None:
+    # A query keeps its last hundred; it is asked far more often than it can end so many.
+    for step in query.recentProgress:
+        key = (str(step.runId), step.batchId, step.timestamp)
+        seen[key] = (*key, step.numInputRows, step.durationMs.get("triggerExecution"))
+
+
 def progress(spark: SparkSession, out: str) -> DataFrame:
-    """The micro-batches that brought rows, over all runs, by their time, with their input rows.
+    """What the runs reported, oldest first: run, micro-batch, its start, input rows and milliseconds.
 
-    They are counted in what was written, where a micro-batch is known by its time; a query itself only
-    remembers its latest ones.
+    It is read from what every run wrote beside its output, and never from the output. A micro-batch
+    without rows is there too. Empty before the first report.
     """
-    return spark.read.parquet(out).groupBy(F.col("_bronze_ingested_at").alias("ingested_at")).agg(
-        F.count(F.lit(1)).alias("input_rows")).orderBy("ingested_at")
+    try:
+        rows = spark.read.schema(schemas.PROGRESS).parquet(f"{out}/{_PROGRESS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schemas.PROGRESS)
+    return rows.orderBy("started_at", "batch_id")

@@ -112,3 +112,59 @@ def test_refreshes_merge_what_is_new_in_bronze(spark, tmp_path):
     lake.silver_orders.restore(0)
     pipeline.refresh_silver_orders(lake)
     assert samples.rows(lake.silver_orders.current(), "order_id", "quantity", "total_amount") == before
+
+
+def _order(key, status, date, at, customer="C1"):
+    return (key, customer, "P1", 1, 10.0, status, date, at)
+
+
+def _refreshed(spark, lake, *orders):
+    pipeline.ingest_orders(lake, samples.raw_orders(spark, list(orders)))
+    return pipeline.refresh_silver_orders(lake)
+
+
+def _files(lake):
+    return {name for name in lake.fact_months.current().inputFiles()}
+
+
+def test_only_touched_months_are_written(spark, tmp_path):
+    lake, products = pipeline.Lake(spark, str(tmp_path)), samples.raw_products(spark)
+    pipeline.refresh_silver_customers(lake, samples.raw_customers(spark))
+    built = _refreshed(spark, lake, *(_order(f"O{n}", "pending", f"2024-{n:02d}-05", "1") for n in range(1, 7)),
+                       _order("O7", "pending", "2024-01-06", "1"))
+    assert pipeline.refresh_fact_months(lake, products) == [(2024, n) for n in range(1, 7)]
+    before = _files(lake)
+    # One order changes, one moves from May, which it leaves empty, to July, one is older than what silver has, one is new.
+    _refreshed(spark, lake, _order("O1", "shipped", "2024-01-05", "2"), _order("O5", "pending", "2024-07-01", "2"),
+               _order("O3", "shipped", "2024-03-05", "0"), _order("O8", "pending", "2023-12-31", "2"))
+    touched = pipeline.refresh_fact_months(lake, products, since=built)
+    assert touched == [(2023, 12), (2024, 1), (2024, 5), (2024, 7)]
+    months = {name: [f for f in before if f"order_month={name}/" in f] for name in (1, 2, 3, 4, 5, 6)}
+    after = _files(lake)
+    assert all(set(months[n]) <= after for n in (2, 3, 4, 6)) and not any(set(months[n]) & after for n in (1, 5))
+    rebuilt = gold.fact_orders(lake.silver_orders.current(), lake.silver_customers.current(), products)
+    columns = [c for c in rebuilt.columns if c != "_gold_created_at"]
+    assert samples.rows(lake.fact_months.current(), *columns) == samples.rows(rebuilt, *columns)
+    assert pipeline.refresh_fact_months(lake, products, since=lake.silver_orders.latest_version()) == []
+
+
+def test_a_refresh_reads_only_what_is_new_in_bronze(spark, tmp_path):
+    lake = pipeline.Lake(spark, str(tmp_path))
+    _refreshed(spark, lake, *(_order(f"O{n}", "pending", "2024-01-05", "1") for n in range(20)), _order(None, "pending", "2024-01-05", "1"))
+    pipeline.ingest_orders(lake, samples.raw_orders(spark, [_order("O1", "lost", "2024-01-05", "2"), _order("O2", "shipped", "2024-01-05", "0")]))
+    assert all("_version=1" in name for name in pipeline.unmerged_orders(lake).inputFiles())
+    pipeline.refresh_silver_orders(lake)
+    assert lake.silver_orders.current().filter("status != 'pending'").count() == 0
+    assert "_arrival" not in lake.silver_orders.current().columns + lake.silver_orders.changes(0).columns
+    assert samples.rows(lake.order_counts.current(), "input_rows", "valid_rows", "rejected_rows", "unique_rows") == [
+        (2, 1, 1, 1), (21, 20, 1, 20)]
+    assert samples.rows(lake.order_rejects.current(), "order_id", "rejected_by") == [
+        ("O1", "status_known"), (None, "order_id_present")]
+
+
+def test_customers_are_accounted_for(spark, tmp_path):
+    lake = pipeline.Lake(spark, str(tmp_path))
+    pipeline.refresh_silver_customers(lake, samples.raw_customers(spark))
+    counts = lake.customer_counts.current().first()
+    assert (counts["input_rows"], counts["valid_rows"], counts["rejected_rows"], counts["failed_region_known"]) == (6, 2, 4, 1)
+    assert lake.customer_rejects.current().count() == 4 and lake.silver_customers.current().count() == 2

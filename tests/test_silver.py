@@ -112,3 +112,42 @@ def test_no_price_is_lost(spark):
         ("A", Decimal("0.4")), ("B", Decimal(10 ** 16)), ("C", Decimal(9 * 10 ** 16))]
     rejected = rules.rejects(silver.type_orders(raw), silver.order_rules())
     assert samples.rows(rejected, "order_id", "rejected_by") == [("D", "total_fits")]
+
+
+def test_prices_stay_as_delivered(spark):
+    prices = {"A": (1_000_000, 0.00004), "B": (3, 0.12345), "C": (1, 1e24), "D": (1, 0.0), "E": (2, 1e20), "F": (1, float("nan")),
+              "G": (1, float("inf")), "H": (1, 1e-9)}
+    raw = samples.raw_orders(spark, [(k, "C", "P", n, p, "pending", "2024-01-05", "1") for k, (n, p) in prices.items()])
+    kept = samples.rows(silver.silver_orders(raw), "order_id", "unit_price", "total_amount")
+    assert kept == [("A", 0.00004, Decimal(40)), ("B", 0.12345, Decimal("0.37035")), ("E", 1e20, Decimal(2 * 10 ** 20)),
+                    ("H", 1e-9, Decimal(0))]
+    rejected = rules.rejects(silver.type_orders(raw), silver.order_rules())
+    assert samples.rows(rejected, "order_id", "rejected_by") == [
+        ("C", "total_fits"), ("D", "unit_price_positive"), ("F", "total_fits"), ("G", "total_fits")]
+
+
+def test_a_split_reads_its_input_once(spark, folder):
+    samples.raw_orders(spark).write.parquet(f"{folder}/raw")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    raw = spark.read.parquet(f"{folder}/raw")
+    typed = silver.type_orders(raw.mapInPandas(seen, raw.schema))
+    parts = rules.split(typed, silver.order_rules(), f"{folder}/parts")
+    assert (parts.valid.count(), parts.rejected.count(), read.value) == (5, 7, 12)
+    plain = silver.type_orders(raw)
+    assert samples.rows(parts.rejected) == samples.rows(rules.rejects(plain, silver.order_rules()))
+    assert samples.rows(parts.valid) == samples.rows(rules.keep_valid(plain, silver.order_rules()))
+    assert parts.counts == rules.account(plain, silver.order_rules()).first().asDict()
+    none = rules.split(plain.limit(0), silver.order_rules(), f"{folder}/none")
+    assert none.valid.count() == none.rejected.count() == none.counts["input_rows"] == 0
+
+
+def test_accounting_takes_one_scan(spark, folder):
+    samples.raw_orders(spark).write.parquet(f"{folder}/raw")
+    counted = rules.account(silver.type_orders(spark.read.parquet(f"{folder}/raw")), silver.order_rules(), key="order_id")
+    assert counted._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
