@@ -13,12 +13,12 @@ from orestack.llm.common import saved
 from orestack.llm.graph import components
 from orestack.llm.line_dedup import row_name
 
-POSTINGS = 1 << 22  # of one bucket of the hash space, about
+POSTINGS = 1 << 21  # of one bucket of the hash space, about
 AT_ONCE = 1 << 21  # postings that a map task sorts together
 BLOCK = 1024  # sets of one block
 BLOCK_GRAMS = 1 << 22  # grams of one block, unless a single set has more
 FRAGMENTS = 8  # of the global order
-COLUMNS = 4096  # grams that are multiplied together
+COLUMNS = 1024  # grams that are multiplied together
 STRETCH = 1 << 22  # bytes of a text that are looked at together
 MARK_BITS = 28  # of a gram's hash below its bucket
 FILTER_BITS = 1 << 25  # of the filter that spares other texts the shuffle
@@ -201,15 +201,15 @@ def shared_grams(docs: DataFrame, text: str, width: int, total: int) -> DataFram
             shorts = [np.frombuffer(s, np.int64) for s in sent["shorts"]]
             starts = np.cumsum([0, *(len(s) for s in shorts)])
             many = np.concatenate(owners) == MANY
-            place = np.concatenate([np.where(o == MANY, 0, o).astype(np.int64) + s for o, s in zip(owners, starts)])
-            short = np.concatenate(shorts)
-            order = np.argsort(marks, kind="stable")
-            ordered, owner = marks[order], short[place[order]]
+            place = np.concatenate([np.where(o == MANY, 0, o).astype(np.int32) + np.int32(s) for o, s in zip(owners, starts)])
+            which = np.unique(np.concatenate(shorts), return_inverse=True)[1].astype(np.int32)
+            order = np.argsort(marks, kind="stable").astype(np.uint32)
+            ordered, owner = marks[order], which[place[order]]
             first = run_starts(ordered)
             several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
             several |= np.logical_or.reduceat(many[order], first)
             met = order[np.repeat(several, np.diff(np.r_[first, len(ordered)]))]
-            shared = np.bincount(place[met[~many[met]]], minlength=len(short)).astype(np.uint32)
+            shared = np.bincount(place[met[~many[met]]], minlength=len(which)).astype(np.uint32)
             out.append(pd.DataFrame([(n, s[shared[a:b] > 0].tobytes(), shared[a:b][shared[a:b] > 0].tobytes())
                                      for n, s, a, b in zip(sent["batch"], shorts, starts, starts[1:])], columns=["batch", "shorts", "shared"]))
         return pd.concat(out)
@@ -320,13 +320,16 @@ def runs(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple
 
 
 def overlap(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many grams each of the left segments has in common with each of the right ones."""
-    grams = np.concatenate(left + right)
-    owner = np.repeat(np.arange(len(left) + len(right)), [len(g) for g in left + right])
+    """How many grams each of the left segments has in common with each of the right ones, or of the left without right."""
+    every = left + right
+    grams, owner = np.concatenate(every), np.repeat(np.arange(len(every)), [len(g) for g in every])
     which, at = np.unique(grams, return_inverse=True)
-    found = np.zeros((len(left), len(right)), np.float32)
-    of_left = owner < len(left)
-    both = (np.bincount(at[of_left], minlength=len(which)) > 0) & (np.bincount(at[~of_left], minlength=len(which)) > 0)
+    found = np.zeros((len(left), len(right) or len(left)), np.float32)
+    if right:
+        of_left = owner < len(left)
+        both = (np.bincount(at[of_left], minlength=len(which)) > 0) & (np.bincount(at[~of_left], minlength=len(which)) > 0)
+    else:
+        both = np.bincount(at, minlength=len(which)) > 1
     number = np.cumsum(both) - 1
     keep = both[at]
     at, owner = number[at[keep]], owner[keep]
@@ -334,9 +337,9 @@ def overlap(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     at, owner = at[order], owner[order]
     for start in range(0, int(both.sum()), COLUMNS):
         a, b = np.searchsorted(at, (start, start + COLUMNS))
-        has = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        has = np.zeros((len(every), COLUMNS), np.float32)
         has[owner[a:b], at[a:b] - start] = 1
-        found += has[: len(left)] @ has[len(left):].T
+        found += has[: len(left)] @ has[len(left) if right else 0:].T
     return found.astype(np.uint32)
 
 
@@ -414,13 +417,13 @@ def links(ordered: DataFrame, percent: int) -> DataFrame:
             side = rows["side"].to_numpy()
             own = [np.asarray(g, np.int64) for g in rows["grams"]]
             left = [g for g, s in zip(own, side) if s == 0]
-            right = [g for g, s in zip(own, side) if s == 1] or left
-            found = overlap(left, right).tobytes()
+            right = [g for g, s in zip(own, side) if s == 1]
+            found = planes(overlap(left, right).ravel())
             # The sets of a pair of blocks are named once, with its first fragment.
             named = [rows[c].tolist() for c in ("id", "n", "weight", "side")] if mine[-1] == 0 else [None] * 4
             out.append((*mine, found, *named))
             size += len(found)
-            if len(out) >= 1000 or size > 16 * BLOCK ** 2:
+            if len(out) >= 1000 or size > 8 * BLOCK ** 2:
                 yield pd.DataFrame(out, columns=names)
                 out, size = [], 0
         if out:
@@ -433,7 +436,10 @@ def links(ordered: DataFrame, percent: int) -> DataFrame:
             left, right = np.flatnonzero(sides_ == 0), np.flatnonzero(sides_ == 1)
             one = not len(right)
             right = left if one else right
-            both = sum(np.frombuffer(c, np.uint32) for c in rows["counts"]).astype(np.int64).reshape(len(left), len(right))
+            both = np.zeros(len(left) * len(right), np.int64)
+            for counts_ in rows["counts"]:
+                both += numbers_of(counts_, np.uint32)
+            both = both.reshape(len(left), len(right))
             linked = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
             if one:
                 np.fill_diagonal(linked, False)
