@@ -14,6 +14,7 @@ from orestack.llm.graph import components
 
 SEED = 42
 BYTES = 8
+PAIRED = 1_000  # entries of a list that are still compared in pairs
 
 
 def fingerprint(text: Column, shingle: int = 3) -> Column:
@@ -58,25 +59,55 @@ def byte_masks(distance: int) -> list[int]:
     return [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
 
 
-def links(prints: DataFrame, distance: int = 3, column: str = "fp") -> DataFrame:
+def _ball(radius: int) -> str:
+    """The patterns of up to ``radius`` bits that change none of the bits of ``mask``."""
+    bits = ", ".join(f"shiftleft(1L, {i})" for i in range(8 * BYTES))
+    flips = f"concat(array(0L), filter(array({bits}), bit -> (mask & bit) = 0))"
+    found = "array(0L)"
+    for _ in range(radius):
+        found = f"array_distinct(flatten(transform({found}, x -> transform({flips}, y -> x ^ y))))"
+    return found
+
+
+def links(prints: DataFrame, distance: int = 3, column: str = "fp", most: int = PAIRED) -> DataFrame:
     """Pairs ``a < b`` of different fingerprints that differ in at most ``distance`` bits, each once.
 
+    Two fingerprints that differ so little are always connected by these pairs, mostly by their own.
+
     ``distance`` differing bits touch at most so many bytes, so a pair shares at least ``8 - distance``
     positional bytes: the guaranteed count. An entry of the inverted index is the content of that many
     positions together, so only pairs that reach the count meet in a list; their bits are then verified.
     Lists of single bytes would hold 1/256 of all fingerprints each, and tallies quadratic in the input.
     Fingerprints are distinct before they are indexed, so a group of equal texts is one entry.
+
+    Within a list of over ``most`` entries no pairs are made, so its work grows with the list and not with its
+    square. Any pair of the list has a point between, half of the distance from either side. Whoever is within the
+    smaller half of a point is thereby linked to whoever is within the larger half of it, so the smallest of the
+    first, linked to all of them, connects the same fingerprints. Few fingerprints can be as near to one point.
     """
     masks = F.array(*(F.lit(m) for m in byte_masks(distance)))
     index = (prints.select(F.col(column).alias("fp")).dropna().distinct()
              .select("fp", F.explode(masks).alias("mask"))
              .select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("content")))
-    other = index.select(F.col("fp").alias("b"), "mask", "content")
+    lists = saved(index.groupBy("mask", "content").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "byte-lists")
+    members = saved(index.join(lists, ["mask", "content"]), "byte-list-members")
+
+    short = members.filter(F.col("n") <= most)
+    other = short.select(F.col("fp").alias("b"), "mask", "content")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     same = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.content") == F.col("r.content"))
-    return (index.withColumnRenamed("fp", "a").alias("l")
-            .join(other.alias("r"), same & (F.col("a") < F.col("b")) & near)
-            .select("a", "b").distinct())
+    pairs = (short.withColumnRenamed("fp", "a").alias("l")
+             .join(other.alias("r"), same & (F.col("a") < F.col("b")) & near).select("a", "b"))
+
+    def points(radius: int) -> DataFrame:
+        return (members.filter(F.col("n") > most).select("fp", F.explode(F.expr(_ball(radius))).alias("pattern"))
+                .select("fp", F.col("fp").bitwiseXOR(F.col("pattern")).alias("point")))
+
+    half = distance // 2
+    first = points(half).groupBy("point").agg(F.min("fp").alias("first"))
+    around = points(distance - half).join(first, "point").filter("fp != first").select(
+        F.least("fp", "first").alias("a"), F.greatest("fp", "first").alias("b"))
+    return pairs.union(around).distinct()
 
 
 def _classes(prints: DataFrame, distance: int) -> DataFrame:
