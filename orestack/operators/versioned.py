@@ -24,7 +24,7 @@ from orestack import schemas
 from orestack.operators.dedup import latest_per_key
 from orestack.sources.workspace import new_folder
 
-INSERTED, UPDATED, KEPT = "I", "U", "K"
+INSERTED, UPDATED, KEPT, DELETED = "I", "U", "K", "D"
 MOST_CHANGES = 8  # versions that a read lays over its base
 _TECHNICAL = ("_version", "_op")
 
@@ -48,12 +48,13 @@ def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def merge_changes(source: DataFrame, current: DataFrame, key: Sequence[str],
-                  update_columns: Sequence[str] | None = None) -> DataFrame:
+                  update_columns: Sequence[str] | None = None, deleted: str | None = None) -> DataFrame:
     """Rows an upsert writes: every source row, marked ``I`` or ``U`` in ``_op``.
 
     A matched row takes ``update_columns`` (default: all) from the source and keeps the other
     columns of the current row; an unmatched row is inserted whole. ``source`` must hold one row
-    per key and no NULL key.
+    per key and no NULL key. A source row whose flag ``deleted`` is true removes its key: it is marked ``D``, and
+    left out where the key is not known. The flag itself is not written.
 
     The current rows are first cut down to the keys of the source. Spark broadcasts those keys when
     they are small enough, which leaves a large table unshuffled; otherwise the semi join and the
@@ -61,24 +62,28 @@ def merge_changes(source: DataFrame, current: DataFrame, key: Sequence[str],
     """
     key = list(key)
     known = [name for name in current.columns if name not in _TECHNICAL]
-    updated = set(source.columns if update_columns is None else update_columns) | set(key)
+    own = [name for name in source.columns if name != deleted]
+    updated = set(own if update_columns is None else update_columns) | set(key)
     kept = [name for name in known if name not in updated]
     targets = current.join(source.select(*key), key, "left_semi").select(
         *key, *(F.col(name).alias(f"_kept_{name}") for name in kept), F.lit(True).alias("_matched"))
 
     def merged(name: str) -> Column:
-        if name not in source.columns:
+        if name not in own:
             return F.col(f"_kept_{name}").alias(name)
         if name in updated:
             return F.col(name)
         before = F.col(f"_kept_{name}") if name in kept else F.lit(None)
         return F.when(F.col("_matched"), before).otherwise(F.col(name)).alias(name)
 
-    added = [name for name in source.columns if name not in known]
-    return source.join(targets, key, "left").select(
-        *(merged(name) for name in [*known, *added]),
-        F.when(F.col("_matched"), UPDATED).otherwise(INSERTED).alias("_op"),
-    )
+    added = [name for name in own if name not in known]
+    rows = source.join(targets, key, "left")
+    operation = F.when(F.col("_matched"), UPDATED).otherwise(INSERTED)
+    if deleted is not None:
+        gone = F.coalesce(F.col(deleted), F.lit(False))
+        rows = rows.filter(~gone | F.col("_matched").isNotNull())
+        operation = F.when(gone, DELETED).otherwise(operation)
+    return rows.select(*(merged(name) for name in [*known, *added]), operation.alias("_op"))
 
 
 def overlay(base: DataFrame, latest: DataFrame, key: Sequence[str], touched: DataFrame | None = None) -> DataFrame:
@@ -196,7 +201,7 @@ class VersionedTable:
         return self.as_of_version(self.version_at(timestamp))
 
     def changes(self, version: int) -> DataFrame:
-        """The rows that one version inserted or updated, marked in ``_op``."""
+        """The rows that one version inserted, updated or deleted, marked in ``_op``."""
         schema = self._schema(self._commit_of(version))
         return self._rows([version], schema).drop("_version", *self.hidden).filter(F.col("_op") != KEPT)
 
@@ -226,7 +231,7 @@ class VersionedTable:
         touched = self._rows(later, schema)
         return (
             older.join(touched.select(*self.key), self.key, "left_semi"),
-            self._latest(touched, later).select(*older.columns),
+            self._latest(touched, later).filter(F.col("_op") != DELETED).select(*older.columns),
         )
 
     def _latest(self, touched: DataFrame, versions: Sequence[int]) -> DataFrame:
@@ -243,6 +248,8 @@ class VersionedTable:
             rows = overlay(self._rows([base], schema), self._latest(touched, later), self.key, touched)
         else:
             rows = self._rows([base, *later], schema)
+        if self.key:
+            rows = rows.filter(F.col("_op") != DELETED)
         return rows.select(*(name for name in schema.names if hidden or name not in self.hidden))
 
     def _schema(self, commit: Row) -> T.StructType:
@@ -286,16 +293,20 @@ class VersionedTable:
         return self._commit(df, "WRITE", self._newest(), [], committed_at, partition_by)
 
     def merge(self, source: DataFrame, update_columns: Sequence[str] | None = None,
-              committed_at: str | None = None, new_base: bool = False, source_version: int | None = None) -> int:
+              committed_at: str | None = None, new_base: bool = False, source_version: int | None = None,
+              deleted: str | None = None) -> int:
         """Upsert one row per key; the first merge creates the table. Returns the new version.
 
-        With ``new_base`` the version holds the whole table and starts a new chain.
+        Keys whose source row has the flag ``deleted`` are removed, until a later merge brings them again; older
+        versions still have them. With ``new_base`` the version holds the whole table and starts a new chain.
         """
         if not self.key:
             raise ValueError("a merge needs a keyed table")
         newest = self._newest()
         source = one_row_per_key(source, self.key)
         if newest is None:
+            if deleted is not None:
+                source = source.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
             return self._commit(source, "WRITE", newest, [], committed_at, source_version=source_version)
         new_base = new_base or len(newest["chain"]) > MOST_CHANGES
         # Read twice below, so it is written to the shared folder: a lost executor takes none of it along.
@@ -304,7 +315,7 @@ class VersionedTable:
         source = self.spark.read.schema(source.schema).parquet(staged)
         current = self._contents(newest, hidden=True)
         updated = None if update_columns is None else [*update_columns, *self.hidden]
-        rows = merge_changes(source, current, self.key, updated)
+        rows = merge_changes(source, current, self.key, updated, deleted)
         if new_base:
             rows = overlay(current.withColumn("_op", F.lit(KEPT)), rows, self.key, source)
         fitted, below = _fit(rows, self._schema(newest)), [] if new_base else newest["chain"]

@@ -358,6 +358,12 @@ def oracle_sql() -> dict[str, str]:
             CAST(b.total_amount AS DOUBLE) AS total_amount,
             CASE WHEN v0.customer_id IS NULL THEN 'I' ELSE 'U' END AS _op
           FROM batch_silver b LEFT JOIN v0 USING (order_id) WHERE batch = 1"""),
+        "orders_after_deletes": _with(_VERSIONS, f"""SELECT {_SILVER_COLUMNS} FROM v1 WHERE status <> 'cancelled'
+            OR order_id NOT IN (SELECT order_id FROM batch_silver WHERE batch = 1)"""),
+        "orders_after_undelete": _with(_VERSIONS, f"""SELECT {_SILVER_COLUMNS}, {registry.UNDELETED} AS version FROM v0
+            UNION ALL SELECT {_SILVER_COLUMNS}, {registry.MERGED} AS version FROM v1"""),
+        "orders_deleted": _with(_VERSIONS, """SELECT order_id, v0.status FROM v0 JOIN batch_silver b USING (order_id)
+            WHERE b.batch = 1 AND b.status = 'cancelled'"""),
         "orders_after_merge": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v2"),
         "silver_orders_current": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM full_merge"),
         "orders_as_of_version": _with(_VERSIONS, f"SELECT {_SILVER_COLUMNS} FROM v0"),
@@ -396,6 +402,10 @@ def oracle_sql() -> dict[str, str]:
           GROUP BY coalesce(ts >= TIMESTAMP '{registry.SECOND_ARRIVAL_FROM}', false)""",
         "events_stream_dedup": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id,
             event_type, "value" AS amount, {_EVENT_TIME} AS event_time FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL""",
+        "events_upserted": f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id, event_type,
+            CASE WHEN event_type = 'view' THEN 0 ELSE "value" END AS amount,
+            CASE WHEN event_type = 'view' THEN {_EVENT_TIME.replace("ts", "ts - INTERVAL 1 DAY", 1)} ELSE {_EVENT_TIME} END AS event_time
+            FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL""",
         "events_tumbling": _windows("time_bucket(INTERVAL '6 hours', ts)", "INTERVAL '6 hours'"),
         "events_sliding": _windows("time_bucket(INTERVAL '12 hours', ts) - s.back", "INTERVAL '1 day'",
                                    "CROSS JOIN (VALUES (INTERVAL '0 hours'), (INTERVAL '12 hours')) s(back)"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import functools
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -60,10 +61,10 @@ def comparable(df: DataFrame) -> DataFrame:
 
 # -- tables written once per session ----------------------------------------------------------
 
-_written: dict[tuple[str, str, str], pipeline.Lake] = {}
+_written: dict[tuple[str, str, str], Any] = {}
 
 
-def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], pipeline.Lake]) -> pipeline.Lake:
+def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], Any]) -> Any:
     session = (spark.conf.get("spark.app.id"), folder, name)
     if session not in _written:
         _written[session] = write(new_folder(spark, name))
@@ -354,6 +355,43 @@ def orders_after_restore(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_orders(spark, folder).as_of_version(RESTORED)
 
 
+# Versions of the orders with deletes.
+LOADED, DELETED, UNDELETED, MERGED = range(4)
+
+
+def _orders_with_deletes(spark: SparkSession, folder: str) -> versioned.VersionedTable:
+    """The first load of the orders; the second batch, of which cancelled orders are deleted; the first load restored;
+    and the second batch again without deletes."""
+    def write(path: str) -> versioned.VersionedTable:
+        merged = _merged_orders(spark, folder)
+        batch = merged.changes(FIRST_MERGE).drop("_op")
+        table = versioned.VersionedTable(spark, path, key=["order_id"])
+        table.merge(merged.as_of_version(FIRST_LOAD))
+        table.merge(batch.withColumn("gone", F.col("status") == "cancelled"), deleted="gone")
+        table.restore(LOADED)
+        table.merge(batch)
+        return table
+
+    return _once(spark, folder, "deletes", write)
+
+
+def orders_after_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    return _orders_with_deletes(spark, folder).as_of_version(DELETED)
+
+
+def orders_after_undelete(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the restored and of the last version, told apart by ``version``."""
+    table = _orders_with_deletes(spark, folder)
+    return functools.reduce(DataFrame.unionByName, (
+        table.as_of_version(version).withColumn("version", F.lit(version)) for version in (UNDELETED, MERGED)))
+
+
+def orders_deleted(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders that the second version lacks of the first, by comparison of what was written in between."""
+    before, after = _orders_with_deletes(spark, folder).differing(LOADED, DELETED)
+    return versioned.added_rows(after, before, ["order_id"]).select("order_id", "status")
+
+
 def silver_orders_current(spark: SparkSession, folder: str) -> DataFrame:
     return _merged_orders(spark, folder).current()
 
@@ -488,6 +526,18 @@ def events_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "event_id", "customer_id", "event_type", "amount", "event_time")
 
 
+def events_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Provisional events a day early, then the final ones of all types but views, then the provisional ones again."""
+    work, final = new_folder(spark, "events"), star.raw_events(spark, folder)
+    early = F.date_format(F.col("event_time").cast("timestamp") - F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    provisional = final.withColumns({"event_time": early, "amount": F.lit(0.0)})
+    table = versioned.VersionedTable(spark, f"{work}/silver", key=["event_id"])
+    for arrival in (provisional, final.filter(~F.col("event_type").eqNullSafe("view")), provisional):
+        _write_json(arrival, f"{work}/in")
+        events.upsert_events(spark, f"{work}/in", table, f"{work}/state", STREAM_FILES_PER_TRIGGER)
+    return table.current().select("event_id", "customer_id", "event_type", "amount", "event_time")
+
+
 def events_tumbling(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(_streamed(spark, folder, lambda rows: events.windowed(rows, "6 hours")))
 
@@ -549,11 +599,11 @@ _LAYERS_AND_OPERATORS = (
     csv_bronze_orders, csv_source_files, csv_silver_customers, csv_products, audit_times,
     profile_nulls, profile_duplicates, profile_top_duplicates, check_unique_key, describe_schema,
     compare_bronze_silver, layer_counts, layer_summary,
-    merge_change_set, orders_after_merge, orders_after_restore, silver_orders_current,
+    merge_change_set, orders_after_merge, orders_after_restore, orders_after_deletes, orders_after_undelete, orders_deleted, silver_orders_current,
     orders_as_of_version, version_preview, orders_as_of_timestamp, table_history, table_history_sql,
     table_history_summary, compare_versions, diff_new_rows, diff_changed_status,
     check_merge_idempotent, schema_evolve_append, schema_overwrite, events_stream_ingest, events_stream_restart,
-    events_stream_progress, events_stream_dedup, events_tumbling, events_sliding, events_sessions, events_asof, report_customers_by_month,
+    events_stream_progress, events_stream_dedup, events_upserted, events_tumbling, events_sliding, events_sessions, events_asof, report_customers_by_month,
 )
 
 _REPORTS: dict[str, Query] = {

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from orestack import schemas
+from orestack.operators.versioned import VersionedTable
 
 # Fixed value.
 SOURCE_LABEL = "clickstream_stream"
@@ -88,6 +89,52 @@ def _counted(events: DataFrame, window: Column, late: str, key: str) -> DataFram
     ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), key, "event_count", "amount")
 
 
+def newest_events(events: DataFrame) -> DataFrame:
+    """A row per event id: its copy with the latest time; of those with one time, the greatest in its other columns.
+
+    An event without an id or a time is left out. Copies are aggregated per task before the shuffle.
+    """
+    timed = events.withColumn("event_at", F.col("event_time").try_cast("timestamp"))
+    copy = F.struct("event_at", *(name for name in events.columns if name != "event_id"))
+    known = timed.filter(F.col("event_id").isNotNull() & F.col("event_at").isNotNull())
+    return known.groupBy("event_id").agg(F.max(copy).alias("newest")).select("event_id", "newest.*")
+
+
+def merge_batch(batch: DataFrame, number: int, silver: VersionedTable) -> None:
+    """Merge one micro-batch into the silver events, where a copy that is newer than the known one replaces it.
+
+    A batch that silver holds already, since it was replayed after a crash, changes nothing.
+    """
+    done = silver.source_version()
+    if done is not None and number <= done:
+        return
+    newest = newest_events(batch)
+    if done is not None:
+        copy = [name for name in newest.columns if name != "event_id"]
+        before = silver.current().join(newest.select("event_id"), "event_id", "left_semi").select(
+            "event_id", F.struct(*copy).alias("_known"))
+        newest = newest.join(before, "event_id", "left").filter(
+            F.col("_known").isNull() | (F.struct(*copy) > F.col("_known"))).drop("_known")
+    silver.merge(newest, source_version=number)
+
+
+def upsert_events(spark: SparkSession, folder: str, silver: VersionedTable, checkpoint: str,
+                  max_files_per_trigger: int = 1) -> StreamingQuery:
+    """Merge what is new in a folder into the silver events, keyed by ``event_id``, and end.
+
+    Silver stores the number of its last micro-batch with its commit, so it must stay with its ``checkpoint``.
+    """
+    query = (
+        event_stream(spark, folder, max_files_per_trigger).writeStream
+        .foreachBatch(lambda batch, number: merge_batch(batch, number, silver))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def ingest_events(spark: SparkSession, folder: str, out: str, checkpoint: str,
                   max_files_per_trigger: int = 1, every: str | None = None,
                   stop_after: float | None = None,

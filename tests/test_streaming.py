@@ -7,6 +7,8 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 import samples
+from orestack import schemas
+from orestack.operators.versioned import VersionedTable
 from orestack.streaming import events
 
 
@@ -110,3 +112,23 @@ def test_sessions_end_after_a_gap(spark, folder):
         _run(spark, folder, transform=lambda rows: events.sessions(rows, "10 minutes"))
     found = spark.read.parquet(f"{folder}/out").selectExpr("customer_id", "minute(window_start) AS m", "event_count")
     assert samples.rows(found) == [("C1", 0, 2), ("C1", 30, 2), ("C2", 0, 2), ("C2", 30, 1)]
+
+
+def test_newer_copies_replace_older_ones_and_a_replayed_batch_changes_nothing(spark, folder):
+    silver = VersionedTable(spark, f"{folder}/silver", key=["event_id"])
+
+    def run():
+        events.upsert_events(spark, f"{folder}/in", silver, f"{folder}/state")
+        return samples.rows(silver.current(), "event_id", "amount")
+
+    _send(folder, "a", _event("1", "2024-01-01T00:00:00"), _event("1", "2024-01-02T00:00:00", amount=2.0),
+          _event("2", "2024-01-01T00:00:00"), _event(None, "2024-01-01T00:00:00"), _event("x", "when"))
+    assert run() == [("1", 2.0), ("2", 1.0)]
+    _send(folder, "b", _event("1", "2024-01-01T12:00:00", amount=3.0), _event("2", "2024-01-01T00:00:01", amount=4.0), _event("3", "2024-01-01T00:00:00"))
+    assert run() == run() == [("1", 2.0), ("2", 4.0), ("3", 1.0)]
+    version = silver.latest_version()
+    events.merge_batch(spark.read.schema(schemas.RAW_EVENTS).json(f"{folder}/in"), silver.source_version(), silver)
+    assert silver.latest_version() == version
+    # Without its checkpoint the stream starts again, and silver knows all of its batches.
+    events.upsert_events(spark, f"{folder}/in", silver, f"{folder}/other")
+    assert silver.latest_version() == version

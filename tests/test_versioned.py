@@ -38,6 +38,32 @@ def test_merge_updates_all_columns_by_default(spark, merged):
     assert samples.rows(merged.current())[0] == ("A", "C8", "P8", 8)
 
 
+@pytest.mark.parametrize("new_base", [False, True])
+def test_deletes_last_until_the_key_comes_again(spark, merged, new_base):
+    batch = _orders(spark, ("A", "C9", "P9", 9), ("K", "C3", "P3", 8), ("N", "C4", "P4", 1), ("Z", "C5", "P5", 1))
+    flag = F.when(F.col("order_id") == "N", None).otherwise(F.col("order_id").isin("A", "Z"))
+    merged.merge(batch.withColumn("gone", flag), deleted="gone", new_base=new_base)
+    assert merged.current().columns == ["order_id", "customer_id", "product_id", "quantity"]
+    assert samples.rows(merged.current()) == [("K", "C3", "P3", 8), ("N", "C4", "P4", 1)]
+    assert samples.rows(merged.changes(2), "order_id", "_op") == [("A", "D"), ("K", "U"), ("N", "I")]
+    before, after = merged.differing(1, 2)
+    assert samples.rows(versioned.added_rows(after, before, ["order_id"]), "order_id") == [("A",)]
+
+    merged.merge(_orders(spark, ("A", "C2", "P2", 6)), ["quantity"])
+    assert samples.rows(merged.current(), "order_id", "customer_id") == [("A", "C2"), ("K", "C3"), ("N", "C4")]
+    assert samples.rows(merged.changes(3), "order_id", "_op") == [("A", "I")]
+    merged.restore(2)
+    assert samples.rows(merged.current(), "order_id") == [("K",), ("N",)]
+    merged.restore(1)
+    assert samples.rows(merged.current()) == [("A", "C1", "P1", 5), ("K", "C3", "P3", 7)]
+
+
+def test_a_first_load_leaves_out_deletes(spark, folder):
+    table = VersionedTable(spark, folder, key=["order_id"])
+    table.merge(_orders(spark, ("A", "C1", "P1", 1), ("B", "C1", "P1", 1)).withColumn("gone", F.col("order_id") == "B"), deleted="gone")
+    assert samples.rows(table.current()) == [("A", "C1", "P1", 1)]
+
+
 def test_merging_again_changes_nothing_but_the_version(spark, merged):
     before = samples.rows(merged.current())
     merged.merge(_orders(spark, ("A", "C2", "P2", 5), ("K", "C3", "P3", 7)), ["quantity"])
