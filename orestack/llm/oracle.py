@@ -116,6 +116,104 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_li
 FROM split LEFT JOIN sizes USING (row) LEFT JOIN lowest USING (row) LEFT JOIN linked USING (row)
 """
 
+# Sums go component by component, as the operator's do.
+_NEIGHBOURS = """
+WITH fine AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id::BIGINT AS vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.row AS ask, b.row AS row, a.vec_id AS query_id, b.vec_id AS vec_id,
+    list_reduce(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]), lambda total, x: total + x) AS score
+  FROM fine a JOIN fine b ON a.row <> b.row AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY ask ORDER BY score DESC, vec_id, row) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+# Every aligned pair of document, item and shift with enough equal tokens, and every stretch of it.
+_DECONTAMINATE = r"""
+WITH items AS MATERIALIZED (
+  SELECT row_number() OVER () AS item, item_id, tokens, len(tokens) AS n, least(15, len(tokens)) AS need
+  FROM (SELECT DISTINCT item_id::BIGINT AS item_id,
+    regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') AS tokens FROM benchmark)
+  WHERE len(tokens) > 0 AND item_id IS NOT NULL
+),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') AS tokens
+  FROM documents
+),
+doc_words AS (SELECT row, unnest(tokens) AS token, unnest(range(len(tokens))) AS p FROM docs),
+item_words AS (SELECT item, unnest(tokens) AS token, unnest(range(n)) AS j FROM items),
+equal AS MATERIALIZED (SELECT row, item, p - j AS shift, j FROM doc_words JOIN item_words USING (token)),
+diagonals AS (
+  SELECT row, item, shift, need, greatest(0, -shift) AS lo, least(n, len(docs.tokens) - shift) AS hi
+  FROM (SELECT row, item, shift, count(*) AS same FROM equal GROUP BY row, item, shift) JOIN items USING (item) JOIN docs USING (row)
+  WHERE 5 * same >= 4 * need
+),
+points AS (SELECT row, item, shift, need, unnest(range(lo, hi + 1)) AS j FROM diagonals WHERE hi - lo >= need),
+sums AS MATERIALIZED (
+  SELECT row, item, shift, need, j, count(e.j) OVER (PARTITION BY row, item, shift ORDER BY j
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM points LEFT JOIN equal e USING (row, item, shift, j)
+),
+covered AS (
+  SELECT DISTINCT row, item, shift, unnest(range(a.j, b.j)) AS j FROM sums a JOIN sums b USING (row, item, shift)
+  WHERE b.j - a.j >= a.need AND 5 * (b.before - a.before) >= 4 * (b.j - a.j)
+),
+runs AS (
+  SELECT row, item, count(*) AS length
+  FROM (SELECT *, j - row_number() OVER (PARTITION BY row, item, shift ORDER BY j) AS island FROM covered)
+  GROUP BY row, item, shift, island
+),
+per AS (
+  SELECT row, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item, max(length) AS longest
+  FROM runs JOIN items USING (item) GROUP BY row
+)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, first_item,
+  coalesce(longest, 0)::BIGINT AS longest
+FROM docs LEFT JOIN per USING (row)
+"""
+
+# The well-formed code points of UTF-8 as pairs of hexadecimal digits with a blank after each, and the beginnings of such.
+_CODE_POINT = ("[0-7]. |(C[2-9A-F]|D.) [89AB]. |(E0 [AB].|E[1-9A-CEF] [89AB].|ED [89].) [89AB]. "
+               "|(F0 [9AB].|F[1-3] [89AB].|F4 8.) [89AB]. [89AB]. ")
+_BEGINNING = "E0 [AB]. |E[1-9A-CEF] [89AB]. |ED [89]. |(F0 [9AB].|F[1-3] [89AB].|F4 8.) ([89AB]. )?|.. "
+
+_REPEATED_BYTES = f"""
+WITH raw AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS data FROM documents
+),
+strings AS (
+  SELECT row, pos, md5(data[pos + 1:pos + 400]) AS name
+  FROM (SELECT row, data, unnest(range(octet_length(data) - 399)) AS pos FROM raw WHERE octet_length(data) >= 400)
+),
+twice AS (SELECT row, pos FROM (SELECT row, pos, count(*) OVER (PARTITION BY name) AS n FROM strings) WHERE n > 1),
+islands AS (
+  SELECT row, pos, sum(starts) OVER (PARTITION BY row ORDER BY pos) AS island
+  FROM (SELECT row, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY row ORDER BY pos) <= 400 THEN 0 ELSE 1 END AS starts FROM twice)
+),
+spans AS (SELECT row, min(pos) AS low, max(pos) + 400 AS high FROM islands GROUP BY row, island),
+cut AS (
+  SELECT row, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+    string_agg(hex(data[before + 1:low]), '' ORDER BY low) AS pieces
+  FROM (SELECT *, coalesce(lag(high) OVER (PARTITION BY row ORDER BY low), 0) AS before FROM spans) JOIN raw USING (row)
+  GROUP BY row
+),
+kept AS (
+  SELECT doc_id, octet_length(data) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    CASE WHEN n_spans IS NULL THEN hex(data) ELSE pieces || hex(data[last + 1:octet_length(data)]) END AS kept
+  FROM raw LEFT JOIN cut USING (row)
+)
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans,
+  sha256(unhex(kept)) AS kept_sha256,
+  decode(unhex(array_to_string(list_transform(regexp_extract_all(regexp_replace(kept, '(..)', '\\1 ', 'g'), '{_CODE_POINT}|{_BEGINNING}'),
+    lambda c: CASE WHEN regexp_full_match(c, '{_CODE_POINT}') THEN replace(c, ' ', '') ELSE 'EFBFBD' END), ''))) AS kept_text
+FROM kept
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _LINE_DEDUP, "op6_warc": _WARC, "op12_fill_middle": _FILL_MIDDLE, "op13_ngram_join": _NGRAM_JOIN}
+    return {"op1_ann_codes": _NEIGHBOURS, "op2_decontaminate": _DECONTAMINATE, "op3_suffix_dedup": _REPEATED_BYTES,
+            "op5_line_dedup": _LINE_DEDUP, "op6_warc": _WARC, "op12_fill_middle": _FILL_MIDDLE, "op13_ngram_join": _NGRAM_JOIN}
