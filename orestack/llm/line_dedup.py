@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orestack.llm.common import saved
 
-BLANKS = r" \t\r\f\x0B"
+# Escapes that SQL literals know: blank, tab, carriage return, form feed and vertical tab.
+BLANKS = r" \t\r\u000C\u000B"
 
 
 def row_name(key: str) -> Column:
@@ -17,10 +18,11 @@ def row_name(key: str) -> Column:
 def fingerprints(rows: DataFrame, lines: int, words: int) -> DataFrame:
     """A row per selected line: ``doc``, ``mark`` (its hash), ``at`` (its place) and the ``runs`` that chose it.
 
-    Blank lines do not count, white space around a line neither. The run that starts at a line is the
-    shortest that has ``lines`` lines or ``words`` words; it selects the smallest of its line hashes, the
-    last of equals. Equal runs select the same line, wherever they stand. A run is known by two hashes of
-    all its lines.
+    Blank lines do not count, white space around a line neither. A line has two runs: the shortest that
+    starts there and the shortest that ends there with ``lines`` lines or ``words`` words. Each selects the
+    smallest of its line hashes, the last of equals, so equal runs select the same line, wherever they
+    stand. The runs of a selected line are the steps by which a match extends from it, ahead and back: any
+    longer repeated run is the union of those in it. A run is known by two hashes of all its lines.
     """
     line = f"named_struct('at', at, 'line', trim(BOTH '{BLANKS}' FROM line))"
     items = rows.select("doc", F.expr(
@@ -28,19 +30,31 @@ def fingerprints(rows: DataFrame, lines: int, words: int) -> DataFrame:
     items = items.select("doc", F.expr(
         "transform(lines, x -> named_struct('at', x.at, 'h', xxhash64(x.line), 'g', xxhash64(1, x.line), "
         "'w', size(split(x.line, '[\\\\x20\\\\x09-\\\\x0D]+'))))").alias("lines"))
-    shortest = (f"aggregate(slice(lines, i + 1, {lines}), named_struct('n', 0, 'w', 0), "
+
+    def shortest(of: str) -> str:
+        return (f"aggregate({of}, named_struct('n', 0, 'w', 0), "
                 f"(a, x) -> if(a.w >= {words}, a, named_struct('n', a.n + 1, 'w', a.w + x.w)), "
                 f"a -> if(a.w >= {words} OR a.n = {lines}, a.n, 0))")
-    runs = items.select("doc", F.expr(
-        f"transform(transform(lines, (x, i) -> named_struct('i', i, 'own', slice(lines, i + 1, {shortest}))), "
-        "r -> named_struct('i', r.i, 'places', r.own.at, 'h', r.own.h, 'g', r.own.g))").alias("runs"))
-    chosen = runs.select("doc", F.expr(
-        "transform(runs, r -> named_struct('places', r.places, 'run', xxhash64(r.h), 'check', xxhash64(r.g), "
-        "'mark', array_min(r.h), "
-        "'at', if(size(r.h) = 0, -1, r.i + size(r.h) - array_position(reverse(r.h), array_min(r.h)))))").alias("runs"))
-    anchors = chosen.select("doc", F.explode(F.expr(
-        "transform(runs, (x, p) -> named_struct('at', p, 'runs', "
-        f"filter(slice(runs, greatest(1, p - {lines - 2}), least({lines}, p + 1)), r -> r.at = p)))")).alias("a"))
+
+    ahead = shortest(f"slice(lines, i + 1, {lines})")
+    back = shortest(f"reverse(slice(lines, greatest(1, i + 2 - {lines}), least({lines}, i + 1)))")
+    starting = items.select("doc", "lines", F.expr(
+        f"transform(lines, (x, i) -> named_struct('i', i, 'own', slice(lines, i + 1, {ahead})))").alias("starting"),
+        F.expr(f"transform(lines, (x, i) -> slice(lines, i + 2 - {back}, {back}))").alias("back"))
+    # A run that is also the shortest from its start is there already.
+    both = starting.select("doc", "starting", F.expr(
+        f"transform(back, (own, i) -> named_struct('i', i + 1 - size(own), 'own', if({shortest('own')} < size(own), own, slice(own, 1, 0))))"
+        ).alias("ending"))
+
+    def chosen(runs: str) -> Column:
+        return F.expr(
+            f"transform({runs}, r -> named_struct('places', r.own.at, 'run', xxhash64(r.own.h), 'check', xxhash64(r.own.g), "
+            "'mark', array_min(r.own.h), 'at', if(size(r.own) = 0, -1, "
+            "r.i + size(r.own) - array_position(reverse(r.own.h), array_min(r.own.h)))))").alias(runs)
+
+    anchors = both.select("doc", chosen("starting"), chosen("ending")).select("doc", F.explode(F.expr(
+        "transform(starting, (x, p) -> named_struct('at', p, 'runs', filter(concat("
+        f"slice(starting, greatest(1, p - {lines - 2}), least({lines}, p + 1)), slice(ending, p + 1, {lines})), r -> r.at = p)))")).alias("a"))
     return anchors.filter(F.size("a.runs") > 0).select(
         "doc", F.col("a.at").alias("at"), F.col("a.runs")[0]["mark"].alias("mark"),
         F.transform("a.runs", lambda r: F.struct(r["places"].alias("places"), r["run"].alias("run"),

@@ -14,7 +14,7 @@ filled AS (
 sized AS (SELECT *, len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS words FROM filled),
 ahead AS (
   SELECT *, lead(line) OVER w AS line1, lead(line, 2) OVER w AS line2, lead(words) OVER w AS words1,
-    lead(pos) OVER w AS pos1, lead(pos, 2) OVER w AS pos2
+    lead(words, 2) OVER w AS words2, lead(pos) OVER w AS pos1, lead(pos, 2) OVER w AS pos2
   FROM sized WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ),
 runs AS (
@@ -23,6 +23,12 @@ runs AS (
     WHEN words + words1 >= 50 THEN [line, line1]
     WHEN line2 IS NOT NULL THEN [line, line1, line2] END AS run, [pos, pos1, pos2] AS places
   FROM ahead
+  UNION ALL
+  -- The shortest that end at a line, where they are not the shortest that start at theirs.
+  SELECT doc_id, pos, [line, line1], [pos, pos1] FROM ahead WHERE words >= 50 AND words1 < 50
+  UNION ALL
+  SELECT doc_id, pos, [line, line1, line2], [pos, pos1, pos2] FROM ahead
+  WHERE words + words1 >= 50 AND words1 + words2 < 50
 ),
 ranked AS (
   SELECT doc_id, places[1:len(run)] AS places, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS turn

@@ -52,20 +52,19 @@ def repeated_bytes(texts, least=400):
 
 
 def kept_lines(texts, lines=3, words=50):
-    """The texts after line dedup, in the order of their ids."""
+    """The texts after line dedup, in the order of their ids; every run of enough lines or words is looked up."""
     seen, out = set(), []
     for text in texts:
         all_lines = (text or "").split("\n")
         some = [(i, x.strip(" \t\r\f\v")) for i, x in enumerate(all_lines)]
         some, gone = [x for x in some if x[1]], set()
         for start in range(len(some)):
-            size, n = 0, 0
-            while start + n < len(some) and n < lines and size < words:
-                size, n = size + len(some[start + n][1].split()), n + 1
-            if size >= words or n == lines:
-                run = tuple(x for _, x in some[start: start + n])
-                if run in seen:
-                    gone |= {i for i, _ in some[start: start + n]}
-                seen.add(run)
+            # A run of more lines is made of shorter ones.
+            for end in range(start + 1, min(len(some), start + lines) + 1):
+                run = tuple(x for _, x in some[start:end])
+                if len(run) >= lines or sum(len(x.split()) for x in run) >= words:
+                    if run in seen:
+                        gone |= {i for i, _ in some[start:end]}
+                    seen.add(run)
         out.append(None if text is None else "\n".join(x for i, x in enumerate(all_lines) if i not in gone))
     return out

@@ -101,6 +101,24 @@ def test_lines(spark):
     assert line_dedup.dedup(docs.union(docs)).filter("lines_removed > 0").count() == 2 * out.filter("lines_removed > 0").count()
 
 
+def test_matches_extend_from_long_lines_both_ways(spark):
+    """Short lines after a line of 50 words belong to its run, whatever stands after it in the first document that has it."""
+    wide = [prose(55, 60) for _ in range(3)]
+    texts = ["\n".join(x) for x in (
+        ["a", wide[0], "b", "c"], ["d", wide[0], "short", "other"], ["e", wide[0], "short", "other", "f"], ["g", "short", wide[0], "h"],
+        [wide[1], wide[2], "i"], ["j", wide[1], wide[2], "i", "k"], ["short", wide[0], "h", "l"], ["m", "e", wide[0], "short"])]
+    texts += ["\n".join(rng.choice([*wide, "x", "y", prose(30, 40), "z " * 20, ""]) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    kept = {r.doc_id: r.text for r in line_dedup.dedup(brute.documents(spark, texts)).collect()}
+    assert kept == dict(enumerate(brute.kept_lines(texts)))
+    assert kept[2] == "e\nf" and kept[5] == "j\nk"
+
+
+def test_only_white_space_is_trimmed(spark):
+    texts = ["x\nbox 0\nBf\n", "\tbo\nf\n0", "x \n\x0bbox 0\f\n\n \r\nBf", "0\nx\nB\nf", "0\f\n x\nB\nq"]
+    kept = {r.doc_id: r.text for r in line_dedup.dedup(brute.documents(spark, texts)).collect()}
+    assert kept == dict(enumerate(brute.kept_lines(texts))) and kept[2] == "\n \r" and kept[4] == "q" and kept[1] == texts[1]
+
+
 def test_seeds_see_past_three_substitutions():
     for bad in itertools.combinations(range(15), 3):
         assert any(all(start + i not in bad for i, used in enumerate(mask) if used == "1")
