@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orestack.llm.common import WORD_PATTERN, saved
+from orestack.llm.line_dedup import row_name
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 # Rows of one bucket of a shuffled source, and slots of one chunk of the schedule: what a window task sorts.
@@ -108,7 +109,7 @@ def shuffled(sizes: DataFrame, seed: int = 42) -> DataFrame:
     """
     buckets = max(1, -(-sizes.count() // BUCKET_ROWS))
     hashed = (sizes.withColumn("_hash", F.xxhash64("key", "digest", "copy", F.lit(seed)))
-              .withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).drop("digest", "copy"))
+              .withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).drop("copy"))
     before = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy("source_no", "_bucket").orderBy("_hash", "key", "size").rowsBetween(*before)
     stretch = F.floor(F.col("_bucket") / BUCKET_ROWS)
@@ -146,8 +147,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """The documents with their targets, and the pieces of documents that the mix takes.
 
     First frame, a row per row of the documents: ``key``, ``source_no``, ``size`` (words), ``source_size``,
-    ``target``, ``start`` (its place in the shuffled source). Second frame: ``slot`` (the order of the
-    mix), ``source_no``, ``start``, ``words`` taken there. Each source is a shuffled stream of words, cut
+    ``target``, ``digest`` (a hash of the text), ``start`` (its place in the shuffled source). Second frame:
+    ``slot`` (the order of the mix; numbers may be missing), ``source_no``, ``start``, ``at`` and ``words``: the words
+    taken there, and how many of the document stand before them. Each source is a shuffled stream of words, cut
     into blocks of ``block`` words and begun again at its end; a slot takes the next block of its source,
     and the last one only what is left to the target. So a source takes its target rounded to a word, and
     a document at most ``most`` times its size.
@@ -170,17 +172,49 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
             .withColumn("low", F.col("start") + F.col("_pass") * F.col("source_size"))
             .withColumn("high", F.least(F.col("low") + F.col("size"), F.col("quota"))).filter("low < high"))
     cut = (runs.withColumn("rank", F.explode(F.sequence(F.expr(f"low div {block}"), F.expr(f"(high - 1) div {block}"))))
-           .withColumn("words", F.least("high", (F.col("rank") + 1) * block) - F.greatest("low", F.col("rank") * block)))
+           .withColumn("from", F.greatest("low", F.col("rank") * block))
+           .withColumn("words", F.least("high", (F.col("rank") + 1) * block) - F.col("from"))
+           .withColumn("at", F.col("from") - F.col("low")))
     slots = schedule(sources.select("source_no", F.expr(f"(quota + {block - 1}) div {block}").alias("slots")))
-    pieces = cut.select("source_no", "rank", "start", "words").join(slots, ["source_no", "rank"])
-    return placed, pieces.select("slot", "source_no", "start", "words")
+    pieces = cut.select("source_no", "rank", "start", "at", "words").join(slots, ["source_no", "rank"])
+    return placed, pieces.select("slot", "source_no", "start", "at", "words")
 
 
-def taken(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``key``, ``size``, ``source_size``, ``target`` and ``taken``, the words that ``mix`` takes of each row."""
-    placed, pieces = mix(docs, key, **options)
+def taken(docs: DataFrame, key: str = "doc_id", pieces: bool = False, **options) -> DataFrame:
+    """``key``, ``size``, ``source_size``, ``target`` and ``taken``, the words that ``mix`` takes of each row.
+
+    With ``pieces`` also these, in the order of the mix: an array of ``slot``, ``at`` and ``words``, empty where
+    nothing is taken. A document of n words has at most ``most`` times n / ``block`` + 2 pieces.
+    """
+    placed, cut = mix(docs, key, **options)
     # A row with words is the only one of its source that starts where it does.
-    sums = pieces.groupBy("source_no", "start").agg(F.sum("words").alias("taken")).withColumn("some", F.lit(True))
+    found = [F.sum("words").alias("taken")]
+    if pieces:
+        found.append(F.sort_array(F.collect_list(F.struct("slot", "at", "words"))).alias("pieces"))
+    sums = cut.groupBy("source_no", "start").agg(*found).withColumn("some", F.lit(True))
     joined = placed.withColumn("some", F.col("size") > 0).join(sums, ["source_no", "start", "some"], "left")
+    none = F.array().cast("array<struct<slot: bigint, at: bigint, words: bigint>>")
     return joined.select(F.col("key").alias(key), "size", "source_size", "target",
-                         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                         *([F.coalesce("pieces", none).alias("pieces")] if pieces else []))
+
+
+def texts(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mix itself: ``slot``, ``key``, ``at``, ``words`` and ``text``, a row per piece; its order is that of the slots.
+
+    A text is cut between words, and the white space before a word goes with it, so the pieces of a document
+    that is taken once join to the whole of it, but for white space at its end. A slot has one block of a source, so the pieces
+    of several documents may share it. Repeated rows are taken like any others. Only rows with words are in the mix.
+    """
+    placed, cut = mix(docs, key, text, **options)
+    lists = cut.groupBy("source_no", "start").agg(F.collect_list(F.struct("slot", "at", "words")).alias("pieces"))
+    chosen = placed.filter("size > 0").join(lists, ["source_no", "start"]).select(
+        row_name("key").alias("name"), "digest", F.col("key").alias("key"), "pieces")
+    known = docs.select(row_name(key).alias("name"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
+    spans = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{WORD_PATTERN})"), F.lit(1))
+    named = known.dropDuplicates(["name", "digest"]).join(chosen, ["name", "digest"]).select("key", "pieces", spans.alias("spans"))
+    cuts = F.transform("pieces", lambda p: F.struct(
+        p["slot"].alias("slot"), p["at"].alias("at"), p["words"].alias("words"),
+        F.array_join(F.slice("spans", (p["at"] + 1).cast("int"), p["words"].cast("int")), "").alias("text")))
+    return named.select("key", F.explode(cuts).alias("piece")).select(
+        "piece.slot", F.col("key").alias(key), "piece.at", "piece.words", F.col("piece.text").alias(text))

@@ -124,4 +124,4 @@ def test_pipeline_stages(spark):
             left = " ".join(" ".join(r.text.lower().split()) for r in docs.collect())
             assert not any(item in left for item in benchmark)
     assert counts[0] > counts[1] == counts[2] >= counts[3] > counts[4] == counts[5] > counts[0] // 2
-    assert docs.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert docs.columns == ["doc_id", "size", "source_size", "target", "taken", "pieces"]
