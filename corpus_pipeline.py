@@ -34,8 +34,8 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
-    return mixing.taken(docs)
+    """What the mix takes of every document, and its pieces: slot of the mix, words before it in the document, words."""
+    return mixing.taken(docs, pieces=True)
 
 
 STAGES = [
@@ -46,7 +46,7 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
 ]
 
-# Trained weights, hashes and iterated links are beyond SQL; the stages are tested against plain Python.
+# Trained weights, hashes and iterated links are beyond SQL; the whole run is tested against plain Python.
 ORACLE_SQL = None
 
 
