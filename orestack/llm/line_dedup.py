@@ -31,30 +31,24 @@ def fingerprints(rows: DataFrame, lines: int, words: int) -> DataFrame:
         "transform(lines, x -> named_struct('at', x.at, 'h', xxhash64(x.line), 'g', xxhash64(1, x.line), "
         "'w', size(split(x.line, '[\\\\x20\\\\x09-\\\\x0D]+'))))").alias("lines"))
 
-    def shortest(of: str) -> str:
-        return (f"aggregate({of}, named_struct('n', 0, 'w', 0), "
-                f"(a, x) -> if(a.w >= {words}, a, named_struct('n', a.n + 1, 'w', a.w + x.w)), "
-                f"a -> if(a.w >= {words} OR a.n = {lines}, a.n, 0))")
-
-    ahead = shortest(f"slice(lines, i + 1, {lines})")
-    back = shortest(f"reverse(slice(lines, greatest(1, i + 2 - {lines}), least({lines}, i + 1)))")
-    starting = items.select("doc", "lines", F.expr(
-        f"transform(lines, (x, i) -> named_struct('i', i, 'own', slice(lines, i + 1, {ahead})))").alias("starting"),
-        F.expr(f"transform(lines, (x, i) -> slice(lines, i + 2 - {back}, {back}))").alias("back"))
-    # A run that is also the shortest from its start is there already.
-    both = starting.select("doc", "starting", F.expr(
-        f"transform(back, (own, i) -> named_struct('i', i + 1 - size(own), 'own', if({shortest('own')} < size(own), own, slice(own, 1, 0))))"
-        ).alias("ending"))
-
-    def chosen(runs: str) -> Column:
-        return F.expr(
-            f"transform({runs}, r -> named_struct('places', r.own.at, 'run', xxhash64(r.own.h), 'check', xxhash64(r.own.g), "
-            "'mark', array_min(r.own.h), 'at', if(size(r.own) = 0, -1, "
-            "r.i + size(r.own) - array_position(reverse(r.own.h), array_min(r.own.h)))))").alias(runs)
-
-    anchors = both.select("doc", chosen("starting"), chosen("ending")).select("doc", F.explode(F.expr(
-        "transform(starting, (x, p) -> named_struct('at', p, 'runs', filter(concat("
-        f"slice(starting, greatest(1, p - {lines - 2}), least({lines}, p + 1)), slice(ending, p + 1, {lines})), r -> r.at = p)))")).alias("a"))
+    ahead = (f"aggregate(slice(lines, i + 1, {lines}), named_struct('n', 0, 'w', 0), "
+             f"(a, x) -> if(a.w >= {words}, a, named_struct('n', a.n + 1, 'w', a.w + x.w)), "
+             f"a -> if(a.w >= {words} OR a.n = {lines}, a.n, 0))")
+    counted = items.select("doc", "lines", F.expr(f"transform(lines, (x, i) -> {ahead})").alias("n"))
+    # The sizes of the runs from line i. One that is longer than the shortest, k, is the shortest to its end as
+    # long as it does not hold the whole run of the next line.
+    sizes = (f"if(k = 0, cast(array() AS array<int>), if(k = {lines}, array(k), sequence(k, greatest(k, least({lines}, "
+             f"size(n) - i, coalesce(nullif(get(n, i + 1), 0), {lines}))))))")
+    runs = counted.select("doc", F.expr(
+        f"transform(n, (k, i) -> transform(transform({sizes}, m -> slice(lines, i + 1, m)), "
+        "own -> named_struct('i', i, 'places', own.at, 'h', own.h, 'g', own.g)))").alias("runs"))
+    chosen = runs.select("doc", F.expr(
+        "transform(runs, own -> transform(own, r -> named_struct('places', r.places, 'run', xxhash64(r.h), "
+        "'check', xxhash64(r.g), 'mark', array_min(r.h), "
+        "'at', r.i + size(r.h) - array_position(reverse(r.h), array_min(r.h)))))").alias("runs"))
+    anchors = chosen.select("doc", F.explode(F.expr(
+        "transform(runs, (x, p) -> named_struct('at', p, 'runs', "
+        f"filter(flatten(slice(runs, greatest(1, p - {lines - 2}), least({lines}, p + 1))), r -> r.at = p)))")).alias("a"))
     return anchors.filter(F.size("a.runs") > 0).select(
         "doc", F.col("a.at").alias("at"), F.col("a.runs")[0]["mark"].alias("mark"),
         F.transform("a.runs", lambda r: F.struct(r["places"].alias("places"), r["run"].alias("run"),
