@@ -115,7 +115,7 @@ def merge_batch(batch: DataFrame, number: int, silver: VersionedTable) -> None:
             "event_id", F.struct(*copy).alias("_known"))
         newest = newest.join(before, "event_id", "left").filter(
             F.col("_known").isNull() | (F.struct(*copy) > F.col("_known"))).drop("_known")
-    silver.merge(newest, source_version=number)
+    silver.merge(newest, source_version=number, staged=True)
 
 
 def upsert_events(spark: SparkSession, folder: str, silver: VersionedTable, checkpoint: str,
