@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -59,6 +60,16 @@ def byte_masks(distance: int) -> list[int]:
     return [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
 
 
+def _first_shared(a: Column, b: Column, mask: Column) -> Column:
+    """Whether the mask is made of the first bytes that two fingerprints share, of all masks that they share."""
+    differing = a.bitwiseXOR(b)
+    def fits(i: int) -> Column:
+        byte = F.lit((255 << 8 * i) - ((1 << 64) if i == BYTES - 1 else 0))
+        return (mask.bitwiseAND(byte) != 0) | (F.shiftrightunsigned(mask, 8 * i) == 0) | (differing.bitwiseAND(byte) != 0)
+
+    return reduce(Column.__and__, map(fits, range(BYTES)))
+
+
 def _ball(radius: int) -> str:
     """The patterns of up to ``radius`` bits that change none of the bits of ``mask``."""
     bits = ", ".join(f"shiftleft(1L, {i})" for i in range(8 * BYTES))
@@ -80,6 +91,7 @@ def links(prints: DataFrame, distance: int = 3, column: str = "fp", most: int =
     Lists of single bytes would hold 1/256 of all fingerprints each, and tallies quadratic in the input.
     Fingerprints are distinct before they are indexed, so a group of equal texts is one entry.
 
+    A pair may meet in many lists; it is made in that of the first bytes it shares alone, before anything is shuffled.
     Within a list of over ``most`` entries no pairs are made, so its work grows with the list and not with its
     square. Any pair of the list has a point between, half of the distance from either side. Whoever is within the
     smaller half of a point is thereby linked to whoever is within the larger half of it, so the smallest of the
@@ -96,8 +108,9 @@ def links(prints: DataFrame, distance: int = 3, column: str = "fp", most: int =
     other = short.select(F.col("fp").alias("b"), "mask", "content")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     same = (F.col("l.mask") == F.col("r.mask")) & (F.col("l.content") == F.col("r.content"))
+    first_list = _first_shared(F.col("a"), F.col("b"), F.col("l.mask"))
     pairs = (short.withColumnRenamed("fp", "a").alias("l")
-             .join(other.alias("r"), same & (F.col("a") < F.col("b")) & near).select("a", "b"))
+             .join(other.alias("r"), same & (F.col("a") < F.col("b")) & near & first_list).select("a", "b"))
 
     def points(radius: int) -> DataFrame:
         return (members.filter(F.col("n") > most).select("fp", F.explode(F.expr(_ball(radius))).alias("pattern"))
