@@ -8,7 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orestack.llm.common import saved
 from orestack.llm.graph import components
@@ -101,8 +101,9 @@ def links(prints: DataFrame, distance: int = 3, column: str = "fp", most: int =
     index = (prints.select(F.col(column).alias("fp")).dropna().distinct()
              .select("fp", F.explode(masks).alias("mask"))
              .select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("content")))
-    lists = saved(index.groupBy("mask", "content").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "byte-lists")
-    members = saved(index.join(lists, ["mask", "content"]), "byte-list-members")
+    # The index is many times the fingerprints: it is shuffled once, and its lists are counted where they meet.
+    entries = F.count(F.lit(1)).over(Window.partitionBy("mask", "content"))
+    members = saved(index.withColumn("n", entries).filter("n > 1"), "byte-list-members")
 
     short = members.filter(F.col("n") <= most)
     other = short.select(F.col("fp").alias("b"), "mask", "content")

@@ -25,3 +25,14 @@ def test_a_pair_is_made_in_one_list(spark):
     known = [r.fp for r in prints.collect()]
     near = {(a, b) for a in known for b in known if a < b and ((a ^ b) & (2 ** 64 - 1)).bit_count() <= 3}
     assert sorted(map(tuple, simhash.links(prints).collect())) == sorted(near)
+
+
+def test_the_index_is_shuffled_once(spark, monkeypatch):
+    """And no list of its size is kept beside the members."""
+    kept, saved = [], simhash.saved
+    monkeypatch.setattr(simhash, "saved", lambda df, purpose: kept.append((purpose, df)) or saved(df, purpose))
+    prints = spark.createDataFrame([(5,), (6,), (5,), (1 << 40,), (None,)], "fp long")
+    assert sorted(map(tuple, simhash.links(prints).collect())) == [(5, 6), (5, 1 << 40), (6, 1 << 40)]
+    (purpose, members), = kept
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    assert purpose == "byte-list-members" and plan.count("Exchange hashpartitioning(mask") == 1 and "Join" not in plan
