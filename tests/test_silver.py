@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 import samples
 from orestack import schemas
@@ -151,3 +152,17 @@ def test_accounting_takes_one_scan(spark, folder):
     samples.raw_orders(spark).write.parquet(f"{folder}/raw")
     counted = rules.account(silver.type_orders(spark.read.parquet(f"{folder}/raw")), silver.order_rules(), key="order_id")
     assert counted._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_the_parts_are_written_without_a_sort(spark, folder, monkeypatch):
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def watched(self, *args, **kwargs):
+        seen.append(spark.conf.get(name, None))
+        return write(self, *args, **kwargs)
+
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    parts = rules.split(silver.type_orders(samples.raw_orders(spark)), silver.order_rules(), f"{folder}/parts")
+    assert seen == ["3"] and spark.conf.get(name, None) == before
+    assert (parts.valid.count(), parts.rejected.count()) == (parts.counts["valid_rows"], parts.counts["rejected_rows"])
