@@ -1,0 +1,41 @@
+"""What a lake shuffles and stores of its orders, no more than it has to."""
+
+from __future__ import annotations
+
+import pytest
+
+import samples
+from orestack import settings
+from orestack.functions import rules
+from orestack.operators import versioned
+from orestack.plans import gold, pipeline, silver
+
+REGIONS = ["North", "Central", "South"]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _order(key, customer="C1", product="P1", quantity=1, price=2.0, status="pending", day="2024-01-05", arrived="1"):
+    return (key, customer, product, quantity, price, status, day, arrived)
+
+
+def test_rows_set_aside_are_the_rejected_ones_alone(spark, folder):
+    typed = silver.type_orders(samples.raw_orders(spark))
+    parts = rules.set_aside(typed, silver.order_rules(), f"{folder}/rejected")
+    assert spark.read.parquet(f"{folder}/rejected").count() == parts.counts["rejected_rows"] == 7
+    assert samples.rows(parts.rejected) == samples.rows(rules.rejects(typed, silver.order_rules()))
+    assert samples.rows(parts.valid) == samples.rows(rules.keep_valid(typed, silver.order_rules()))
+    assert parts.counts == rules.account(typed, silver.order_rules()).first().asDict()
+    none = rules.set_aside(typed.limit(0), silver.order_rules(), f"{folder}/none")
+    assert none.valid.count() == none.rejected.count() == none.counts["input_rows"] == 0
+
+
+def test_a_refresh_does_not_store_the_valid_rows_a_second_time(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rules, "split", lambda *args: seen.append(args))
+    lake = pipeline.Lake(spark, folder)
+    pipeline.ingest_orders(lake, samples.raw_orders(spark))
+    pipeline.refresh_silver_orders(lake)
+    assert not seen and lake.order_rejects.current().count() == 7
