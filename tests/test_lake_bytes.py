@@ -39,3 +39,32 @@ def test_a_refresh_does_not_store_the_valid_rows_a_second_time(spark, folder, mo
     pipeline.ingest_orders(lake, samples.raw_orders(spark))
     pipeline.refresh_silver_orders(lake)
     assert not seen and lake.order_rejects.current().count() == 7
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_derived_columns_and_broadcast_names_come_after_the_rebalance(spark, folder, threshold):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        silver.silver_orders(samples.raw_orders(spark)).write.parquet(f"{folder}/orders")
+        orders = spark.read.parquet(f"{folder}/orders")
+        customers = spark.createDataFrame([("C1", "N", "North"), ("C1", "M", "South"), (None, "O", "South")],
+                                          "customer_id string, name string, region string")
+        customers.write.parquet(f"{folder}/customers")
+        samples.raw_products(spark).write.parquet(f"{folder}/products")
+        tables = orders, spark.read.parquet(f"{folder}/customers"), spark.read.parquet(f"{folder}/products")
+        fact = gold.fact_orders_by_month(*tables)
+        plain = gold.fact_orders(*tables)
+        assert samples.rows(fact.drop("_gold_created_at")) == samples.rows(plain.drop("_gold_created_at"))
+        shuffled = _plan(fact).split("REBALANCE", 1)[1]
+        assert "order_quarter" not in shuffled and "is_high_value" not in shuffled
+        assert ("Join" in shuffled) == (threshold == "-1")
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_size_tells_whether_spark_broadcasts(spark, folder):
+    spark.range(10).write.parquet(f"{folder}/few")
+    few = spark.read.parquet(f"{folder}/few")
+    assert settings.is_broadcast(few) and not settings.is_broadcast(few.crossJoin(few.toDF("b")).crossJoin(few.toDF("c")))
