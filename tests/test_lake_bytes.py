@@ -68,3 +68,58 @@ def test_a_size_tells_whether_spark_broadcasts(spark, folder):
     spark.range(10).write.parquet(f"{folder}/few")
     few = spark.read.parquet(f"{folder}/few")
     assert settings.is_broadcast(few) and not settings.is_broadcast(few.crossJoin(few.toDF("b")).crossJoin(few.toDF("c")))
+
+
+def test_a_status_is_shuffled_as_its_place(spark):
+    valid = rules.keep_valid(silver.type_orders(samples.raw_orders(spark, [
+        _order("A", status="shipped"), _order("A", status="Pending "), _order("B", status="cancelled")])), silver.order_rules())
+    arrived = silver.arrived_orders(valid)
+    assert samples.rows(arrived, "order_id", "status") == [("A", "shipped"), ("B", "cancelled")]
+    unknown = silver.type_orders(samples.raw_orders(spark, [_order("A", status="lost")]))
+    with pytest.raises(Exception, match="unknown status"):
+        silver.arrived_orders(unknown).collect()
+    assert samples.rows(silver.arrived_orders(unknown, ["lost"]), "status") == [("lost",)]
+
+
+@pytest.mark.parametrize("staged", [2 ** 30, -1])
+def test_a_stored_arrival_tells_the_newer_copy(spark, folder, monkeypatch, staged):
+    """Customer and product of an order stay, and its arrival may have others: that of the newest copy."""
+    monkeypatch.setattr(versioned, "STAGED_BYTES", staged)
+    lake = pipeline.Lake(spark, folder)
+
+    def arrive(*rows):
+        pipeline.ingest_orders(lake, samples.raw_orders(spark, list(rows)))
+        pipeline.refresh_silver_orders(lake)
+        found = lake.silver_orders.current(hidden=True)
+        return {r["order_id"]: (r["customer_id"], r["product_id"], r["quantity"], r["_arrival"]["product_id"],
+                                r["_arrival"]["customer_id"]) for r in found.collect()}
+
+    first = arrive(_order("A", arrived="5"), _order("B", product=None, arrived="5"))
+    assert first == {"A": ("C1", "P1", 1, None, None), "B": ("C1", None, 1, None, None)}
+    # Of equal arrivals the greater product is the newer, and none is less than any.
+    second = arrive(_order("A", "C1", "P3", 3, arrived="5"), _order("B", "C2", "P2", 2, arrived="5"))
+    assert second == {"A": ("C1", "P1", 3, "P3", "C1"), "B": ("C1", None, 2, "P2", "C2")}
+    third = arrive(_order("A", "C9", "P2", 4, arrived="5"), _order("B", "C9", None, 4, arrived="5"))
+    assert third == second
+    assert arrive(_order("A", "C1", "P4", 5, arrived="5"), _order("B", "C0", None, 5, arrived="6")) == {
+        "A": ("C1", "P1", 5, "P4", "C1"), "B": ("C1", None, 5, None, "C0")}
+
+
+def test_a_large_merge_onto_a_chain_shuffles_it_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(versioned, "STAGED_BYTES", -1)
+    table = versioned.VersionedTable(spark, folder, key=["k"])
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    table.merge(frame([("a", 1), ("b", 1), ("c", 1)]))
+    table.merge(frame([("b", 2), ("d", 2)]))
+    table.merge(frame([("d", 3)]).selectExpr("*", "true AS gone"), deleted="gone")
+    known = table.current(by_key=True)
+    assert samples.rows(known) == samples.rows(table.current()) == [("a", 1), ("b", 2), ("c", 1)]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        assert _plan(known.groupBy("k").count()).count("Exchange") == 1
+    finally:
+        spark.conf.set(name, before)
+    table.merge(frame([("a", 4), ("d", 4)]))
+    assert samples.rows(table.current()) == [("a", 4), ("b", 2), ("c", 1), ("d", 4)]
