@@ -64,6 +64,16 @@ def test_derived_columns_and_broadcast_names_come_after_the_rebalance(spark, fol
         spark.conf.set(name, before)
 
 
+def test_only_a_large_dimension_is_joined_before_the_rebalance(spark, folder, monkeypatch):
+    monkeypatch.setattr(settings, "is_broadcast", lambda dimension: "region" in dimension.columns)
+    customers = silver.silver_customers(samples.raw_customers(spark), REGIONS)
+    tables = silver.silver_orders(samples.raw_orders(spark)), customers, samples.raw_products(spark)
+    fact, plain = gold.fact_orders_by_month(*tables), gold.fact_orders(*tables)
+    assert samples.rows(fact.drop("_gold_created_at")) == samples.rows(plain.drop("_gold_created_at"))
+    after, before = fact._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    assert (after.count("Join LeftOuter"), before.count("Join LeftOuter")) == (1, 1)
+
+
 def test_a_size_tells_whether_spark_broadcasts(spark, folder):
     spark.range(10).write.parquet(f"{folder}/few")
     few = spark.read.parquet(f"{folder}/few")
