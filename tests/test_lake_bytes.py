@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 
 import samples
@@ -133,3 +135,58 @@ def test_a_large_merge_onto_a_chain_shuffles_it_once(spark, folder, monkeypatch)
         spark.conf.set(name, before)
     table.merge(frame([("a", 4), ("d", 4)]))
     assert samples.rows(table.current()) == [("a", 4), ("b", 2), ("c", 1), ("d", 4)]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_a_total_is_shuffled_only_where_it_is_not_that_of_quantity_and_price(spark, folder, threshold):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        orders = silver.silver_orders(samples.raw_orders(spark))
+        total = "CASE order_id WHEN 'A' THEN 1.5 WHEN 'B' THEN NULL ELSE total_amount END"
+        orders = orders.selectExpr("* EXCEPT (total_amount)", f"CAST({total} AS decimal(28, 6)) AS total_amount")
+        customers = silver.silver_customers(samples.raw_customers(spark), REGIONS)
+        fact = gold.fact_orders_by_month(orders, customers, samples.raw_products(spark))
+        plain = gold.fact_orders(orders, customers, samples.raw_products(spark))
+        assert samples.rows(fact, *plain.columns[:-1]) == samples.rows(plain, *plain.columns[:-1])
+        assert fact.schema["total_amount"] == plain.schema["total_amount"]
+        after, shuffled = fact._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+        assert "struct(total_amount" in shuffled and "struct(" not in after
+        other = gold.fact_orders_by_month(orders.withColumn("unit_price", orders.unit_price.cast("decimal(38,18)")), customers,
+                                          samples.raw_products(spark))
+        assert samples.rows(other, "order_id", "total_amount") == samples.rows(plain, "order_id", "total_amount")
+    finally:
+        spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("session, most", [("64MB", "33554432"), ("8m", "8388608")])
+def test_rows_that_widen_get_smaller_partitions(spark, session, most):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, session)
+    try:
+        with settings.widening(spark):
+            assert spark.conf.get(name) == most
+        assert spark.conf.get(name) == session
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_fact_is_written_in_partitions_that_a_task_can_sort(spark, monkeypatch):
+    """The rows take their names and derived columns after the rebalance, and are then sorted."""
+    name, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+
+    class Table:
+        def overwrite(self, *args, **options):
+            seen.append(spark.conf.get(name))
+
+        replace = replace_partitions = overwrite
+
+    orders = silver.silver_orders(samples.raw_orders(spark))
+    silver_orders = SimpleNamespace(current=lambda: orders, latest_version=lambda: 1, differing=lambda since, latest: (orders, orders))
+    silver_customers = SimpleNamespace(current=lambda: silver.silver_customers(samples.raw_customers(spark), REGIONS))
+    lake = SimpleNamespace(spark=spark, silver_orders=silver_orders, silver_customers=silver_customers, fact_orders=Table(), fact_months=Table())
+    pipeline.refresh_fact_orders(lake, samples.raw_products(spark))
+    pipeline.refresh_fact_months(lake, samples.raw_products(spark), since=0)
+    assert seen == [str(settings.BYTES_BEFORE_WIDENING)] * 2 and spark.conf.get(name) != seen[0]
