@@ -13,7 +13,7 @@ from orestack import registry, schemas, settings
 from orestack.operators import versioned
 from orestack.operators.partitioned import PartitionedTable
 from orestack.operators.versioned import VersionedTable
-from orestack.plans import pipeline, silver
+from orestack.plans import gold, pipeline, silver
 
 
 def _order(key, customer="C1", product="P1", quantity=1, price=2.0, status="pending", day="2024-01-05", arrived="1"):
@@ -149,11 +149,36 @@ def test_short_orders_become_whole_again(spark):
     odd = plain.selectExpr("* EXCEPT (total_amount, status)",
                            "CASE order_id WHEN 'A' THEN CAST(1.5 AS decimal(28, 6)) WHEN 'B' THEN NULL ELSE total_amount END AS total_amount",
                            "CASE order_id WHEN 'H' THEN 'lost' WHEN 'I' THEN NULL ELSE status END AS status")
-    for rows, struct_rows in ((plain, 0), (odd, 4)):
+    days = [f"DATE'{day}' AS order_date" for day in ("0001-01-01", "1969-12-31", "9999-12-31")]
+    edges = plain.limit(0)
+    for day in days:
+        edges = edges.union(plain.selectExpr(*("CASE order_id WHEN 'A' THEN 2147483647 ELSE quantity END AS quantity" if name == "quantity" else
+                                               day if name == "order_date" else name for name in plain.columns)))
+    edges = edges.withColumn("total_amount", (F.col("quantity") * F.col("unit_price")).cast(schemas.MONEY))
+    negative = plain.withColumns({"quantity": F.lit(-3), "total_amount": (F.col("unit_price") * -3).cast(schemas.MONEY)})
+    nulls = plain.withColumns({name: F.lit(None).cast(plain.schema[name].dataType) for name in ("quantity", "order_date", "total_amount")})
+    for rows, struct_rows in ((plain, 0), (odd, 4), (edges, 0), (negative, 4), (nulls, 4)):
         short = silver.short_orders(rows)
-        assert short.filter("total_amount IS NOT NULL").count() == struct_rows and dict(short.dtypes)["status"] == "tinyint"
-        whole = silver.whole_orders(short)
+        assert short.filter("total_amount IS NOT NULL").count() == struct_rows
+        assert short.filter("quantity IS NULL").count() == struct_rows and "status" not in short.columns
+        whole = silver.whole_orders(short).select(*rows.columns)
         assert whole.dtypes == rows.dtypes and samples.rows(whole) == samples.rows(rows)
     other = orders.withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)"))
     assert silver.whole_orders(silver.short_orders(other)).dtypes == other.dtypes
     assert schemas.COMMITS.names[-1] == "lineage"
+
+
+def test_sums_of_a_stored_fact_are_not_shuffled_by_customer(spark, folder):
+    rows = [_order(f"O{n}", f"C{n % 3}", ("P1", "P2", None, "P9")[n % 4], n % 5 + 1, 0.5 * n + 1, ("pending", "cancelled", "shipped")[n % 3 if n % 7 else 0],
+                   f"2024-01-0{n % 2 + 1}") for n in range(60)]
+    customers = [("C1", "An", "a@x", "1", "Hue", "North", "2022-03-01"), ("C2", "Bo", "b@x", "1", "Hue", "South", "2022-03-01")]
+    gold.fact_orders(silver.silver_orders(samples.raw_orders(spark, rows)), silver.silver_customers(samples.raw_customers(spark, customers)),
+                     samples.raw_products(spark)).write.parquet(f"{folder}/fact")
+    fact = spark.read.parquet(f"{folder}/fact")
+    daily, stored = gold.agg_revenue_daily(fact), gold.agg_revenue_daily(fact, stored=True)
+    assert stored.dtypes == daily.dtypes
+    found = samples.rows(daily.drop("_gold_created_at"))
+    assert samples.rows(stored.drop("_gold_created_at")) == found and any(row[3] is None and row[4] is None for row in found)
+    exchanges = [line for line in stored._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("customer_id" in line for line in exchanges) == 1
+    assert gold.agg_revenue_daily(fact.limit(0), stored=True).count() == 0
